@@ -162,3 +162,68 @@ ORACLE: dict[str, str] = {
     "turnover_month": with_views("WITH" + _turnover_sql(MONTH_START, MONTH_END)),
     "turnover_all": with_views("WITH" + _turnover_sql(None, None)),
 }
+
+
+_MEASURES = [f"{m}_{c}" for m in ("balance_in", "turn_deb", "turn_cre", "balance_out")
+             for c in ("rub", "val", "total")]
+
+
+def _f101_sql(call: str, first: str, last: str, eve: str, preagg: bool) -> str:
+    if preagg:
+        turn = f"""(SELECT account_rk, sum(debet_amount_rub) AS debet_amount_rub,
+                          sum(credit_amount_rub) AS credit_amount_rub
+                   FROM dm_account_turnover_f
+                   WHERE on_date BETWEEN DATE '{first}' AND DATE '{last}'
+                   GROUP BY account_rk) t ON t.account_rk = acc.account_rk"""
+    else:
+        turn = f"""dm_account_turnover_f t ON t.account_rk = acc.account_rk
+                   AND t.on_date BETWEEN DATE '{first}' AND DATE '{last}'"""
+    dom = "cur.currency_code IN ('643', '810')"
+    fx = "b.balance_out * er.reduced_cource"
+    closing = """CASE WHEN characteristic = 'A' THEN {p}_rub_in - turn_cre_{s} + turn_deb_{s}
+                      WHEN characteristic = 'P' THEN {p}_rub_in + turn_cre_{s} - turn_deb_{s} END"""
+    out_rub = closing.format(p="balance_in", s="rub").replace("balance_in_rub_in", "balance_in_rub")
+    out_val = closing.format(p="balance_in", s="val").replace("balance_in_rub_in", "balance_in_val")
+    final = ["from_date", "to_date", "chapter", "ledger_account", "characteristic"]
+    values = {m: m for m in _MEASURES[:9]}
+    values["balance_out_rub"] = out_rub
+    values["balance_out_val"] = out_val
+    values["balance_out_total"] = f"({out_rub}) + ({out_val})"
+    for m in _MEASURES:
+        final.append(f"CAST({values[m]} AS DECIMAL(23,8)) AS {m}")
+        final.append(f"CAST(NULL AS DECIMAL(23,8)) AS r_{m}")
+    return f"""
+    f101_groups AS (
+        SELECT DATE '{first}' AS from_date, DATE '{last}' AS to_date, s.chapter,
+               substr(acc.account_number, 1, 5) AS ledger_account, acc.char_type AS characteristic,
+               sum(CASE WHEN {dom} THEN b.balance_out ELSE 0 END) AS balance_in_rub,
+               sum(CASE WHEN NOT ({dom}) THEN {fx} ELSE 0 END) AS balance_in_val,
+               sum(CASE WHEN {dom} THEN b.balance_out ELSE {fx} END) AS balance_in_total,
+               sum(CASE WHEN {dom} THEN coalesce(t.debet_amount_rub, 0) ELSE 0 END) AS turn_deb_rub,
+               sum(CASE WHEN NOT ({dom}) THEN coalesce(t.debet_amount_rub, 0) ELSE 0 END) AS turn_deb_val,
+               sum(coalesce(t.debet_amount_rub, 0)) AS turn_deb_total,
+               sum(CASE WHEN {dom} THEN coalesce(t.credit_amount_rub, 0) ELSE 0 END) AS turn_cre_rub,
+               sum(CASE WHEN NOT ({dom}) THEN coalesce(t.credit_amount_rub, 0) ELSE 0 END) AS turn_cre_val,
+               sum(coalesce(t.credit_amount_rub, 0)) AS turn_cre_total
+        FROM md_ledger_account_s s
+        JOIN md_account_d acc ON substr(acc.account_number, 1, 5) = CAST(s.ledger_account AS VARCHAR)
+        JOIN md_currency_d cur ON cur.currency_rk = acc.currency_rk
+        LEFT JOIN ft_balance_f b ON b.account_rk = acc.account_rk AND b.on_date = DATE '{eve}'
+        LEFT JOIN md_exchange_rate_d er ON er.currency_rk = acc.currency_rk
+             AND DATE '{call}' BETWEEN er.data_actual_date AND er.data_actual_end_date
+        LEFT JOIN {turn}
+        WHERE DATE '{call}' BETWEEN s.start_date AND s.end_date
+          AND DATE '{call}' BETWEEN acc.data_actual_date AND acc.data_actual_end_date
+          AND DATE '{call}' BETWEEN cur.data_actual_date AND cur.data_actual_end_date
+        GROUP BY s.chapter, substr(acc.account_number, 1, 5), acc.char_type)
+    SELECT {", ".join(final)}
+    FROM f101_groups"""
+
+
+def f101_oracle(preagg: bool) -> str:
+    return with_views("WITH " + turnover_cte(MONTH_START, MONTH_END) + ","
+                      + _f101_sql(CALL_DATE, MONTH_START, MONTH_END, "1998-02-28", preagg))
+
+
+ORACLE["f101_report"] = f101_oracle(False)
+ORACLE["f101_preagg"] = f101_oracle(True)

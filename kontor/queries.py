@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import f101 as F101
 from .plans import turnover as TO
 from .sources import testbed as TB
 
@@ -45,9 +46,26 @@ def q_turnover_all(spark, d):
     return TO.account_turnover(v["ft_posting_f"], v["md_account_d"], v["md_exchange_rate_d"])
 
 
+def _f101(spark, d, fan_out):
+    v = {name: TB.view(spark, d, name) for name in TB.VIEWS}
+    turn = TO.turnover_month(v["ft_posting_f"], v["md_account_d"], v["md_exchange_rate_d"], CALL_DATE)
+    return F101.f101_report(v["md_ledger_account_s"], v["md_account_d"], v["md_currency_d"],
+                            v["ft_balance_f"], v["md_exchange_rate_d"], turn, CALL_DATE, fan_out=fan_out)
+
+
+def q_f101_report(spark, d):
+    return _f101(spark, d, True)
+
+
+def q_f101_preagg(spark, d):
+    return _f101(spark, d, False)
+
+
 QUERIES: dict[str, Query] = {
     "posting_collapse": q_posting_collapse,
     "turnover_day": q_turnover_day,
     "turnover_month": q_turnover_month,
     "turnover_all": q_turnover_all,
+    "f101_report": q_f101_report,
+    "f101_preagg": q_f101_preagg,
 }
