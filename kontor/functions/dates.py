@@ -11,14 +11,17 @@ ColumnOrDate = "Column | str | datetime.date"
 
 
 def as_date(value) -> Column:
-    """A literal date, a date string, or a column -> date column."""
+    """A date, an ISO date string ('1998-03-03'), a column name or a column -> column."""
     if isinstance(value, Column):
         return value
     if isinstance(value, _dt.datetime):
         value = value.date()
     if isinstance(value, _dt.date):
         return F.lit(value)
-    return F.to_date(F.lit(str(value)))
+    try:
+        return F.lit(_dt.date.fromisoformat(str(value)))
+    except ValueError:
+        return F.col(str(value))
 
 
 def py_date(value) -> _dt.date:

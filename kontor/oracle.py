@@ -227,3 +227,93 @@ def f101_oracle(preagg: bool) -> str:
 
 ORACLE["f101_report"] = f101_oracle(False)
 ORACLE["f101_preagg"] = f101_oracle(True)
+
+
+ORACLE.update({
+    "valid_at": with_views("""
+        SELECT a.account_rk, a.data_actual_date AS version_date, a.currency_rk, er.reduced_cource
+        FROM md_account_d a
+        LEFT JOIN md_exchange_rate_d er ON er.currency_rk = a.currency_rk
+             AND a.data_actual_date BETWEEN er.data_actual_date AND er.data_actual_end_date"""),
+    "opening_balance": with_views("""
+        SELECT a.account_rk, a.data_actual_date, b.balance_out
+        FROM md_account_d a
+        LEFT JOIN ft_balance_f b ON b.account_rk = a.account_rk
+             AND b.on_date = CAST(a.data_actual_date - INTERVAL 1 DAY AS DATE)"""),
+    "ledger_prefix_join": with_views("""
+        SELECT a.account_rk, a.data_actual_date, s.ledger_account, s.chapter
+        FROM md_account_d a
+        JOIN md_ledger_account_s s ON substr(a.account_number, 1, 5) = CAST(s.ledger_account AS VARCHAR)"""),
+    "posting_minmax": with_views("""
+        SELECT oper_date AS oper_dates, max(credit_amount) AS max_credit_amount,
+               min(credit_amount) AS min_credit_amount, max(debet_amount) AS max_debet_amount,
+               min(debet_amount) AS min_debet_amount
+        FROM ft_posting_f GROUP BY oper_date"""),
+    "posting_minmax_guarded": with_views(f"""
+        SELECT oper_date AS oper_dates, max(credit_amount) AS max_credit_amount,
+               min(credit_amount) AS min_credit_amount, max(debet_amount) AS max_debet_amount,
+               min(debet_amount) AS min_debet_amount
+        FROM ft_posting_f
+        WHERE oper_date = DATE '{CALL_DATE}'
+          AND DATE '{CALL_DATE}' IN (SELECT oper_date FROM ft_posting_f)
+        GROUP BY oper_date"""),
+    "rate_dedup": with_views("SELECT DISTINCT * FROM md_exchange_rate_d"),
+    "distinct_values": "SELECT DISTINCT c_mktsegment FROM customer",
+    "group_count": "SELECT event_type, count(*) AS count FROM events GROUP BY event_type",
+    "last_delta_id": with_views("SELECT coalesce(max(delta_id), 0) AS last_delta_id FROM deltas"),
+    "discipline_join": """
+        WITH dim(row_id, event_type, category) AS (VALUES
+            (1, 'view', 'browse'), (2, 'click', 'browse'), (3, 'signup', 'account'),
+            (4, 'login', 'account'), (5, 'purchase', 'order'), (6, 'refund', 'order'),
+            (7, 'error', 'system')),
+        cap AS (SELECT upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2)) AS event_type,
+                       CAST(row_id AS BIGINT) AS row_id, category FROM dim),
+        cnt AS (SELECT upper(substr(event_type, 1, 1)) || lower(substr(event_type, 2)) AS event_type,
+                       count(*) AS count FROM events GROUP BY 1)
+        SELECT cap.event_type, cap.row_id, cap.category, cnt.count
+        FROM cap JOIN cnt ON cnt.event_type = cap.event_type""",
+    "date_bounds": """
+        SELECT d, CAST(date_trunc('month', d) AS DATE) AS month_start, last_day(d) AS month_end,
+               CAST(date_trunc('month', d) - INTERVAL 1 DAY AS DATE) AS prev_month_end,
+               strftime(d, '%Y-%m-%d') AS d_text
+        FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)""",
+    "month_spine": with_views("""
+        SELECT m.month_start, CAST(g.day AS DATE) AS day
+        FROM (SELECT DISTINCT CAST(date_trunc('month', oper_date) AS DATE) AS month_start FROM ft_posting_f) m,
+        LATERAL (SELECT unnest(generate_series(m.month_start, last_day(m.month_start), INTERVAL 1 DAY)) AS day) g"""),
+    "date_parse": """
+        SELECT o_orderkey, strftime(o_orderdate, '%d.%m.%Y') AS d_text, CAST(o_orderdate AS DATE) AS d
+        FROM orders""",
+    "date_validate": """
+        SELECT o_orderkey, d_text, CAST(try_strptime(d_text, '%Y-%m-%d') AS DATE) AS d,
+               try_strptime(d_text, '%Y-%m-%d') IS NOT NULL AS is_valid
+        FROM (SELECT o_orderkey,
+                     strftime(o_orderdate, '%Y') || '-'
+                     || CASE WHEN o_orderkey % 10 = 7 THEN '13' ELSE strftime(o_orderdate, '%m') END
+                     || '-' || strftime(o_orderdate, '%d') AS d_text
+              FROM orders)""",
+    "text_normalise": """
+        SELECT c_custkey, replace(upper(regexp_replace(raw, '\\s', '', 'g')), '''', '') AS key_text,
+               len(string_split(upper(regexp_replace(raw, '\\s', '', 'g')), ',')) AS n_parts,
+               string_split(upper(regexp_replace(raw, '\\s', '', 'g')), ',')[1] AS first_part
+        FROM (SELECT c_custkey, lower(c_name) || ', ' || ' ' || c_mktsegment || ''' ' AS raw FROM customer)""",
+    "log_chunk": """
+        SELECT doc_id, piece, row_number() OVER (ORDER BY doc_id, piece) AS record_id,
+               substr(text, piece * 4000 + 1, 4000) AS message, 1 AS message_type,
+               length(substr(text, piece * 4000 + 1, 4000)) AS chunk_chars
+        FROM documents,
+        LATERAL (SELECT unnest(generate_series(0, (length(text) - 1) // 4000)) AS piece)
+        WHERE length(text) > 0""",
+    "head_rows": "SELECT o_orderkey, o_custkey, o_orderdate FROM orders ORDER BY o_orderkey LIMIT 10",
+    "nonempty_guard": """
+        SELECT t AS table_name, true AS exists, n > 0 AS has_rows FROM (
+            SELECT 'nation' AS t, (SELECT count(*) FROM nation) AS n UNION ALL
+            SELECT 'customer', (SELECT count(*) FROM customer) UNION ALL
+            SELECT 'supplier', (SELECT count(*) FROM supplier) UNION ALL
+            SELECT 'orders', (SELECT count(*) FROM orders) UNION ALL
+            SELECT 'lineitem', (SELECT count(*) FROM lineitem) UNION ALL
+            SELECT 'events', (SELECT count(*) FROM events) UNION ALL
+            SELECT 'documents', (SELECT count(*) FROM documents))
+        UNION ALL SELECT 'no_such_table', false, false""",
+})
+ORACLE["posting_minmax_tvf"] = ORACLE["posting_minmax_guarded"]

@@ -12,7 +12,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from .functions import dates as D
+from .functions import text as X
+from .operators import aggregates as AG
+from .operators.scd import join_valid_at
+from .plans import dimension_counts as DC
 from .plans import f101 as F101
+from .plans import posting_stats as PS
+from .plans import runlog as RL
 from .plans import turnover as TO
 from .sources import testbed as TB
 
@@ -61,6 +70,121 @@ def q_f101_preagg(spark, d):
     return _f101(spark, d, False)
 
 
+def q_valid_at(spark, d):
+    """Every account version with the rate valid on the version's first day."""
+    acc = TB.accounts(spark, d).select("account_rk", "data_actual_date", "currency_rk")
+    fx = TB.rates(spark, d)
+    out = join_valid_at(acc.withColumnRenamed("data_actual_date", "version_date"), fx,
+                        ["currency_rk"], "version_date", how="left")
+    return out.select("account_rk", "version_date", "currency_rk", "reduced_cource")
+
+
+def q_opening_balance(spark, d):
+    """Every account version with the balance of the eve of its month (left join)."""
+    acc = TB.accounts(spark, d).select("account_rk", "data_actual_date")
+    bal = TB.balances(spark, d).select("account_rk", "on_date", "balance_out")
+    j = acc.join(bal, (acc.account_rk == bal.account_rk)
+                 & (bal.on_date == D.prev_month_end(acc.data_actual_date)), "left")
+    return j.select(acc.account_rk, acc.data_actual_date, bal.balance_out)
+
+
+def q_ledger_prefix_join(spark, d):
+    """Account versions matched to their ledger account by number prefix."""
+    acc = TB.accounts(spark, d)
+    led = TB.ledger(spark, d).select("ledger_account", "chapter")
+    j = acc.join(F.broadcast(led), F.substring(acc.account_number, 1, 5) == led.ledger_account.cast("string"))
+    return j.select("account_rk", "data_actual_date", "ledger_account", "chapter")
+
+
+def q_posting_minmax(spark, d):
+    return PS.posting_minmax(TB.postings(spark, d))
+
+
+def q_posting_minmax_guarded(spark, d):
+    return PS.posting_minmax_guarded(TB.postings(spark, d), CALL_DATE)
+
+
+def q_posting_minmax_tvf(spark, d):
+    return PS.call_posting_function(spark, TB.postings(spark, d), CALL_DATE)
+
+
+def q_rate_dedup(spark, d):
+    fx = TB.rates(spark, d)
+    return AG.drop_exact_duplicates(fx.unionByName(fx))
+
+
+def q_distinct_values(spark, d):
+    TB.table(spark, d, "customer").createOrReplaceTempView("customer_v")
+    return spark.sql("SELECT DISTINCT c_mktsegment FROM customer_v")
+
+
+def q_group_count(spark, d):
+    return AG.count_by(TB.table(spark, d, "events"), "event_type")
+
+
+def q_last_delta_id(spark, d):
+    return AG.max_or_default(TB.deltas(spark, d), "delta_id", 0, "last_delta_id")
+
+
+def q_discipline_join(spark, d):
+    counts = DC.counts_per(TB.table(spark, d, "events"), "event_type")
+    return DC.join_counts(DC.literal_dimension(spark), counts, "event_type")
+
+
+def q_date_bounds(spark, d):
+    o = TB.table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("d")).distinct()
+    return o.select("d", D.month_start("d").alias("month_start"), D.month_end("d").alias("month_end"),
+                    D.prev_month_end("d").alias("prev_month_end"), D.iso("d").alias("d_text"))
+
+
+def q_month_spine(spark, d):
+    """Every day of every month that has postings."""
+    m = TB.postings(spark, d).select(D.month_start("oper_date").alias("month_start")).distinct()
+    return m.select("month_start", F.explode(D.days_between("month_start", D.month_end("month_start"))).alias("day"))
+
+
+def q_date_parse(spark, d):
+    o = TB.table(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "dd.MM.yyyy").alias("d_text"))
+    return o.select("o_orderkey", "d_text", D.parse_dotted("d_text").alias("d"))
+
+
+def q_date_validate(spark, d):
+    """yyyy-MM-dd texts, some with an impossible month; invalid ones parse to NULL."""
+    o = TB.table(spark, d, "orders")
+    month = F.when(F.col("o_orderkey") % 10 == 7, F.lit("13")).otherwise(F.date_format("o_orderdate", "MM"))
+    txt = F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("-"), month, F.lit("-"), F.date_format("o_orderdate", "dd"))
+    t = o.select("o_orderkey", txt.alias("d_text"))
+    return t.select("o_orderkey", "d_text", D.parse_iso("d_text").alias("d"),
+                    D.parse_iso("d_text").isNotNull().alias("is_valid"))
+
+
+def q_text_normalise(spark, d):
+    c = TB.table(spark, d, "customer")
+    raw = F.concat_ws(", ", F.lower("c_name"), F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit("' ")))
+    parts = X.normalise_key_text(raw)
+    return c.select("c_custkey", X.strip_quotes(F.upper(F.regexp_replace(raw, r"\s", ""))).alias("key_text"),
+                    F.size(parts).alias("n_parts"), F.element_at(parts, 1).alias("first_part"))
+
+
+def q_log_chunk(spark, d):
+    docs = TB.table(spark, d, "documents").select("doc_id", F.col("text").alias("message"))
+    out = RL.chunk_messages(docs, ["doc_id"], "message", start_id=1)
+    return out.select("doc_id", "piece", "record_id", "message", "message_type",
+                      F.length("message").alias("chunk_chars"))
+
+
+def q_head_rows(spark, d):
+    return TB.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate").orderBy("o_orderkey").limit(10)
+
+
+NONEMPTY_TABLES = ("nation", "customer", "supplier", "orders", "lineitem", "events", "documents")
+
+
+def q_nonempty_guard(spark, d):
+    from .sources.tables import nonempty_flags
+    return nonempty_flags(spark, {t: f"{d.rstrip('/')}/{t}.parquet" for t in NONEMPTY_TABLES + ("no_such_table",)})
+
+
 QUERIES: dict[str, Query] = {
     "posting_collapse": q_posting_collapse,
     "turnover_day": q_turnover_day,
@@ -68,4 +192,23 @@ QUERIES: dict[str, Query] = {
     "turnover_all": q_turnover_all,
     "f101_report": q_f101_report,
     "f101_preagg": q_f101_preagg,
+    "valid_at": q_valid_at,
+    "opening_balance": q_opening_balance,
+    "ledger_prefix_join": q_ledger_prefix_join,
+    "posting_minmax": q_posting_minmax,
+    "posting_minmax_guarded": q_posting_minmax_guarded,
+    "posting_minmax_tvf": q_posting_minmax_tvf,
+    "rate_dedup": q_rate_dedup,
+    "distinct_values": q_distinct_values,
+    "group_count": q_group_count,
+    "last_delta_id": q_last_delta_id,
+    "discipline_join": q_discipline_join,
+    "date_bounds": q_date_bounds,
+    "month_spine": q_month_spine,
+    "date_parse": q_date_parse,
+    "date_validate": q_date_validate,
+    "text_normalise": q_text_normalise,
+    "log_chunk": q_log_chunk,
+    "head_rows": q_head_rows,
+    "nonempty_guard": q_nonempty_guard,
 }
