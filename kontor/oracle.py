@@ -317,3 +317,53 @@ ORACLE.update({
         UNION ALL SELECT 'no_such_table', false, false""",
 })
 ORACLE["posting_minmax_tvf"] = ORACLE["posting_minmax_guarded"]
+
+
+_MASTER = """
+    master AS (SELECT c_custkey AS account_rk, c_name AS name, CAST(c_nationkey AS BIGINT) AS nation,
+                      CAST(c_acctbal AS DECIMAL(18,2)) AS balance, c_mktsegment AS segment FROM customer),
+    spent AS (SELECT o_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS spent FROM orders GROUP BY o_custkey),
+    batch AS (SELECT m.account_rk, m.name, m.nation, CAST(m.balance - s.spent AS DECIMAL(18,2)) AS balance,
+                     'ACTIVE' AS segment
+              FROM master m JOIN spent s ON s.o_custkey = m.account_rk
+              UNION ALL
+              SELECT 1000000000000 + s_suppkey, s_name, CAST(s_nationkey AS BIGINT),
+                     CAST(s_acctbal AS DECIMAL(18,2)), 'SUPPLIER' FROM supplier)"""
+
+_FOLD = """
+    SELECT account_rk, data_actual_date, event_type, amount FROM deltas
+    QUALIFY row_number() OVER (PARTITION BY {pk} ORDER BY delta_id DESC) = 1"""
+
+_TURN_MONTH = with_views("WITH" + _turnover_sql(MONTH_START, MONTH_END))
+
+ORACLE.update({
+    "upsert_by_key": "WITH" + _MASTER + """
+        SELECT * FROM master m WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE b.account_rk = m.account_rk)
+        UNION ALL SELECT * FROM batch""",
+    "upsert_partial": "WITH" + _MASTER + """
+        SELECT m.account_rk, m.name, m.nation,
+               CASE WHEN b.account_rk IS NOT NULL THEN b.balance ELSE m.balance END AS balance, m.segment
+        FROM master m LEFT JOIN batch b ON b.account_rk = m.account_rk
+        UNION ALL
+        SELECT b.account_rk, NULL, NULL, b.balance, NULL FROM batch b
+        WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.account_rk = b.account_rk)""",
+    "delta_fold": with_views(_FOLD.format(pk="account_rk")),
+    "delta_fold_history": with_views(_FOLD.format(pk="data_actual_date, account_rk")),
+    "delta_merge": with_views(_FOLD.format(pk="account_rk")),
+    "delta_incremental": with_views(_FOLD.format(pk="account_rk")),
+    "delta_stream": with_views(_FOLD.format(pk="account_rk")),
+    "delta_scan": with_views("SELECT delta_id, account_rk, data_actual_date, event_type, amount FROM deltas"),
+    "replace_slice": with_views("WITH" + _turnover_sql(MONTH_START, MONTH_END).replace(
+        "FROM turn_legs GROUP BY", "FROM turn_legs WHERE on_date <> DATE '1998-03-03' GROUP BY")),
+    "csv_extract": with_views("SELECT * FROM ft_balance_f"),
+    "csv_infer": with_views("SELECT * FROM ft_posting_f"),
+    "mart_roundtrip": _TURN_MONTH,
+    "detail_load": with_views("SELECT * FROM ft_balance_f"),
+    "run_log": with_views("""
+        SELECT 'ft_balance_f' AS sources, 'start_upload' AS status, 'upload into ft_balance_f' AS description
+        UNION ALL SELECT 'ft_balance_f', 'end_upload', 'ft_balance_f: ' || (SELECT count(*) FROM ft_balance_f) || ' rows'
+        UNION ALL SELECT 'md_account_d', 'start_upload', 'upload into md_account_d'
+        UNION ALL SELECT 'md_account_d', 'end_upload', 'md_account_d: ' || (SELECT count(*) FROM md_account_d) || ' rows'
+        UNION ALL SELECT 'md_currency_d', 'error_exist_object', 'no extract for md_currency_d'"""),
+})
+ORACLE["csv_tab_roundtrip"] = ORACLE["discipline_join"]

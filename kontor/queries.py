@@ -212,3 +212,11 @@ QUERIES: dict[str, Query] = {
     "head_rows": q_head_rows,
     "nonempty_guard": q_nonempty_guard,
 }
+
+
+def _io_queries():
+    from .queries_io import QUERIES_IO
+    return QUERIES_IO
+
+
+QUERIES.update(_io_queries())
