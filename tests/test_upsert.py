@@ -1,0 +1,52 @@
+import pytest
+
+from kontor.operators.upsert import DuplicateKeyError, NullKeyError, merge, upsert
+
+T = "k bigint, a string, b bigint"
+
+
+def as_set(df):
+    return {tuple(r) for r in df.collect()}
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_full_row_upsert(spark, strategy):
+    t = spark.createDataFrame([(1, "x", 10), (2, "y", 20)], T)
+    b = spark.createDataFrame([(2, "Y", 21), (3, "z", 30)], T)
+    assert as_set(upsert(t, b, ["k"], strategy=strategy)) == {(1, "x", 10), (2, "Y", 21), (3, "z", 30)}
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_partial_upsert_keeps_other_columns(spark, strategy):
+    t = spark.createDataFrame([(1, "x", 10), (2, "y", 20)], T)
+    b = spark.createDataFrame([(2, 99), (3, 30)], "k bigint, b bigint")
+    assert as_set(upsert(t, b, ["k"], strategy=strategy)) == {(1, "x", 10), (2, "y", 99), (3, None, 30)}
+
+
+def test_repeated_key_in_batch_raises(spark):
+    t = spark.createDataFrame([(1, "x", 10)], T)
+    b = spark.createDataFrame([(2, "a", 1), (2, "b", 2)], T)
+    with pytest.raises(DuplicateKeyError):
+        upsert(t, b, ["k"])
+
+
+def test_null_key_rejected_by_upsert_inserted_by_merge(spark):
+    t = spark.createDataFrame([(1, "x", 10), (None, "n", 0)], T)
+    b = spark.createDataFrame([(None, "m", 1), (1, "X", 11)], T)
+    with pytest.raises(NullKeyError):
+        upsert(t, b, ["k"])
+    assert as_set(merge(t, b, ["k"])) == {(1, "X", 11), (None, "n", 0), (None, "m", 1)}
+
+
+def test_composite_key_and_rerun_is_idempotent(spark):
+    schema = "d string, k bigint, v bigint"
+    t = spark.createDataFrame([("a", 1, 1), ("b", 1, 2)], schema)
+    b = spark.createDataFrame([("b", 1, 20), ("c", 1, 3)], schema)
+    once = upsert(t, b, ["d", "k"])
+    assert as_set(upsert(once, b, ["d", "k"])) == as_set(once) == {("a", 1, 1), ("b", 1, 20), ("c", 1, 3)}
+
+
+def test_unknown_key_column_raises(spark):
+    t = spark.createDataFrame([(1, "x", 10)], T)
+    with pytest.raises(ValueError):
+        upsert(t, t, ["nope"])
