@@ -1,7 +1,9 @@
 """Benchmark the headline jobs at one scale factor.
 
 Prints ONE JSON line:
-{"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
+{"metric": "jobs_total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
+
+``value`` sums the jobs; ``prepare`` (deriving the test ledger) is listed but not counted.
 
 The ledger tables are first derived from the driver's tables and stored
 as Parquet (as a detail layer would be); each job then runs against the
@@ -57,17 +59,12 @@ def main() -> None:
     stored = scratch_path(spark, "bench-ledger")
 
     def prepare():
-        for name in ("ft_posting_f", "md_account_d", "md_currency_d", "md_exchange_rate_d", "ft_balance_f",
-                     "md_ledger_account_s", "deltas"):
-            df = TB.view(spark, sf_dir, name)
-            if name == "ft_posting_f":
-                df = df.repartitionByRange(cpus, "oper_date").sortWithinPartitions("oper_date")
-            df.write.mode("overwrite").parquet(f"{stored}/{name}")
+        TB.materialize(spark, sf_dir, stored, partitions=cpus)
 
     q["prepare"] = timed(prepare)
-    v = {n: spark.read.parquet(f"{stored}/{n}") for n in
-         ("ft_posting_f", "md_account_d", "md_currency_d", "md_exchange_rate_d", "ft_balance_f",
-          "md_ledger_account_s", "deltas")}
+    names = ("ft_posting_f", "md_account_d", "md_currency_d", "md_exchange_rate_d", "ft_balance_f",
+             "md_ledger_account_s", "deltas")
+    v = {n: spark.read.parquet(f"{stored}/{n}") for n in names}
     P, A, R = v["ft_posting_f"], v["md_account_d"], v["md_exchange_rate_d"]
 
     q["turnover_all"] = timed(lambda: run(TO.account_turnover(P, A, R)))
@@ -89,8 +86,9 @@ def main() -> None:
     docs = TB.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("message"))
     q["log_chunk"] = timed(lambda: run(RL.chunk_messages(docs, ["doc_id"], "message")))
 
-    total = round(sum(q.values()), 3)
-    print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec", "queries": q, "sf": sf}))
+    # the headline value is the jobs' time; deriving the test ledger is reported, not counted
+    total = round(sum(t for k, t in q.items() if k != "prepare"), 3)
+    print(json.dumps({"metric": "jobs_total_sec", "value": total, "unit": "sec", "queries": q, "sf": sf}))
     spark.stop()
 
 

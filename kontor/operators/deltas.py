@@ -76,10 +76,13 @@ def apply_deltas_chain(mirror: DataFrame, deltas: DataFrame, pk: Sequence[str],
     from ..session import checkpoint_root
 
     checkpoint_root(mirror.sparkSession)
+    pk = list(pk)
+    # every batch's keys checked in one aggregation, not one job per delta
+    check_batch_keys(newer_than(deltas, after, order_col), pk + [order_col], null_keys="insert")
     cur = mirror
     for i, did in enumerate(delta_ids(deltas, after, order_col), 1):
         batch = deltas.filter(F.col(order_col) == F.lit(did)).drop(order_col).select(*mirror.columns)
-        cur = merge(cur, batch, pk, check=True, strategy=strategy)
+        cur = merge(cur, batch, pk, check=False, strategy=strategy)
         if i % checkpoint_every == 0:
             cur = cur.checkpoint(eager=True)
     return cur

@@ -85,8 +85,8 @@ def _account_base(spark, sf_dir) -> DataFrame:
     return c.unionByName(s)
 
 
-def _account_versions(spark, sf_dir) -> DataFrame:
-    p = postings(spark, sf_dir)
+def _account_versions(spark, sf_dir, p: DataFrame | None = None) -> DataFrame:
+    p = postings(spark, sf_dir) if p is None else p
     legs = p.select(F.col("credit_account_rk").alias("account_rk"), "oper_date").unionByName(
         p.select(F.col("debet_account_rk").alias("account_rk"), "oper_date"))
     span = legs.groupBy("account_rk").agg(F.min("oper_date").alias("lo"), F.max("oper_date").alias("hi"))
@@ -95,8 +95,8 @@ def _account_versions(spark, sf_dir) -> DataFrame:
         "account_rk", "currency_rk", "char_type", "acctbal", F.explode(months).alias("data_actual_date"))
 
 
-def accounts(spark, sf_dir) -> DataFrame:
-    v = _account_versions(spark, sf_dir)
+def accounts(spark, sf_dir, p: DataFrame | None = None) -> DataFrame:
+    v = _account_versions(spark, sf_dir, p)
     number = F.concat((F.lit(LEDGER_BASE) + F.col("currency_rk") % LEDGER_SPREAD).cast("string"),
                       F.lpad(F.col("account_rk").cast("string"), 15, "0"))
     return v.select(
@@ -110,8 +110,8 @@ def accounts(spark, sf_dir) -> DataFrame:
     )
 
 
-def balances(spark, sf_dir) -> DataFrame:
-    v = _account_versions(spark, sf_dir)
+def balances(spark, sf_dir, p: DataFrame | None = None) -> DataFrame:
+    v = _account_versions(spark, sf_dir, p)
     return v.filter(F.col("account_rk") % 17 != 3).select(
         F.date_sub("data_actual_date", 1).alias("on_date"),
         "account_rk",
@@ -134,8 +134,8 @@ def currencies(spark, sf_dir) -> DataFrame:
     )
 
 
-def rates(spark, sf_dir) -> DataFrame:
-    acc = accounts(spark, sf_dir)
+def rates(spark, sf_dir, acc: DataFrame | None = None) -> DataFrame:
+    acc = accounts(spark, sf_dir) if acc is None else acc
     span = acc.groupBy("currency_rk").agg(F.min("data_actual_date").alias("lo"),
                                           F.max("data_actual_date").alias("hi"))
     foreign = currencies(spark, sf_dir).filter(~F.col("currency_code").isin(*DOMESTIC_CODES))
@@ -200,3 +200,22 @@ VIEWS = {
 
 def view(spark, sf_dir, name) -> DataFrame:
     return VIEWS[name](spark, sf_dir)
+
+
+def materialize(spark, sf_dir, root: str, partitions: int | None = None) -> dict[str, str]:
+    """Store every view as Parquet under ``root``, each derived from the
+    stored ones it depends on (postings once, accounts once).  Postings are
+    range-partitioned and sorted by date so date filters skip row groups."""
+    out = {n: f"{root.rstrip('/')}/{n}" for n in VIEWS}
+    p = postings(spark, sf_dir)
+    if partitions:
+        p = p.repartitionByRange(partitions, "oper_date")
+    p.sortWithinPartitions("oper_date").write.mode("overwrite").parquet(out["ft_posting_f"])
+    stored_p = spark.read.parquet(out["ft_posting_f"])
+    accounts(spark, sf_dir, stored_p).write.mode("overwrite").parquet(out["md_account_d"])
+    stored_a = spark.read.parquet(out["md_account_d"])
+    balances(spark, sf_dir, stored_p).write.mode("overwrite").parquet(out["ft_balance_f"])
+    rates(spark, sf_dir, stored_a).write.mode("overwrite").parquet(out["md_exchange_rate_d"])
+    for n in ("md_currency_d", "md_ledger_account_s", "deltas"):
+        VIEWS[n](spark, sf_dir).write.mode("overwrite").parquet(out[n])
+    return out
