@@ -26,6 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .sizing import fits_broadcast
 from .upsert import check_batch_keys, merge
 
 DELTA_ID = "delta_id"
@@ -99,16 +100,18 @@ def last_loaded(log: DataFrame, table_name: str, order_col: str = DELTA_ID) -> i
 
 
 def merge_newer(mirror: DataFrame, batch: DataFrame, pk: Sequence[str], order_col: str = DELTA_ID,
-                broadcast_batch: bool = True) -> DataFrame:
+                broadcast_batch: bool | None = None) -> DataFrame:
     """Merge keeping, per key, the row with the highest ``order_col``.
 
     Both sides carry ``order_col``.  The result does not depend on the order
     in which batches arrive, so a stream that delivers delta 1005 before
-    1003 still converges to the fold of all deltas.  The (folded) batch is
-    broadcast; the mirror is streamed, plus one key-only scan.
+    1003 still converges to the fold of all deltas.  A (size-checked) small
+    batch is broadcast and the mirror is streamed, plus one key-only scan.
     """
     pk = list(pk)
     b = fold_deltas(batch, pk, order_col)
+    if broadcast_batch is None:  # size-checked; beyond the limit both joins shuffle on the key
+        broadcast_batch = fits_broadcast(batch)
     bk = b.select(*pk, F.col(order_col).alias("_bid"))
     bk = F.broadcast(bk) if broadcast_batch else bk
     kept = (mirror.join(bk, pk, "left")

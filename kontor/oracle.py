@@ -294,13 +294,13 @@ ORACLE.update({
               FROM orders)""",
     "text_normalise": """
         SELECT c_custkey, replace(upper(regexp_replace(raw, '\\s', '', 'g')), '''', '') AS key_text,
-               len(string_split(upper(regexp_replace(raw, '\\s', '', 'g')), ',')) AS n_parts,
+               CAST(len(string_split(upper(regexp_replace(raw, '\\s', '', 'g')), ',')) AS INTEGER) AS n_parts,
                string_split(upper(regexp_replace(raw, '\\s', '', 'g')), ',')[1] AS first_part
         FROM (SELECT c_custkey, lower(c_name) || ', ' || ' ' || c_mktsegment || ''' ' AS raw FROM customer)""",
     "log_chunk": """
-        SELECT doc_id, piece, row_number() OVER (ORDER BY doc_id, piece) AS record_id,
+        SELECT doc_id, CAST(piece AS INTEGER) AS piece, row_number() OVER (ORDER BY doc_id, piece) AS record_id,
                substr(text, piece * 4000 + 1, 4000) AS message, 1 AS message_type,
-               length(substr(text, piece * 4000 + 1, 4000)) AS chunk_chars
+               CAST(length(substr(text, piece * 4000 + 1, 4000)) AS INTEGER) AS chunk_chars
         FROM documents,
         LATERAL (SELECT unnest(generate_series(0, (length(text) - 1) // 4000)) AS piece)
         WHERE length(text) > 0""",
