@@ -367,3 +367,16 @@ ORACLE.update({
         UNION ALL SELECT 'md_currency_d', 'error_exist_object', 'no extract for md_currency_d'"""),
 })
 ORACLE["csv_tab_roundtrip"] = ORACLE["discipline_join"]
+
+ORACLE.update({
+    "literal_dim": """
+        WITH dim(row_id, event_type, category) AS (VALUES
+            (1, 'view', 'browse'), (2, 'click', 'browse'), (3, 'signup', 'account'),
+            (4, 'login', 'account'), (5, 'purchase', 'order'), (6, 'refund', 'order'),
+            (7, 'error', 'system'))
+        SELECT CAST(row_id AS BIGINT) AS row_id, event_type, category,
+               EXISTS (SELECT 1 FROM events e WHERE e.event_type = dim.event_type) AS seen
+        FROM dim""",
+    "detail_load_postings": with_views("SELECT * FROM ft_posting_f"),
+    "detail_load_rates": with_views("SELECT * FROM md_exchange_rate_d"),
+})

@@ -132,6 +132,14 @@ def q_discipline_join(spark, d):
     return DC.join_counts(DC.literal_dimension(spark), counts, "event_type")
 
 
+def q_literal_dim(spark, d):
+    """The literal dimension, each type flagged when events carry it."""
+    seen = TB.table(spark, d, "events").select("event_type").distinct().withColumn("seen", F.lit(True))
+    dim = DC.literal_dimension(spark)
+    return dim.join(seen, "event_type", "left").select("row_id", "event_type", "category",
+                                                        F.coalesce("seen", F.lit(False)).alias("seen"))
+
+
 def q_date_bounds(spark, d):
     o = TB.table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("d")).distinct()
     return o.select("d", D.month_start("d").alias("month_start"), D.month_end("d").alias("month_end"),
@@ -204,6 +212,7 @@ QUERIES: dict[str, Query] = {
     "group_count": q_group_count,
     "last_delta_id": q_last_delta_id,
     "discipline_join": q_discipline_join,
+    "literal_dim": q_literal_dim,
     "date_bounds": q_date_bounds,
     "month_spine": q_month_spine,
     "date_parse": q_date_parse,

@@ -203,6 +203,25 @@ def _detail_run(spark, d):
     return out, log_path
 
 
+def _load_one(spark, d, name, extract_df, date_format=None):
+    root = scratch_path(spark, "detail")
+    x = SK.write_extract(extract_df, scratch_path(spark, f"x-{name}"), date_format)
+    out = DLOAD.load_tables(spark, {name: x}, root, scratch_path(spark, "load-log"))
+    s = spec(name)
+    return spark.read.schema(s.schema).parquet(out[name]).select(*s.columns)
+
+
+def q_detail_load_postings(spark, d):
+    """Posting extract with repeated keys (one row per line item): summed per key at load."""
+    return _load_one(spark, d, "ft_posting_f", TB.raw_postings(spark, d))
+
+
+def q_detail_load_rates(spark, d):
+    """Rate extract with every row twice: exact duplicates dropped at load."""
+    fx = TB.rates(spark, d)
+    return _load_one(spark, d, "md_exchange_rate_d", fx.unionByName(fx))
+
+
 def q_detail_load(spark, d):
     out, _ = _detail_run(spark, d)
     s = spec("ft_balance_f")
@@ -229,5 +248,7 @@ QUERIES_IO = {
     "csv_tab_roundtrip": q_csv_tab_roundtrip,
     "mart_roundtrip": q_mart_roundtrip,
     "detail_load": q_detail_load,
+    "detail_load_postings": q_detail_load_postings,
+    "detail_load_rates": q_detail_load_rates,
     "run_log": q_run_log,
 }
