@@ -77,14 +77,18 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 
 
 def _partition_value(v) -> str:
-    if isinstance(v, (_dt.date, _dt.datetime)):
-        return v.isoformat()[:10] if isinstance(v, _dt.date) and not isinstance(v, _dt.datetime) else str(v)
+    """Directory value of a partition: dates as yyyy-MM-dd."""
+    if isinstance(v, _dt.date) and not isinstance(v, _dt.datetime):
+        return v.isoformat()
     return str(v)
 
 
-def replace_slices(df: DataFrame, path: str, partition_col: str, slices: Iterable) -> dict:
+def replace_slices(df: DataFrame, path: str, partition_col: str, slices: Iterable, spread: int = 4) -> dict:
     """Replace the given partition values of a table with ``df``'s rows.
 
+    Rows are first hashed on (slice, a deterministic salt in [0, spread)):
+    each slice is written by at most ``spread`` tasks (bounded file count),
+    and a slice holding a third of the rows is still split ``spread`` ways.
     Rows of ``df`` outside ``slices`` are an error (they would silently
     overwrite other slices).  Returns {slice: rows written}.
     """
@@ -95,7 +99,8 @@ def replace_slices(df: DataFrame, path: str, partition_col: str, slices: Iterabl
     metrics = [F.count(F.lit(1)).alias("_total"), F.sum(F.when(~inside, 1).otherwise(0)).alias("_outside")]
     for i, v in enumerate(slices):
         metrics.append(F.sum(F.when(F.col(partition_col) == F.lit(v), 1).otherwise(0)).alias(f"_s{i}"))
-    observed = df.observe(obs, *metrics)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(max(1, spread)))
+    observed = df.observe(obs, *metrics).repartition(F.col(partition_col), salt)
     (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     m = obs.get
