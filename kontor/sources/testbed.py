@@ -204,18 +204,26 @@ def view(spark, sf_dir, name) -> DataFrame:
 
 def materialize(spark, sf_dir, root: str, partitions: int | None = None) -> dict[str, str]:
     """Store every view as Parquet under ``root``, each derived from the
-    stored ones it depends on (postings once, accounts once).  Postings are
-    range-partitioned and sorted by date so date filters skip row groups."""
+    stored ones it depends on (postings once, accounts once).
+
+    Large tables are range-partitioned and sorted on their date column, so
+    a date filter skips files and row groups (min/max statistics), and a
+    scan is split over ``partitions`` files instead of one."""
     out = {n: f"{root.rstrip('/')}/{n}" for n in VIEWS}
-    p = postings(spark, sf_dir)
-    if partitions:
-        p = p.repartitionByRange(partitions, "oper_date")
-    p.sortWithinPartitions("oper_date").write.mode("overwrite").parquet(out["ft_posting_f"])
-    stored_p = spark.read.parquet(out["ft_posting_f"])
-    accounts(spark, sf_dir, stored_p).write.mode("overwrite").parquet(out["md_account_d"])
-    stored_a = spark.read.parquet(out["md_account_d"])
-    balances(spark, sf_dir, stored_p).write.mode("overwrite").parquet(out["ft_balance_f"])
-    rates(spark, sf_dir, stored_a).write.mode("overwrite").parquet(out["md_exchange_rate_d"])
-    for n in ("md_currency_d", "md_ledger_account_s", "deltas"):
-        VIEWS[n](spark, sf_dir).write.mode("overwrite").parquet(out[n])
+
+    def store(df, name, date_col=None):
+        if date_col:
+            if partitions:
+                df = df.repartitionByRange(partitions, date_col)
+            df = df.sortWithinPartitions(date_col)
+        df.write.mode("overwrite").parquet(out[name])
+        return spark.read.parquet(out[name])
+
+    stored_p = store(postings(spark, sf_dir), "ft_posting_f", "oper_date")
+    stored_a = store(accounts(spark, sf_dir, stored_p), "md_account_d", "data_actual_date")
+    store(balances(spark, sf_dir, stored_p), "ft_balance_f", "on_date")
+    store(rates(spark, sf_dir, stored_a), "md_exchange_rate_d")
+    store(deltas(spark, sf_dir), "deltas", "delta_id")
+    for n in ("md_currency_d", "md_ledger_account_s"):
+        store(VIEWS[n](spark, sf_dir), n)
     return out
