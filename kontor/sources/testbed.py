@@ -29,12 +29,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import collapse_by_key
+from ..specs import DOMESTIC_CURRENCY_CODES as DOMESTIC_CODES
 
 # Fixed values of the derived test ledger (shared with kontor.oracle):
 SUPPLIER_ACCOUNT_OFFSET = 1_000_000_000_000
 LEDGER_BASE = 30100
 LEDGER_SPREAD = 7
-DOMESTIC_CODES = ("643", "810")
 OPEN_START = "1900-01-01"
 OPEN_END = "2999-12-31"
 
@@ -44,8 +44,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def currency_code(rk: Column) -> Column:
-    return (F.when(rk % 10 == 0, F.lit("643"))
-            .when(rk % 10 == 5, F.lit("810"))
+    return (F.when(rk % 10 == 0, F.lit(DOMESTIC_CODES[0]))
+            .when(rk % 10 == 5, F.lit(DOMESTIC_CODES[1]))
             .otherwise(F.lpad(rk.cast("string"), 3, "0")))
 
 

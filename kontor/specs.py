@@ -68,6 +68,10 @@ class TableSpec:
         return [c for c in self.columns if c not in self.pk]
 
 
+# Fixed values that must equal the source system's:
+# domestic currency codes (rouble, old and new ISO numbers).
+DOMESTIC_CURRENCY_CODES = ("643", "810")
+
 MONEY = "decimal(18,2)"
 RATE = "decimal(18,8)"
 MART = "decimal(23,8)"
