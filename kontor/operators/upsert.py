@@ -64,6 +64,23 @@ def check_batch_keys(batch: DataFrame, pk: Sequence[str], null_keys: str = "reje
         raise DuplicateKeyError(f"key {pk} repeated in batch: {dup[0].asDict()}")
 
 
+def resolve_keys(keys: str | Sequence[str], df: DataFrame) -> list[str]:
+    """User key list ('data_actual_date, ACCOUNT_RK') -> the table's column names.
+
+    Names are normalised (blanks removed, case folded) and matched without
+    regard to case; every key must be a column, else ``ValueError`` names
+    the missing ones.
+    """
+    from ..functions.text import normalise_key_list
+
+    wanted = normalise_key_list(keys)
+    by_upper = {c.upper(): c for c in df.columns}
+    missing = [k for k in wanted if k not in by_upper]
+    if missing or not wanted:
+        raise ValueError(f"key column(s) {missing or wanted} not in {df.columns}")
+    return [by_upper[k] for k in wanted]
+
+
 def check_columns(target: DataFrame, batch: DataFrame, pk: Sequence[str]) -> None:
     missing = [k for k in pk if k not in target.columns or k not in batch.columns]
     if missing:
@@ -120,17 +137,8 @@ def upsert(target: DataFrame, batch: DataFrame, pk: Sequence[str], *, check: boo
                            for c in cols])
         return updated.unionByName(new)
 
-    t = target.withColumn("_in_t", F.lit(True))
-    j = t.join(b, pk, "full")
-    out = []
-    for c in cols:
-        if c in pk:
-            out.append(F.col(c))
-        elif c in updated_cols:
-            out.append(F.when(F.col("_in_b"), F.col(f"_b_{c}")).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.col(c))
-    return j.select(*out)
+    # one full outer join on the key; the USING form coalesces the key columns
+    return target.join(b, pk, "full").select(*merged(F.coalesce("_in_b", F.lit(False))))
 
 
 def merge(mirror: DataFrame, batch: DataFrame, pk: Sequence[str], **kw) -> DataFrame:

@@ -50,3 +50,11 @@ def test_unknown_key_column_raises(spark):
     t = spark.createDataFrame([(1, "x", 10)], T)
     with pytest.raises(ValueError):
         upsert(t, t, ["nope"])
+
+
+def test_resolve_keys(spark):
+    from kontor.operators.upsert import resolve_keys
+    df = spark.createDataFrame([(1, "a")], "account_rk bigint, data_actual_date string")
+    assert resolve_keys(" DATA_ACTUAL_DATE , account_rk", df) == ["data_actual_date", "account_rk"]
+    with pytest.raises(ValueError):
+        resolve_keys("account_rk, client_id", df)
