@@ -111,7 +111,7 @@ def upsert(target: DataFrame, batch: DataFrame, pk: Sequence[str], *, check: boo
     if not partial:
         keys = batch.select(*pk)
         keys = F.broadcast(keys) if how == "broadcast" else keys
-        return target.join(keys, pk, "left_anti").unionByName(batch.select(*cols))
+        return target.join(keys, pk, "left_anti").select(*cols).unionByName(batch.select(*cols))
 
     updated_cols = [c for c in batch.columns if c not in pk]
     b = batch.select(*pk, *[F.col(c).alias(f"_b_{c}") for c in updated_cols], F.lit(True).alias("_in_b"))
@@ -135,7 +135,7 @@ def upsert(target: DataFrame, batch: DataFrame, pk: Sequence[str], *, check: boo
         new = batch.join(matched, pk, "left_anti")
         new = new.select(*[F.col(c) if c in batch.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
                            for c in cols])
-        return updated.unionByName(new)
+        return updated.select(*cols).unionByName(new)
 
     # one full outer join on the key; the USING form coalesces the key columns
     return target.join(b, pk, "full").select(*merged(F.coalesce("_in_b", F.lit(False))))

@@ -58,3 +58,11 @@ def test_resolve_keys(spark):
     assert resolve_keys(" DATA_ACTUAL_DATE , account_rk", df) == ["data_actual_date", "account_rk"]
     with pytest.raises(ValueError):
         resolve_keys("account_rk, client_id", df)
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle"])
+def test_column_order_of_target_is_kept(spark, strategy):
+    t = spark.createDataFrame([("x", 10, 1)], "a string, b bigint, k bigint")
+    b = spark.createDataFrame([("y", 11, 1), ("z", 12, 2)], "a string, b bigint, k bigint")
+    assert upsert(t, b, ["k"], strategy=strategy).columns == ["a", "b", "k"]
+    assert upsert(t, b.select("k", "b"), ["k"], strategy=strategy).columns == ["a", "b", "k"]
