@@ -63,13 +63,20 @@ def build_session(master: str | None = None, app_name: str = "kontor",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set one only when the session has none."""
+    """The shared checkpoint folder; set one only when the session has none.
+
+    Local sessions (tests) get a fresh temporary folder; a cluster session
+    without ``spark.checkpoint.dir`` is an error.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            # executors could not reach a folder on the driver's disk
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         configured = tempfile.mkdtemp(prefix="kontor-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
