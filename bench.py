@@ -77,6 +77,8 @@ def main() -> None:
     args = (v["md_ledger_account_s"], A, v["md_currency_d"], v["ft_balance_f"], R, T, CALL_DATE)
     q["f101_report"] = timed(lambda: run(F101.f101_report(*args, fan_out=True)))
     q["f101_preagg"] = timed(lambda: run(F101.f101_report(*args, fan_out=False)))
+    span = P.agg(F.min("oper_date").alias("lo"), F.max("oper_date").alias("hi")).first()
+    q["f101_all"] = timed(lambda: run(F101.f101_range(*args[:-1], span["lo"], span["hi"])))
 
     empty = spark.createDataFrame([], MIRROR_SCHEMA)
     q["delta_fold"] = timed(lambda: run(DL.apply_deltas(empty, v["deltas"], MIRROR_PK)))

@@ -168,16 +168,18 @@ _MEASURES = [f"{m}_{c}" for m in ("balance_in", "turn_deb", "turn_cre", "balance
              for c in ("rub", "val", "total")]
 
 
-def _f101_sql(call: str, first: str, last: str, eve: str, preagg: bool) -> str:
+def _f101_sql(call: str, first: str, last: str, eve: str, preagg: bool, months: bool = False) -> str:
+    """Form 101 in SQL.  Arguments are SQL date expressions; with ``months``
+    every month of the ``months`` CTE (alias ``mo``) is reported."""
     if preagg:
         turn = f"""(SELECT account_rk, sum(debet_amount_rub) AS debet_amount_rub,
                           sum(credit_amount_rub) AS credit_amount_rub
                    FROM dm_account_turnover_f
-                   WHERE on_date BETWEEN DATE '{first}' AND DATE '{last}'
+                   WHERE on_date BETWEEN {first} AND {last}
                    GROUP BY account_rk) t ON t.account_rk = acc.account_rk"""
     else:
         turn = f"""dm_account_turnover_f t ON t.account_rk = acc.account_rk
-                   AND t.on_date BETWEEN DATE '{first}' AND DATE '{last}'"""
+                   AND t.on_date BETWEEN {first} AND {last}"""
     dom = "cur.currency_code IN ('643', '810')"
     fx = "b.balance_out * er.reduced_cource"
     closing = """CASE WHEN characteristic = 'A' THEN {p}_rub_in - turn_cre_{s} + turn_deb_{s}
@@ -192,9 +194,11 @@ def _f101_sql(call: str, first: str, last: str, eve: str, preagg: bool) -> str:
     for m in _MEASURES:
         final.append(f"CAST({values[m]} AS DECIMAL(23,8)) AS {m}")
         final.append(f"CAST(NULL AS DECIMAL(23,8)) AS r_{m}")
+    source = "months mo JOIN md_ledger_account_s s ON TRUE" if months else "md_ledger_account_s s"
+    group_month = "mo.m, " if months else ""
     return f"""
     f101_groups AS (
-        SELECT DATE '{first}' AS from_date, DATE '{last}' AS to_date, s.chapter,
+        SELECT {first} AS from_date, {last} AS to_date, s.chapter,
                substr(acc.account_number, 1, 5) AS ledger_account, acc.char_type AS characteristic,
                sum(CASE WHEN {dom} THEN b.balance_out ELSE 0 END) AS balance_in_rub,
                sum(CASE WHEN NOT ({dom}) THEN {fx} ELSE 0 END) AS balance_in_val,
@@ -205,24 +209,37 @@ def _f101_sql(call: str, first: str, last: str, eve: str, preagg: bool) -> str:
                sum(CASE WHEN {dom} THEN coalesce(t.credit_amount_rub, 0) ELSE 0 END) AS turn_cre_rub,
                sum(CASE WHEN NOT ({dom}) THEN coalesce(t.credit_amount_rub, 0) ELSE 0 END) AS turn_cre_val,
                sum(coalesce(t.credit_amount_rub, 0)) AS turn_cre_total
-        FROM md_ledger_account_s s
+        FROM {source}
         JOIN md_account_d acc ON substr(acc.account_number, 1, 5) = CAST(s.ledger_account AS VARCHAR)
         JOIN md_currency_d cur ON cur.currency_rk = acc.currency_rk
-        LEFT JOIN ft_balance_f b ON b.account_rk = acc.account_rk AND b.on_date = DATE '{eve}'
+        LEFT JOIN ft_balance_f b ON b.account_rk = acc.account_rk AND b.on_date = {eve}
         LEFT JOIN md_exchange_rate_d er ON er.currency_rk = acc.currency_rk
-             AND DATE '{call}' BETWEEN er.data_actual_date AND er.data_actual_end_date
+             AND {call} BETWEEN er.data_actual_date AND er.data_actual_end_date
         LEFT JOIN {turn}
-        WHERE DATE '{call}' BETWEEN s.start_date AND s.end_date
-          AND DATE '{call}' BETWEEN acc.data_actual_date AND acc.data_actual_end_date
-          AND DATE '{call}' BETWEEN cur.data_actual_date AND cur.data_actual_end_date
-        GROUP BY s.chapter, substr(acc.account_number, 1, 5), acc.char_type)
+        WHERE {call} BETWEEN s.start_date AND s.end_date
+          AND {call} BETWEEN acc.data_actual_date AND acc.data_actual_end_date
+          AND {call} BETWEEN cur.data_actual_date AND cur.data_actual_end_date
+        GROUP BY {group_month}s.chapter, substr(acc.account_number, 1, 5), acc.char_type)
     SELECT {", ".join(final)}
     FROM f101_groups"""
 
 
 def f101_oracle(preagg: bool) -> str:
     return with_views("WITH " + turnover_cte(MONTH_START, MONTH_END) + ","
-                      + _f101_sql(CALL_DATE, MONTH_START, MONTH_END, "1998-02-28", preagg))
+                      + _f101_sql(f"DATE '{CALL_DATE}'", f"DATE '{MONTH_START}'", f"DATE '{MONTH_END}'",
+                                  "DATE '1998-02-28'", preagg))
+
+
+def f101_all_oracle() -> str:
+    months = """
+    months AS (SELECT CAST(g.m AS DATE) AS m
+               FROM (SELECT min(oper_date) AS lo, max(oper_date) AS hi FROM ft_posting_f) r,
+               LATERAL (SELECT unnest(generate_series(CAST(date_trunc('month', r.lo) AS DATE),
+                                                      CAST(date_trunc('month', r.hi) AS DATE),
+                                                      INTERVAL 1 MONTH)) AS m) g),"""
+    return with_views("WITH " + turnover_cte(None, None) + "," + months
+                      + _f101_sql("last_day(mo.m)", "mo.m", "last_day(mo.m)",
+                                  "CAST(mo.m - INTERVAL 1 DAY AS DATE)", False, months=True))
 
 
 ORACLE["f101_report"] = f101_oracle(False)
@@ -380,3 +397,5 @@ ORACLE.update({
     "detail_load_postings": with_views("SELECT * FROM ft_posting_f"),
     "detail_load_rates": with_views("SELECT * FROM md_exchange_rate_d"),
 })
+
+ORACLE["f101_all"] = f101_all_oracle()

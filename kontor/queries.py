@@ -71,6 +71,16 @@ def q_f101_preagg(spark, d):
     return _f101(spark, d, False)
 
 
+def q_f101_all(spark, d):
+    """Every month of the data in one job, each as called on its last day."""
+    v = {name: TB.view(spark, d, name) for name in TB.VIEWS}
+    p, a, r = v["ft_posting_f"], v["md_account_d"], v["md_exchange_rate_d"]
+    span = p.agg(F.min("oper_date").alias("lo"), F.max("oper_date").alias("hi")).first()
+    turn = TO.account_turnover(p, a, r)
+    return F101.f101_range(v["md_ledger_account_s"], a, v["md_currency_d"], v["ft_balance_f"], r, turn,
+                           span["lo"], span["hi"])
+
+
 def q_valid_at(spark, d):
     """Every account version with the rate valid on the version's first day."""
     acc = TB.accounts(spark, d).select("account_rk", "data_actual_date", "currency_rk")
@@ -201,6 +211,7 @@ QUERIES: dict[str, Query] = {
     "turnover_all": q_turnover_all,
     "f101_report": q_f101_report,
     "f101_preagg": q_f101_preagg,
+    "f101_all": q_f101_all,
     "valid_at": q_valid_at,
     "opening_balance": q_opening_balance,
     "ledger_prefix_join": q_ledger_prefix_join,
