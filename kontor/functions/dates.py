@@ -7,9 +7,6 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-ColumnOrDate = "Column | str | datetime.date"
-
-
 def as_date(value) -> Column:
     """A date, an ISO date string ('1998-03-03'), a column name or a column -> column."""
     if isinstance(value, Column):
@@ -47,10 +44,6 @@ def prev_month_end(d) -> Column:
     return F.date_sub(month_start(d), 1)
 
 
-def next_day(d) -> Column:
-    return F.date_add(as_date(d), 1)
-
-
 def valid_at(d, lo: str | Column, hi: str | Column) -> Column:
     """``d BETWEEN lo AND hi`` -- a closed validity interval."""
     lo = F.col(lo) if isinstance(lo, str) else lo
@@ -87,11 +80,6 @@ def days_between(start, end) -> Column:
     return F.sequence(as_date(start), as_date(end), F.expr("INTERVAL 1 DAY"))
 
 
-def months_between_starts(start, end) -> Column:
-    """Month starts from month(start) to month(end) as an array."""
-    return F.sequence(month_start(start), month_start(end), F.expr("INTERVAL 1 MONTH"))
-
-
 def month_days(d) -> list[_dt.date]:
     """Driver-side list of the days of d's month (a parameter, never data)."""
     d = py_date(d)

@@ -10,7 +10,6 @@ categories are event types.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.text import capitalise
 from ..operators.aggregates import count_by

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, py_date
 
-MEASURES = ("credit_amount", "debet_amount")
-OUT_COLS = ["oper_dates", "max_credit_amount", "min_credit_amount", "max_debet_amount", "min_debet_amount"]
-
-
 def posting_minmax(postings: DataFrame) -> DataFrame:
     """For every posting date: max and min credit and debit amounts."""
     return postings.groupBy(F.col("oper_date").alias("oper_dates")).agg(
@@ -28,11 +24,6 @@ def posting_minmax(postings: DataFrame) -> DataFrame:
     )
 
 
-def posting_minmax_on(postings: DataFrame, on_date) -> DataFrame:
-    """One call date; the filter reaches the Parquet scan."""
-    return posting_minmax(postings.filter(F.col("oper_date") == as_date(on_date)))
-
-
 def posting_minmax_guarded(postings: DataFrame, on_date) -> DataFrame:
     """Same, with the source's guard: only if the date occurs in postings."""
     d = as_date(on_date)
