@@ -14,6 +14,9 @@ into one task.  Instead:
 The frame is checkpointed to the shared checkpoint folder between steps
 2 and 3 so both reads see the same partitioning, and lineage is cut.
 
+The order columns must be unique (a key): ties would make the ids depend
+on the partitioning, and equal values cannot be split across ranges.
+
 With ``weight`` each row reserves ``weight`` consecutive ids (a document
 that splits into n pieces reserves n), so pieces can be numbered after
 the ids are assigned, without shuffling the pieces themselves.
