@@ -159,6 +159,11 @@ SPECS: dict[str, TableSpec] = {
             "load_logs",
             "sources string, action_date timestamp, status string, description string, error string",
         ),
+        TableSpec(
+            "extract_logs",
+            "action_date timestamp, status string, description string, error string",
+            description="export / import / table-function runs",
+        ),
         TableSpec(
             "etl_log",
             "action_date timestamp, status string, delta_id int, table_name string",
