@@ -71,7 +71,7 @@ def delta_ids(deltas: DataFrame, after: int | None = None, order_col: str = DELT
 
 
 def apply_deltas_chain(mirror: DataFrame, deltas: DataFrame, pk: Sequence[str], after: int | None = None,
-                       order_col: str = DELTA_ID, checkpoint_every: int = 8,
+                       order_col: str = DELTA_ID, checkpoint_every: int = 16,
                        strategy: str = "auto") -> DataFrame:
     """One merge per delta id, in numeric order; lineage cut every few merges."""
     from ..session import checkpoint_root

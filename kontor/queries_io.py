@@ -109,12 +109,6 @@ def q_delta_incremental(spark, d):
     return DL.apply_deltas(mirror, deltas, MIRROR_PK, after=last)
 
 
-def _write_delta_folders(spark, d):
-    root = scratch_path(spark, "deltas")
-    SK.write_csv(TB.deltas(spark, d).repartition("delta_id"), root, date_format=DELTA_DATE_FORMAT)
-    return root
-
-
 def _write_delta_folders_partitioned(spark, d):
     root = scratch_path(spark, "deltas")
     (TB.deltas(spark, d).write.partitionBy("delta_id").options(header=True, sep=";", dateFormat=DELTA_DATE_FORMAT)
