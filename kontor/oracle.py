@@ -333,6 +333,15 @@ ORACLE.update({
             SELECT 'documents', (SELECT count(*) FROM documents))
         UNION ALL SELECT 'no_such_table', false, false""",
 })
+ORACLE["posting_minmax_guarded"] = with_views("""
+        WITH days AS (SELECT CAST(unnest(generate_series(min(oper_date), max(oper_date), INTERVAL 1 DAY)) AS DATE) AS d
+                      FROM ft_posting_f)
+        SELECT p.oper_date AS oper_dates, max(p.credit_amount) AS max_credit_amount,
+               min(p.credit_amount) AS min_credit_amount, max(p.debet_amount) AS max_debet_amount,
+               min(p.debet_amount) AS min_debet_amount
+        FROM days JOIN ft_posting_f p ON p.oper_date = days.d
+        WHERE days.d IN (SELECT oper_date FROM ft_posting_f)
+        GROUP BY p.oper_date""")
 ORACLE["posting_minmax_tvf"] = ORACLE["posting_minmax_guarded"]
 
 
@@ -374,7 +383,7 @@ ORACLE.update({
         "FROM turn_legs GROUP BY", "FROM turn_legs WHERE on_date <> DATE '1998-03-03' GROUP BY")),
     "csv_extract": with_views("SELECT * FROM ft_balance_f"),
     "csv_infer": with_views("SELECT * FROM ft_posting_f"),
-    "mart_roundtrip": _TURN_MONTH,
+    "mart_roundtrip": with_views("WITH" + _turnover_sql(None, None)),
     "detail_load": with_views("SELECT * FROM ft_balance_f"),
     "run_log": with_views("""
         SELECT 'ft_balance_f' AS sources, 'start_upload' AS status, 'upload into ft_balance_f' AS description

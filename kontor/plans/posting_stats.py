@@ -5,6 +5,8 @@ The source function returns nothing for a date without postings (an
 ``IN (subquery)`` guard).  Grouping an empty filter already yields no
 rows, so the guard is redundant; ``posting_minmax_guarded`` keeps it as
 a left-semi join (what Catalyst makes of ``IN (subquery)``) for fidelity.
+Both the guarded form and the SQL table function take many dates at
+once (a frame of dates, or a LATERAL call), so a whole calendar is one job.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, py_date
+from ..operators.sizing import sized_broadcast
 
 def posting_minmax(postings: DataFrame) -> DataFrame:
     """For every posting date: max and min credit and debit amounts."""
@@ -24,11 +27,26 @@ def posting_minmax(postings: DataFrame) -> DataFrame:
     )
 
 
-def posting_minmax_guarded(postings: DataFrame, on_date) -> DataFrame:
-    """Same, with the source's guard: only if the date occurs in postings."""
-    d = as_date(on_date)
-    wanted = postings.filter(F.col("oper_date") == d).select("oper_date").limit(1)
-    return posting_minmax(postings.filter(F.col("oper_date") == d).join(wanted, "oper_date", "left_semi"))
+def _requested(postings: DataFrame, on_dates) -> DataFrame:
+    """Requested dates as a one-column frame ``oper_date``."""
+    if isinstance(on_dates, DataFrame):
+        return on_dates.select(F.col(on_dates.columns[0]).cast("date").alias("oper_date"))
+    return postings.sparkSession.range(1).select(as_date(on_dates).alias("oper_date"))
+
+
+def posting_minmax_guarded(postings: DataFrame, on_dates) -> DataFrame:
+    """Min/max for each requested date (one date or a frame of dates) that
+    occurs in postings -- the source's ``IF d IN (SELECT oper_date ...)``
+    guard as a left-semi join; a requested date without postings gives no row."""
+    wanted = _requested(postings, on_dates)
+    present = wanted.join(postings.select("oper_date"), "oper_date", "left_semi")
+    return posting_minmax(postings.join(sized_broadcast(present), "oper_date", "left_semi"))
+
+
+def day_spine(postings: DataFrame) -> DataFrame:
+    """Every calendar day from the first to the last posting date (column ``day``)."""
+    return postings.agg(F.min("oper_date").alias("lo"), F.max("oper_date").alias("hi")).select(
+        F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
 
 
 def register_posting_function(spark: SparkSession, postings_view: str,
@@ -52,6 +70,16 @@ def register_posting_function(spark: SparkSession, postings_view: str,
     return name
 
 
+def call_posting_function_over(spark: SparkSession, postings: DataFrame, days: DataFrame,
+                               view: str = "ds_ft_posting_f", name: str = "func_ds_ft_posting_f") -> DataFrame:
+    """The table function called once per requested day, as a LATERAL call;
+    Catalyst decorrelates it into one grouped aggregation and a join."""
+    postings.createOrReplaceTempView(view)
+    days.select(F.col(days.columns[0]).cast("date").alias("day")).createOrReplaceTempView(f"{view}_days")
+    register_posting_function(spark, view, name)
+    return spark.sql(f"SELECT f.* FROM {view}_days d, LATERAL {name}(d.day) f")
+
+
 def call_posting_function(spark: SparkSession, postings: DataFrame, on_date,
                           view: str = "ds_ft_posting_f", name: str = "func_ds_ft_posting_f") -> DataFrame:
     postings.createOrReplaceTempView(view)

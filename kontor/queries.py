@@ -112,11 +112,15 @@ def q_posting_minmax(spark, d):
 
 
 def q_posting_minmax_guarded(spark, d):
-    return PS.posting_minmax_guarded(TB.postings(spark, d), CALL_DATE)
+    """Every calendar day of the postings' range requested; days without postings give no row."""
+    p = TB.postings(spark, d)
+    return PS.posting_minmax_guarded(p, PS.day_spine(p))
 
 
 def q_posting_minmax_tvf(spark, d):
-    return PS.call_posting_function(spark, TB.postings(spark, d), CALL_DATE)
+    """The SQL table function called laterally for every calendar day of the range."""
+    p = TB.postings(spark, d)
+    return PS.call_posting_function_over(spark, p, PS.day_spine(p))
 
 
 def q_rate_dedup(spark, d):

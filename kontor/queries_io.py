@@ -173,9 +173,10 @@ def q_csv_tab_roundtrip(spark, d):
 
 
 def q_mart_roundtrip(spark, d):
+    """The whole turnover mart exported to CSV and re-imported into a clone."""
     p, a, r = _month_views(spark, d)
     s = spec("dm_account_turnover_f")
-    csv = MT.export_mart(TO.turnover_month(p, a, r, CALL_DATE), scratch_path(spark, "mart-csv"))
+    csv = MT.export_mart(TO.account_turnover(p, a, r), scratch_path(spark, "mart-csv"))
     return MT.import_mart(spark, csv, s.schema, scratch_path(spark, "mart-clone"))
 
 
