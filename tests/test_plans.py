@@ -1,0 +1,70 @@
+"""The physical plans keep their scale properties."""
+
+import datetime as dt
+from decimal import Decimal as D
+
+from kontor.operators import scd as SCD
+from kontor.operators.upsert import upsert
+from kontor.plans import dimension_counts as DC
+from kontor.plans import f101 as F101
+from kontor.plans import turnover as TO
+from kontor.sources import testbed as TB
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_broadcast_upsert_never_shuffles_the_target(spark, tmp):
+    target = spark.range(100000).selectExpr("id AS k", "CAST(id AS STRING) AS v")
+    target.write.parquet(f"{tmp}/t")
+    t = spark.read.parquet(f"{tmp}/t")
+    batch = spark.createDataFrame([(5, "x"), (100001, "y")], "k bigint, v string")
+    p = plan(upsert(t, batch, ["k"], strategy="broadcast"))
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p
+    assert "Exchange hashpartitioning" not in p
+    p2 = plan(upsert(t, batch.select("k"), ["k"], strategy="broadcast"))
+    assert "Exchange hashpartitioning" not in p2
+
+
+def test_turnover_joins_versions_on_account_and_month(spark, monkeypatch):
+    monkeypatch.setattr(SCD, "fits_broadcast", lambda df, limit=0: False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = TB.postings(spark, SF)
+        out = TO.turnover_month(p, TB.accounts(spark, SF), TB.rates(spark, SF), "1998-03-03")
+        text = plan(out)
+        assert "SortMergeJoin" in text
+        smj = [line for line in text.splitlines() if "SortMergeJoin" in line]
+        assert any("_month" in line and "account_rk" in line for line in smj)
+        assert any("_vb" in line for line in smj)  # the rate join is month-bucketed when not broadcast
+        assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_f101_prefix_join_is_broadcast(spark):
+    v = {n: TB.view(spark, SF, n) for n in TB.VIEWS}
+    turn = TO.turnover_month(v["ft_posting_f"], v["md_account_d"], v["md_exchange_rate_d"], "1998-03-03")
+    text = plan(F101.f101_report(v["md_ledger_account_s"], v["md_account_d"], v["md_currency_d"],
+                                 v["ft_balance_f"], v["md_exchange_rate_d"], turn, "1998-03-03"))
+    bhj = [line for line in text.splitlines() if "BroadcastHashJoin" in line]
+    assert any("ledger_prefix" in line for line in bhj)
+    assert "BroadcastNestedLoopJoin" not in text
+
+
+def test_left_join_plus_null_drop_becomes_inner(spark):
+    counts = DC.counts_per(TB.table(spark, SF, "events"), "event_type")
+    text = plan(DC.join_counts(DC.literal_dimension(spark), counts, "event_type"))
+    assert "Inner" in text and "LeftOuter" not in text
+
+
+def test_date_filter_reaches_the_scan(spark, tmp):
+    rows = [(dt.date(2018, 1, d), 1, 2, D("1.00"), D("1.00")) for d in range(1, 29)]
+    spark.createDataFrame(rows, "oper_date date, credit_account_rk bigint, debet_account_rk bigint, "
+                                "credit_amount decimal(18,2), debet_amount decimal(18,2)").write.parquet(f"{tmp}/p")
+    p = spark.read.parquet(f"{tmp}/p")
+    text = plan(TO.day_sums(p, "2018-01-10", "2018-01-12"))
+    assert "PushedFilters: [IsNotNull(oper_date), GreaterThanOrEqual(oper_date,2018-01-10)" in text
