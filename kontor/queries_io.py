@@ -109,20 +109,20 @@ def q_delta_incremental(spark, d):
     return DL.apply_deltas(mirror, deltas, MIRROR_PK, after=last)
 
 
-def _write_delta_folders_partitioned(spark, d):
+def _write_delta_folders(spark, d):
+    """The deltas as numbered folders root/<delta_id>/part-*.csv."""
     root = scratch_path(spark, "deltas")
-    (TB.deltas(spark, d).write.partitionBy("delta_id").options(header=True, sep=";", dateFormat=DELTA_DATE_FORMAT)
-     .csv(root))
+    SK.write_numbered_folders(TB.deltas(spark, d), root, "delta_id", date_format=DELTA_DATE_FORMAT)
     return root
 
 
 def q_delta_scan(spark, d):
-    root = _write_delta_folders_partitioned(spark, d)
+    root = _write_delta_folders(spark, d)
     return CS.scan_delta_folders(spark, root, MIRROR_SCHEMA, date_format=DELTA_DATE_FORMAT)
 
 
 def q_delta_stream(spark, d):
-    root = _write_delta_folders_partitioned(spark, d)
+    root = _write_delta_folders(spark, d)
     mirror_root, ckpt = scratch_path(spark, "stream-mirror"), scratch_path(spark, "stream-ckpt")
     latest = run_mirror_stream(spark, root, mirror_root, ckpt, MIRROR_SCHEMA, MIRROR_PK,
                                date_format=DELTA_DATE_FORMAT, max_files_per_trigger=7)

@@ -115,6 +115,29 @@ def replace_slices(df: DataFrame, path: str, partition_col: str, slices: Iterabl
     return written
 
 
+def write_numbered_folders(df: DataFrame, root: str, id_col: str = "delta_id", sep: str = ";",
+                           date_format: str | None = None) -> list[str]:
+    """Batches as ``root/<id>/part-*.csv``, the layout of numbered delta folders.
+
+    One distributed, partitioned write, then each ``<id_col>=<id>`` folder is
+    renamed to the bare number (a metadata operation per batch).
+    """
+    spark = df.sparkSession
+    w = df.repartition(id_col).write.mode("overwrite").partitionBy(id_col).options(header=True, sep=sep)
+    if date_format:
+        w = w.option("dateFormat", date_format)
+    w.csv(root)
+    p, fs = _fs(spark, root)
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{id_col}="):
+            target = st.getPath().getParent().suffix(f"/{name.split('=', 1)[1]}")
+            fs.rename(st.getPath(), target)
+            out.append(target.toString())
+    return sorted(out)
+
+
 def next_version(spark: SparkSession, root: str) -> str:
     """root/v=<n+1> for copy-on-write tables: never write over what is being read."""
     p, fs = _fs(spark, root)

@@ -41,3 +41,15 @@ def test_versions_and_empty_clone(spark, tmp):
     empty = SK.clone_empty(df)
     assert empty.count() == 0 and empty.schema == df.schema
     assert os.path.isdir(v1.replace("file:", ""))
+
+
+def test_numbered_folders_round_trip(spark, tmp):
+    from pyspark.sql import types as T
+
+    from kontor.sources.csv import scan_delta_folders
+    df = spark.createDataFrame([(1000, 1, "a"), (1000, 2, "b"), (1001, 1, "c")], "delta_id int, k bigint, v string")
+    folders = SK.write_numbered_folders(df, f"{tmp}/d")
+    assert [f.rsplit("/", 1)[1] for f in folders] == ["1000", "1001"]
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+    back = scan_delta_folders(spark, f"{tmp}/d", schema)
+    assert sorted(map(tuple, back.collect())) == [(1000, 1, "a"), (1000, 2, "b"), (1001, 1, "c")]
