@@ -120,7 +120,8 @@ def write_numbered_folders(df: DataFrame, root: str, id_col: str = "delta_id", s
     """Batches as ``root/<id>/part-*.csv``, the layout of numbered delta folders.
 
     One distributed, partitioned write, then each ``<id_col>=<id>`` folder is
-    renamed to the bare number (a metadata operation per batch).
+    renamed to the bare number (one rename per batch: metadata on HDFS, a copy
+    on object stores).
     """
     spark = df.sparkSession
     w = df.repartition(id_col).write.mode("overwrite").partitionBy(id_col).options(header=True, sep=sep)
