@@ -10,7 +10,8 @@ as Parquet (as a detail layer would be); each job then runs against the
 stored tables and is executed completely with a ``noop`` write (no
 driver collect).  ``prepare`` is the time to derive and store the tables.
 
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (8).
+Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (8),
+BENCH_SHUFFLE_PARTITIONS (default 2 x BENCH_CPUS; AQE coalesces).
 """
 
 from __future__ import annotations
@@ -52,7 +53,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
-    spark = build_session(f"local[{cpus}]", app_name="kontor-bench", shuffle_partitions=2 * cpus,
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * cpus)))
+    spark = build_session(f"local[{cpus}]", app_name="kontor-bench", shuffle_partitions=parts,
                           extra={"spark.driver.memory": "16g",
                                  "spark.sql.files.maxPartitionBytes": str(32 * 1024 * 1024)})
     q: dict[str, float] = {}
