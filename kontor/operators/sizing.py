@@ -5,6 +5,15 @@ and marks the frame for broadcast only when the estimate is under the
 limit.  Beyond it the frame is returned unchanged: the join stays a
 shuffle join and AQE may still switch it to a broadcast at run time,
 from measured shuffle sizes.  An unknown estimate never broadcasts.
+
+Catalyst does not shrink estimates through filters, so a dimension
+filtered to one date (rates valid on the call date: one row per
+currency) can look as large as the whole table.  For dimensions the
+caller passes ``max_rows``: when the estimate is too large, the rows are
+*measured* -- ``limit(max_rows + 1).count()``, which stops early -- and
+the frame is broadcast if it holds at most ``max_rows`` rows.  Joining a
+fact table to a low-cardinality key (currency) by shuffle would put a
+third of the rows in one task, so such joins always take this path.
 """
 
 from __future__ import annotations
@@ -12,8 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimension tables (rates, currencies, chart of accounts) stay far below this.
+# Dimension tables (rates, currencies, chart of accounts) stay far below these.
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+DIMENSION_ROWS = 1_000_000
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -25,10 +35,14 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def fits_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> bool:
+def fits_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT, max_rows: int | None = None) -> bool:
     size = estimated_bytes(df)
-    return size is not None and size <= limit
+    if size is not None and size <= limit:
+        return True
+    if max_rows is None:
+        return False
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
+def sized_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT, max_rows: int | None = None) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df, limit, max_rows) else df

@@ -18,7 +18,7 @@ from .functions import dates as D
 from .functions import text as X
 from .operators import aggregates as AG
 from .operators.scd import join_valid_at
-from .operators.sizing import sized_broadcast
+from .operators.sizing import DIMENSION_ROWS, sized_broadcast
 from .plans import dimension_counts as DC
 from .plans import f101 as F101
 from .plans import posting_stats as PS
@@ -86,7 +86,7 @@ def q_valid_at(spark, d):
     acc = TB.accounts(spark, d).select("account_rk", "data_actual_date", "currency_rk")
     fx = TB.rates(spark, d)
     out = join_valid_at(acc.withColumnRenamed("data_actual_date", "version_date"), fx,
-                        ["currency_rk"], "version_date", how="left")
+                        ["currency_rk"], "version_date", how="left", max_rows=DIMENSION_ROWS)
     return out.select("account_rk", "version_date", "currency_rk", "reduced_cource")
 
 
@@ -103,7 +103,8 @@ def q_ledger_prefix_join(spark, d):
     """Account versions matched to their ledger account by number prefix."""
     acc = TB.accounts(spark, d)
     led = TB.ledger(spark, d).select("ledger_account", "chapter")
-    j = acc.join(sized_broadcast(led), F.substring(acc.account_number, 1, 5) == led.ledger_account.cast("string"))
+    j = acc.join(sized_broadcast(led, max_rows=DIMENSION_ROWS),
+                 F.substring(acc.account_number, 1, 5) == led.ledger_account.cast("string"))
     return j.select("account_rk", "data_actual_date", "ledger_account", "chapter")
 
 

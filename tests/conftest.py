@@ -11,7 +11,8 @@ from kontor.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app_name="kontor-tests", shuffle_partitions=8)
+    s = build_session("local[4]", app_name="kontor-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="kontor-test-warehouse-")})
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="kontor-test-ckpt-"))
     yield s

@@ -1,6 +1,7 @@
 """The physical plans keep their scale properties."""
 
 import datetime as dt
+import uuid
 from decimal import Decimal as D
 
 from kontor.operators import scd as SCD
@@ -30,7 +31,7 @@ def test_broadcast_upsert_never_shuffles_the_target(spark, tmp):
 
 
 def test_turnover_joins_versions_on_account_and_month(spark, monkeypatch):
-    monkeypatch.setattr(SCD, "fits_broadcast", lambda df, limit=0: False)
+    monkeypatch.setattr(SCD, "fits_broadcast", lambda df, limit=0, max_rows=None: False)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         p = TB.postings(spark, SF)
@@ -68,3 +69,30 @@ def test_date_filter_reaches_the_scan(spark, tmp):
     p = spark.read.parquet(f"{tmp}/p")
     text = plan(TO.day_sums(p, "2018-01-10", "2018-01-12"))
     assert "PushedFilters: [IsNotNull(oper_date), GreaterThanOrEqual(oper_date,2018-01-10)" in text
+
+
+def test_f101_over_bucketed_tables_shuffles_only_the_final_groups(spark, tmp):
+    from kontor.sinks.tables import save_bucketed
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    try:
+        paths = TB.materialize(spark, SF, f"{tmp}/stored")  # stored tables, as in production
+        v = {n: spark.read.parquet(p) for n, p in paths.items()}
+        turn = TO.account_turnover(v["ft_posting_f"], v["md_account_d"], v["md_exchange_rate_d"])
+        tag = uuid.uuid4().hex[:8]
+        names = [f"b_{x}_{tag}" for x in ("acc", "bal", "turn")]
+        for name, df in zip(names, (v["md_account_d"], v["ft_balance_f"], turn)):
+            save_bucketed(df, name, ["account_rk"], 8)
+        a, b, t = (spark.table(n) for n in names)
+        dims = (v["md_currency_d"],)
+        rep = F101.f101_report(v["md_ledger_account_s"], a, *dims, b, v["md_exchange_rate_d"], t, "1998-03-03")
+        rng = F101.f101_range(v["md_ledger_account_s"], a, *dims, b, v["md_exchange_rate_d"], t,
+                              "1998-01-01", "1998-06-30")
+        for df in (rep, rng):
+            text = plan(df)
+            assert text.count("Exchange hashpartitioning") == 1, text
+            assert "SortMergeJoin" in text
+        assert rep.count() > 0 and rng.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
