@@ -24,22 +24,26 @@ from ..specs import spec
 
 
 def chunk_messages(messages: DataFrame, key_cols: Sequence[str], text_col: str = "message",
-                   start_id: int | F.Column = 1, message_type: int = LOG_NOTICE,
+                   start_id: int | F.Column = 1, message_type: int | str = LOG_NOTICE,
                    size: int = LOG_CHUNK_CHARS) -> DataFrame:
-    """(keys..., piece, record_id, message, message_type) per piece of each message."""
+    """(keys..., piece, record_id, message, message_type) per piece of each message.
+
+    ``message_type`` is a constant or the name of a column of ``messages``.
+    """
+    mtype = F.col(message_type) if isinstance(message_type, str) else F.lit(message_type)
     keys = list(key_cols)
     weights = messages.select(*keys, F.size(chunk_starts(text_col, size)).alias("n_pieces"))
     ids = sequential_ids(weights, keys, start_id, name="first_id", weight="n_pieces")
     ids = ids.filter(F.col("n_pieces") > 0).select(*keys, "first_id")
     pieces = messages.join(sized_broadcast(ids), keys).select(
-        *keys, "first_id", F.col(text_col).alias("_text"),
+        *keys, "first_id", F.col(text_col).alias("_text"), mtype.cast("int").alias("_type"),
         F.explode(chunk_starts(text_col, size)).alias("piece"))
     return pieces.select(
         *keys,
         "piece",
         (F.col("first_id") + F.col("piece")).cast("long").alias("record_id"),
         chunk_piece("_text", "piece", size).alias("message"),
-        F.lit(message_type).cast("int").alias("message_type"),
+        F.col("_type").alias("message_type"),
     )
 
 
@@ -69,7 +73,7 @@ def session_identity(spark: SparkSession) -> dict:
 
 
 def log_messages(spark: SparkSession, messages: DataFrame, key_cols: Sequence[str],
-                 existing: DataFrame | None = None, message_type: int = LOG_NOTICE) -> DataFrame:
+                 existing: DataFrame | None = None, message_type: int | str = LOG_NOTICE) -> DataFrame:
     """Full ``lg_messages`` rows for a frame of messages (continues the sequence)."""
     start = next_record_id(existing)
     pieces = chunk_messages(messages, key_cols, "message", start, message_type)

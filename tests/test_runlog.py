@@ -36,3 +36,9 @@ def test_log_messages_continue_sequence(spark):
     rows = RL.log_messages(spark, msgs, ["id"], existing).collect()
     assert sorted(r["record_id"] for r in rows) == [6, 7]
     assert {r["message_type"] for r in rows} == {1}
+
+
+def test_message_type_per_message(spark):
+    msgs = spark.createDataFrame([(1, "a", 1), (2, "b" * 4001, 3)], "id bigint, message string, kind int")
+    rows = sorted((r["id"], r["piece"], r["message_type"]) for r in RL.chunk_messages(msgs, ["id"], message_type="kind").collect())
+    assert rows == [(1, 0, 1), (2, 0, 3), (2, 1, 3)]
