@@ -51,17 +51,19 @@ def _any_null(keys: Sequence[str]) -> Column:
 def check_batch_keys(batch: DataFrame, pk: Sequence[str], null_keys: str = "reject") -> None:
     """Raise on a repeated key (or on a NULL key when they are rejected).
 
-    One aggregation over the batch; at most one offending row reaches the driver.
+    One grouped pass over the batch (partial aggregation map-side); at most
+    one offending key reaches the driver.
     """
     pk = list(pk)
-    if null_keys == "reject":
-        bad = batch.filter(_any_null(pk)).select(*pk).limit(1).collect()
-        if bad:
-            raise NullKeyError(f"NULL in key {pk}: {bad[0].asDict()}")
-    dup = (batch.filter(~_any_null(pk)).groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > 1).limit(1).collect())
-    if dup:
-        raise DuplicateKeyError(f"key {pk} repeated in batch: {dup[0].asDict()}")
+    has_null = _any_null(pk)
+    bad = (batch.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"))
+           .filter((has_null & F.lit(null_keys == "reject")) | (~has_null & (F.col("_n") > 1)))
+           .limit(1).collect())
+    if bad:
+        row = bad[0].asDict()
+        if any(row[k] is None for k in pk):
+            raise NullKeyError(f"NULL in key {pk}: {row}")
+        raise DuplicateKeyError(f"key {pk} repeated in batch: {row}")
 
 
 def resolve_keys(keys: str | Sequence[str], df: DataFrame) -> list[str]:
