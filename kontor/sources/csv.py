@@ -79,13 +79,45 @@ def read_tab(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return r.csv(path)
 
 
+def delta_folders(spark: SparkSession, root: str, after: int | None = None) -> list[tuple[int, str]]:
+    """(batch number, path) of the numbered folders under ``root`` (``N`` or
+    ``delta_id=N``), ascending, newer than ``after``.  A listing of folder
+    names -- metadata, one entry per batch -- not a read of the data."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        if not st.isDirectory():
+            continue
+        name = st.getPath().getName()
+        num = name.split("=", 1)[1] if name.startswith("delta_id=") else name
+        if num.isdigit() and (after is None or int(num) > after):
+            out.append((int(num), st.getPath().toString()))
+    return sorted(out)
+
+
 def scan_delta_folders(spark: SparkSession, root: str, schema: T.StructType, sep: str = ";",
-                       date_format: str | None = None, id_col: str = "delta_id") -> DataFrame:
-    """All ``root/<number>/<file>.csv`` (or ``root/delta_id=<number>/...``) at once."""
+                       date_format: str | None = None, id_col: str = "delta_id",
+                       after: int | None = None) -> DataFrame:
+    """All ``root/<number>/<file>.csv`` (or ``root/delta_id=<number>/...``) at once.
+
+    With ``after``, only the folders of newer batches are read (pruned by
+    listing the folder names), so an incremental run does not rescan history.
+    """
     r = spark.read.schema(schema).options(header=True, sep=sep, recursiveFileLookup=True,
                                           pathGlobFilter="*.csv")
     if date_format:
         r = r.option("dateFormat", date_format)
-    df = r.csv(root)
+    if after is None:
+        df = r.csv(root)
+    else:
+        paths = [path for _, path in delta_folders(spark, root, after)]
+        if not paths:
+            empty = T.StructType([T.StructField(id_col, T.IntegerType())] + list(schema.fields))
+            return spark.createDataFrame([], empty)
+        df = r.csv(paths)
     batch = F.regexp_extract(F.col("_metadata.file_path"), DELTA_DIR_PATTERN, 1)
     return df.select(F.when(batch == "", None).otherwise(batch).cast("int").alias(id_col), *schema.fieldNames())

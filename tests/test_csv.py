@@ -70,3 +70,14 @@ def test_tab_single_file(spark, tmp):
 def test_inferred_header_only_file_has_no_rows(spark, tmp):
     _write(f"{tmp}/empty/x.csv", ["a;b"], "\n")
     assert CS.read_inferred(spark, f"{tmp}/empty").count() == 0
+
+
+def test_incremental_scan_reads_only_newer_folders(spark, tmp):
+    header = "account_rk;data_actual_date;event_type;amount"
+    for did, day in ((1000, "01"), (1001, "02"), (1002, "03")):
+        _write(f"{tmp}/{did}/x.csv", [header, f"1;{day}.01.2018;e;1.00"], "\r")
+    newer = CS.scan_delta_folders(spark, tmp, SCHEMA, date_format="dd.MM.yyyy", after=1000)
+    assert sorted(r[0] for r in newer.select("delta_id").collect()) == [1001, 1002]
+    assert len(newer.inputFiles()) == 2  # the 1000 folder is not even listed for reading
+    assert CS.scan_delta_folders(spark, tmp, SCHEMA, after=1002).count() == 0
+    assert [n for n, _ in CS.delta_folders(spark, tmp)] == [1000, 1001, 1002]
