@@ -387,7 +387,8 @@ ORACLE.update({
     "detail_load": with_views("SELECT * FROM ft_balance_f"),
     "run_log": with_views("""
         SELECT 'ft_balance_f' AS sources, 'start_upload' AS status, 'upload into ft_balance_f' AS description
-        UNION ALL SELECT 'ft_balance_f', 'end_upload', 'ft_balance_f: ' || (SELECT count(*) FROM ft_balance_f) || ' rows'
+        UNION ALL SELECT 'ft_balance_f', 'end_upload',
+                         'ft_balance_f: ' || (SELECT count(*) FROM ft_balance_f) || ' rows in touched partitions'
         UNION ALL SELECT 'md_account_d', 'start_upload', 'upload into md_account_d'
         UNION ALL SELECT 'md_account_d', 'end_upload', 'md_account_d: ' || (SELECT count(*) FROM md_account_d) || ' rows'
         UNION ALL SELECT 'md_currency_d', 'error_exist_object', 'no extract for md_currency_d'"""),

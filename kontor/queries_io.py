@@ -23,7 +23,7 @@ from .session import scratch_path
 from .sinks import files as SK
 from .sources import csv as CS
 from .sources import testbed as TB
-from .specs import spec
+from .specs import PART_MONTH, spec
 from .streaming.mirror import run_mirror_stream
 
 MIRROR_PK = ["account_rk"]
@@ -187,7 +187,9 @@ def _detail_run(spark, d):
     bal_spec = spec("ft_balance_f")
     stale = TB.balances(spark, d).filter(F.col("on_date") < F.lit(_dt.date(1998, 1, 1))).withColumn(
         "balance_out", (F.col("balance_out") + F.lit(1)).cast("decimal(18,2)"))
-    stale.select(*bal_spec.columns).write.parquet(SK.next_version(spark, f"{root}/ft_balance_f"))
+    # the detail table as an earlier load left it (partitioned by month)
+    (stale.select(*bal_spec.columns).withColumn(PART_MONTH, F.trunc("on_date", "MM"))
+     .write.partitionBy(PART_MONTH).parquet(f"{root}/ft_balance_f"))
     extracts = {
         "ft_balance_f": SK.write_extract(TB.balances(spark, d), scratch_path(spark, "x-bal"), "dd.MM.yyyy"),
         "md_account_d": SK.write_extract(TB.accounts(spark, d), scratch_path(spark, "x-acc")),
@@ -201,9 +203,9 @@ def _detail_run(spark, d):
 def _load_one(spark, d, name, extract_df, date_format=None):
     root = scratch_path(spark, "detail")
     x = SK.write_extract(extract_df, scratch_path(spark, f"x-{name}"), date_format)
-    out = DLOAD.load_tables(spark, {name: x}, root, scratch_path(spark, "load-log"))
-    s = spec(name)
-    return spark.read.schema(s.schema).parquet(out[name]).select(*s.columns)
+    DLOAD.load_tables(spark, {name: x}, root, scratch_path(spark, "load-log"))
+    from .jobs import read_detail
+    return read_detail(spark, root, name)
 
 
 def q_detail_load_postings(spark, d):
@@ -217,10 +219,14 @@ def q_detail_load_rates(spark, d):
     return _load_one(spark, d, "md_exchange_rate_d", fx.unionByName(fx))
 
 
+def root_of(table_path: str) -> str:
+    return table_path.rstrip("/").rsplit("/", 1)[0]
+
+
 def q_detail_load(spark, d):
     out, _ = _detail_run(spark, d)
-    s = spec("ft_balance_f")
-    return spark.read.schema(s.schema).parquet(out["ft_balance_f"])
+    from .jobs import read_detail
+    return read_detail(spark, root_of(out["ft_balance_f"]), "ft_balance_f")
 
 
 def q_run_log(spark, d):

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -83,36 +84,49 @@ def _partition_value(v) -> str:
     return str(v)
 
 
-def replace_slices(df: DataFrame, path: str, partition_col: str, slices: Iterable, spread: int = 4) -> dict:
+@dataclass
+class SliceWrite:
+    """Outcome of ``replace_slices``: rows written, slices replaced, slices deleted."""
+    rows: int
+    written: set
+    deleted: list
+
+
+def replace_slices(df: DataFrame, path: str, partition_col: str, slices: Iterable, spread: int = 4) -> SliceWrite:
     """Replace the given partition values of a table with ``df``'s rows.
 
     Rows are first hashed on (slice, a deterministic salt in [0, spread)):
     each slice is written by at most ``spread`` tasks (bounded file count),
-    and a slice holding a third of the rows is still split ``spread`` ways.
-    Rows of ``df`` outside ``slices`` are an error (they would silently
-    overwrite other slices).  Returns {slice: rows written}.
+    and a slice holding a third of the rows is still split ``spread`` ways;
+    with more slices than shuffle partitions the salt is dropped.  Which
+    requested slices received rows is observed on the write itself (a set
+    bounded by the requested slices); the others are deleted.  Rows of
+    ``df`` outside ``slices`` are an error (they would silently overwrite
+    other slices).
     """
     spark = df.sparkSession
     slices = list(slices)
     inside = F.col(partition_col).isin(*slices)
     obs = Observation("replace_slices")
-    metrics = [F.count(F.lit(1)).alias("_total"), F.sum(F.when(~inside, 1).otherwise(0)).alias("_outside")]
-    for i, v in enumerate(slices):
-        metrics.append(F.sum(F.when(F.col(partition_col) == F.lit(v), 1).otherwise(0)).alias(f"_s{i}"))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(max(1, spread)))
+    metrics = [F.count(F.lit(1)).alias("_total"),
+               F.sum(F.when(~inside, 1).otherwise(0)).alias("_outside"),
+               F.collect_set(F.when(inside, F.col(partition_col))).alias("_written")]
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = max(1, min(spread, partitions // max(1, len(slices))))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
     observed = df.observe(obs, *metrics).repartition(F.col(partition_col), salt)
     (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     m = obs.get
     if m.get("_outside"):
         raise ValueError(f"{m['_outside']} rows outside the requested slices were written to {path}")
-    written = {}
-    for i, v in enumerate(slices):
-        n = int(m.get(f"_s{i}") or 0)
-        written[v] = n
-        if n == 0:
+    written = set(m.get("_written") or [])
+    deleted = []
+    for v in slices:
+        if v not in written:
             delete_path(spark, f"{path.rstrip('/')}/{partition_col}={_partition_value(v)}")
-    return written
+            deleted.append(v)
+    return SliceWrite(int(m.get("_total") or 0), written, deleted)
 
 
 def write_numbered_folders(df: DataFrame, root: str, id_col: str = "delta_id", sep: str = ";",

@@ -53,6 +53,8 @@ class TableSpec:
     ddl: str
     pk: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
+    # detail facts: partitioned by the month of this key date (column PART_MONTH)
+    partition_month: str = ""
     description: str = ""
     schema: T.StructType = field(init=False, compare=False, repr=False)
 
@@ -67,6 +69,15 @@ class TableSpec:
     def non_key_columns(self) -> list[str]:
         return [c for c in self.columns if c not in self.pk]
 
+    @property
+    def stored_schema(self) -> T.StructType:
+        """The schema as stored: monthly-partitioned facts carry PART_MONTH."""
+        if not self.partition_month:
+            return self.schema
+        return T.StructType(list(self.schema.fields) + [T.StructField(PART_MONTH, T.DateType(), True)])
+
+
+PART_MONTH = "part_month"
 
 # Fixed values that must equal the source system's:
 # domestic currency codes (rouble, old and new ISO numbers).
@@ -90,6 +101,7 @@ SPECS: dict[str, TableSpec] = {
             "ft_balance_f",
             f"on_date date, account_rk bigint, currency_rk bigint, balance_out {MONEY}",
             pk=("on_date", "account_rk"),
+            partition_month="on_date",
             description="account balance at the end of a day",
         ),
         TableSpec(
@@ -97,7 +109,7 @@ SPECS: dict[str, TableSpec] = {
             "oper_date date, credit_account_rk bigint, debet_account_rk bigint, "
             f"credit_amount {MONEY}, debet_amount {MONEY}",
             pk=("oper_date", "credit_account_rk", "debet_account_rk"),
-            partition_by=("oper_date",),
+            partition_month="oper_date",
             description="double-entry postings, collapsed to one row per key",
         ),
         TableSpec(

@@ -12,8 +12,8 @@ def test_replace_slices_overwrites_and_deletes_empty(spark, tmp):
     first = spark.createDataFrame([(d(2018, 1, 1), 1, 1), (d(2018, 1, 2), 1, 2), (d(2018, 1, 3), 1, 3)], S)
     SK.replace_slices(first, path, "on_date", [d(2018, 1, 1), d(2018, 1, 2), d(2018, 1, 3)])
     second = spark.createDataFrame([(d(2018, 1, 2), 1, 20)], S)
-    written = SK.replace_slices(second, path, "on_date", [d(2018, 1, 2), d(2018, 1, 3)])
-    assert written == {d(2018, 1, 2): 1, d(2018, 1, 3): 0}
+    res = SK.replace_slices(second, path, "on_date", [d(2018, 1, 2), d(2018, 1, 3)])
+    assert res.rows == 1 and res.written == {d(2018, 1, 2)} and res.deleted == [d(2018, 1, 3)]
     back = {tuple(r) for r in spark.read.schema(S).parquet(path).select("on_date", "k", "v").collect()}
     assert back == {(d(2018, 1, 1), 1, 1), (d(2018, 1, 2), 1, 20)}
     # rerun: same result
