@@ -5,7 +5,6 @@ Usage: python tools/explain.py [sf_dir] [job ...]
 
 from __future__ import annotations
 
-import os
 import sys
 import tempfile
 
@@ -39,6 +38,8 @@ def main():
         "turnover_all": lambda: TO.account_turnover(P, A, R),
         "f101_report": lambda: F101.f101_report(v["md_ledger_account_s"], A, v["md_currency_d"],
                                                 v["ft_balance_f"], R, T, "1998-03-03"),
+        "f101_all": lambda: F101.f101_range(v["md_ledger_account_s"], A, v["md_currency_d"], v["ft_balance_f"],
+                                            R, T, "1995-01-01", "2001-08-31"),
         "delta_fold": lambda: DL.apply_deltas(spark.createDataFrame([], MIRROR_SCHEMA), v["deltas"], MIRROR_PK,
                                               validate=False),
         "upsert_by_key": lambda: upsert(_master(spark, sf), _master_batch(spark, sf), ["account_rk"], check=False),
@@ -46,7 +47,6 @@ def main():
     for name in jobs or plans:
         print("=" * 30, name)
         plans[name]().explain("formatted")
-    os.environ.get("KEEP")
 
 
 if __name__ == "__main__":
