@@ -70,3 +70,69 @@ def test_chunks_are_lossless_and_consecutive(spark, texts, start):
     # ids follow (id, piece) order
     ordered = [r["record_id"] for r in sorted(out, key=lambda r: (r["id"], r["piece"]))]
     assert ordered == ids
+
+
+# ---- turnover against the source's join-then-group semantics ---------------
+
+import datetime as _dt  # noqa: E402
+from decimal import ROUND_HALF_UP, Decimal  # noqa: E402
+
+from kontor.plans import turnover as TO  # noqa: E402
+
+_day = st.integers(1, 31).map(lambda d: _dt.date(2018, 1, d))
+_money = st.one_of(st.none(), st.integers(-99999, 99999).map(lambda c: Decimal(c).scaleb(-2)))
+_rate = st.integers(1, 999_999_999).map(lambda c: Decimal(c).scaleb(-8))
+
+
+@st.composite
+def ledgers(draw):
+    accounts = []
+    for rk in (1, 2, 3):
+        for _ in range(draw(st.integers(0, 2))):
+            lo = draw(st.sampled_from([_dt.date(2017, 12, 1), _dt.date(2018, 1, 1), _dt.date(2018, 1, 15)]))
+            hi = draw(st.sampled_from([_dt.date(2018, 1, 20), _dt.date(2018, 1, 31), _dt.date(2018, 3, 1)]))
+            accounts.append((lo, hi, rk, "30101", "A", draw(st.integers(1, 2)), "x"))
+    rates = []
+    for cur in (1, 2):
+        for _ in range(draw(st.integers(0, 2))):
+            lo, hi = sorted([draw(_day), draw(_day)])
+            rates.append((lo, hi, cur, draw(_rate), "x"))
+    postings = {}
+    for _ in range(draw(st.integers(0, 8))):
+        key = (draw(_day), draw(st.integers(1, 3)), draw(st.integers(1, 3)))
+        postings[key] = (draw(_money), draw(_money))
+    return accounts, rates, [(*k, *v) for k, v in postings.items()]
+
+
+def _model(accounts, rates, postings):
+    q = Decimal("1e-8")
+    out = {}
+    for d, cre_rk, deb_rk, cre_amt, deb_amt in postings:
+        for side, rk, amt in (("c", cre_rk, cre_amt), ("d", deb_rk, deb_amt)):
+            for lo, hi, a_rk, _, _, cur, _ in accounts:
+                if a_rk != rk or not (lo <= d <= hi) or not (d.replace(day=1) <= lo <= _dt.date(2018, 1, 31)):
+                    continue
+                fx = [r for (rlo, rhi, rcur, r, _) in rates if rcur == cur and rlo <= d <= rhi] or [None]
+                for r in fx:
+                    rub = None if amt is None else amt * (r if r is not None else 1)
+                    acc = out.setdefault((d, rk), [Decimal(0)] * 4)
+                    i = 0 if side == "c" else 2
+                    acc[i] += amt or 0
+                    acc[i + 1] += rub or 0
+    return {k: tuple(x.quantize(q, rounding=ROUND_HALF_UP) for x in v) for k, v in out.items()}
+
+
+@SETTINGS
+@given(ledger=ledgers())
+def test_turnover_month_matches_join_then_group(spark, ledger):
+    accounts, rates, postings = ledger
+    acc = spark.createDataFrame(accounts, "data_actual_date date, data_actual_end_date date, account_rk bigint, "
+                                          "account_number string, char_type string, currency_rk bigint, currency_code string")
+    fx = spark.createDataFrame(rates, "data_actual_date date, data_actual_end_date date, currency_rk bigint, "
+                                      "reduced_cource decimal(18,8), code_iso_num string")
+    p = spark.createDataFrame(postings, "oper_date date, credit_account_rk bigint, debet_account_rk bigint, "
+                                        "credit_amount decimal(18,2), debet_amount decimal(18,2)")
+    got = {(r["on_date"], r["account_rk"]): (r["credit_amount"], r["credit_amount_rub"], r["debet_amount"],
+                                             r["debet_amount_rub"])
+           for r in TO.turnover_month(p, acc, fx, "2018-01-10").collect()}
+    assert got == _model(accounts, rates, postings)
