@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from . import token_counts
+from . import simhash_dedup, token_counts
 from .common import read
 
 
@@ -14,4 +15,10 @@ def op1_token_counts(spark, sf_dir):
             .select("doc_id", "n_bytes", "n_tokens", "over_limit"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts,)}
+
+def op8_simhash_dedup(spark, sf_dir):
+    classes = simhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4)
+    return classes.select("doc_id", simhash_dedup.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op8_simhash_dedup)}
