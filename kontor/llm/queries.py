@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import simhash_dedup, token_counts
+from . import repeats, simhash_dedup, token_counts
 from .common import read
 
 
@@ -21,4 +21,8 @@ def op8_simhash_dedup(spark, sf_dir):
     return classes.select("doc_id", simhash_dedup.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op8_simhash_dedup)}
+def op9_suffix_dedup(spark, sf_dir):
+    return repeats.removal_report(read(spark, sf_dir, "documents"), depth=200)
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op8_simhash_dedup, op9_suffix_dedup)}
