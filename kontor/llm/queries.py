@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import repeats, simhash_dedup, token_counts
+from . import decontaminate, fingerprints, repeats, simhash_dedup, token_counts
 from .common import read
 
 
@@ -16,6 +16,15 @@ def op1_token_counts(spark, sf_dir):
 
 
 
+def op6_document_fingerprints(spark, sf_dir):
+    return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark, sf_dir):
+    found = decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), width=13)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op8_simhash_dedup(spark, sf_dir):
     classes = simhash_dedup.near_duplicates(read(spark, sf_dir, "documents"), words_per_shingle=4, max_bits=4)
     return classes.select("doc_id", simhash_dedup.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -25,4 +34,4 @@ def op9_suffix_dedup(spark, sf_dir):
     return repeats.removal_report(read(spark, sf_dir, "documents"), depth=200)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op8_simhash_dedup, op9_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op6_document_fingerprints, op7_decontamination, op8_simhash_dedup, op9_suffix_dedup)}
