@@ -66,3 +66,23 @@ def stored_by_key(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, at_most: int, modulus: int = 5,
+                    held_out: int = 0) -> DataFrame:
+    """(doc_id, text, label, fold) of labelled documents outside the held-out fold.
+
+    ``at_most`` bounds the expected number of labelled rows: above it a
+    hash of the id draws them.  The drawn labels are therefore few enough
+    to broadcast.  Rows without a label are left out; of several labels of
+    one id the largest counts.
+    """
+    fold = id_remainder(F.col("doc_id"), modulus)
+    known = (labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna()
+             .withColumn("fold", fold).filter(F.col("fold") != held_out))
+    total = known.agg(F.approx_count_distinct("doc_id", 0.02)).first()[0]
+    if total > at_most:
+        share = int(at_most / total * (1 << 30))
+        known = known.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) < share)
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"), F.first("fold").alias("fold"))
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, repeats, simhash_dedup, token_counts
+from . import decontaminate, fingerprints, quality, repeats, simhash_dedup, token_counts, toxicity
 from .common import read
 
 
@@ -16,6 +16,14 @@ def op1_token_counts(spark, sf_dir):
 
 
 
+def op2_toxicity(spark, sf_dir):
+    return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op4_quality(spark, sf_dir):
+    return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_document_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
 
@@ -34,4 +42,4 @@ def op9_suffix_dedup(spark, sf_dir):
     return repeats.removal_report(read(spark, sf_dir, "documents"), depth=200)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op6_document_fingerprints, op7_decontamination, op8_simhash_dedup, op9_suffix_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op4_quality, op6_document_fingerprints, op7_decontamination, op8_simhash_dedup, op9_suffix_dedup)}
