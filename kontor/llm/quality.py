@@ -2,7 +2,10 @@
 
 Features of a text are its words, as written, and the character 3- and
 4-grams inside each (with word borders), hashed into ``BUCKETS`` rows of an
-embedding table.  A text is the mean of its features' vectors; a softmax over
+embedding table.  Word n-grams enter by their shape alone: a word equal to the
+one one, two or three places before it adds a feature word of its own, the
+same for all words, so that stuttering text is seen whatever it repeats.  A
+text is the mean of its features' vectors; a softmax over
 two classes reads it.  Table and output weights are learned together by
 stochastic gradient descent in numpy, one document at a time.
 
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 import io
 import math
+import operator
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -36,6 +40,7 @@ BUCKETS, SIZE = 1 << 18, 8
 GRAMS = (3, 4)
 LABELLED = 6_000
 EPOCHS, RATE = 5, 0.5
+AGAIN = (b"\0again one", b"\0again two", b"\0again three")  # holds a space: no word of a text
 REMEMBERED = 400_000
 
 
@@ -61,11 +66,18 @@ def word_features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return bucket.astype(np.int64), np.bincount(own, minlength=len(words))
 
 
+def repeated(words: list[bytes]) -> list[int]:
+    """How many words equal the one that many places before."""
+    return [sum(map(operator.eq, words, words[d:])) for d in range(1, len(AGAIN) + 1)]
+
+
 def _document(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of one text and their shares."""
-    words = Counter(text.encode().split())
-    if not words:
+    line = text.encode().split()
+    if not line:
         return np.empty(0, np.int64), np.empty(0, np.float32)
+    words = Counter(line)
+    words.update({a: n for a, n in zip(AGAIN, repeated(line)) if n})
     bucket, n = word_features(list(words))
     times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), n)
     at, inverse = np.unique(bucket, return_inverse=True)
@@ -127,10 +139,12 @@ class Words(dict):
 
     def __init__(self, weights: np.ndarray):
         self.weights = weights
+        self.learn(list(AGAIN))
 
     def learn(self, words: list[bytes]) -> None:
         if len(self) + len(words) > REMEMBERED:
             self.clear()
+            words = [*words, *AGAIN]
         bucket, n = word_features(words)
         total = np.add.reduceat(self.weights[bucket].astype(float), np.concatenate([[0], np.cumsum(n)[:-1]]))
         self.update(zip(words, (total + 1j * n).tolist()))
@@ -146,6 +160,7 @@ def text_log_odds(text: str | None, known: Words, bias: float) -> float:
             new = set(words)
         known.learn(list(new))
     both = sum(map(known.__getitem__, words), 0j)
+    both += sum(n * known[a] for a, n in zip(AGAIN, repeated(words)))
     return both.real / both.imag + bias
 
 
