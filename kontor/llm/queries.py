@@ -5,7 +5,17 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, quality, repeats, simhash_dedup, token_counts, toxicity
+from . import (
+    archives,
+    decontaminate,
+    fingerprints,
+    mixing,
+    quality,
+    repeats,
+    simhash_dedup,
+    token_counts,
+    toxicity,
+)
 from .common import read
 
 
@@ -20,6 +30,10 @@ def op2_toxicity(spark, sf_dir):
     return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_mixing(spark, sf_dir):
+    return mixing.replicate(read(spark, sf_dir, "documents"), temper=0.5, epochs=1.0, seed="mix-1")
+
+
 def op4_quality(spark, sf_dir):
     return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -42,4 +56,9 @@ def op9_suffix_dedup(spark, sf_dir):
     return repeats.removal_report(read(spark, sf_dir, "documents"), depth=200)
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op4_quality, op6_document_fingerprints, op7_decontamination, op8_simhash_dedup, op9_suffix_dedup)}
+def op10_warc(spark, sf_dir):
+    return archives.archive_round_trip(read(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_mixing, op4_quality, op6_document_fingerprints, op7_decontamination, op8_simhash_dedup, op9_suffix_dedup,
+                                   op10_warc)}
