@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (
     archives,
+    class_lm,
     decontaminate,
     fingerprints,
     mixing,
@@ -38,6 +39,10 @@ def op4_quality(spark, sf_dir):
     return quality.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_class_lm(spark, sf_dir):
+    return class_lm.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op6_document_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
 
@@ -60,5 +65,5 @@ def op10_warc(spark, sf_dir):
     return archives.archive_round_trip(read(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_mixing, op4_quality, op6_document_fingerprints, op7_decontamination, op8_simhash_dedup, op9_suffix_dedup,
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_mixing, op4_quality, op5_class_lm, op6_document_fingerprints, op7_decontamination, op8_simhash_dedup, op9_suffix_dedup,
                                    op10_warc)}
