@@ -70,9 +70,14 @@ def parse_dotted(s: str | Column) -> Column:
 
 
 def parse_iso(s: str | Column) -> Column:
-    """yyyy-MM-dd text -> date; NULL for text such as 2018-13-01."""
+    """yyyy-MM-dd text -> date, months and days also with one digit; NULL for text such as 2018-13-01."""
     s = F.col(s) if isinstance(s, str) else s
-    return F.try_to_date(s, "yyyy-MM-dd")
+    return F.try_to_date(s, "yyyy-M-d")
+
+
+def rejected(df, text: str):
+    """The rows whose text is there but is no yyyy-MM-dd date: the reject set of a load."""
+    return df.filter(F.col(text).isNotNull() & parse_iso(text).isNull())
 
 
 def days_between(start, end) -> Column:

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 # a log row holds at most 4000 characters of a message; message type 1 is NOTICE.
 LOG_CHUNK_CHARS = 4000
 LOG_NOTICE = 1
-LOG_WARNING = 2
-LOG_ERROR = 3
-LOG_DEBUG = 4
 
 
 def _c(x) -> Column:

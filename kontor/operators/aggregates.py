@@ -38,19 +38,6 @@ def count_by(df: DataFrame, key: str | Column, name: str = "count") -> DataFrame
     return df.groupBy(key_col).agg(F.count(F.lit(1)).alias(name))
 
 
-def distinct_values(df: DataFrame, column: str) -> DataFrame:
-    return df.select(column).distinct()
-
-
 def max_or_default(df: DataFrame, column: str, default=0, name: str | None = None) -> DataFrame:
     """One-row frame: max(column), or ``default`` when there are no rows."""
     return df.agg(F.coalesce(F.max(column), F.lit(default)).alias(name or f"max_{column}"))
-
-
-def min_max_by(df: DataFrame, key: str, measures: Sequence[str], key_alias: str | None = None) -> DataFrame:
-    aggs = []
-    for m in measures:
-        aggs.append(F.max(m).alias(f"max_{m}"))
-        aggs.append(F.min(m).alias(f"min_{m}"))
-    out = df.groupBy(key).agg(*aggs)
-    return out.withColumnRenamed(key, key_alias) if key_alias else out

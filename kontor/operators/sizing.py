@@ -1,29 +1,26 @@
-"""Broadcast only behind a size check.
-
-``sized_broadcast`` asks Catalyst for the optimized plan's size estimate
-and marks the frame for broadcast only when the estimate is under the
-limit.  Beyond it the frame is returned unchanged: the join stays a
-shuffle join and AQE may still switch it to a broadcast at run time,
-from measured shuffle sizes.  An unknown estimate never broadcasts.
-
-Catalyst does not shrink estimates through filters, so a dimension
-filtered to one date (rates valid on the call date: one row per
-currency) can look as large as the whole table.  For dimensions the
-caller passes ``max_rows``: when the estimate is too large, the rows are
-*measured* -- ``limit(max_rows + 1).count()``, which stops early -- and
-the frame is broadcast if it holds at most ``max_rows`` rows.  Joining a
-fact table to a low-cardinality key (currency) by shuffle would put a
-third of the rows in one task, so such joins always take this path.
+"""Broadcast only behind a check of the size.
+
+``fits_broadcast`` asks Catalyst for the optimized plan's estimate.  That is
+good enough for a plain scan of a batch, but an estimate does not see through
+an explode, a filter or Parquet's compression.  A dimension that is to be
+broadcast whatever the fact table's size is therefore *staged*: written once
+to the shared scratch folder while its rows and text bytes are counted on the
+write itself.  ``measured_broadcast`` marks the staged copy for broadcast only
+when those bytes are under the limit; beyond it the join stays a shuffle join.
+Staging also means the dimension's lineage runs once, not once to measure and
+once to join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import scratch_path
 
-# Dimension tables (rates, currencies, chart of accounts) stay far below these.
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
-DIMENSION_ROWS = 1_000_000
+ROW_OVERHEAD = 32  # bytes of a row beside its values, in a broadcast hash table
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -35,14 +32,29 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def fits_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT, max_rows: int | None = None) -> bool:
+def fits_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> bool:
     size = estimated_bytes(df)
-    if size is not None and size <= limit:
-        return True
-    if max_rows is None:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
+    return size is not None and size <= limit
+
+
+def sized_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df, limit) else df
+
+
+def stage(df: DataFrame, name: str = "staged") -> tuple[DataFrame, int]:
+    """``df`` written to the shared scratch folder and read back, and its uncompressed bytes."""
+    spark = df.sparkSession
+    text = [F.octet_length(f.name) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    texts = sum((F.coalesce(c, F.lit(0)) for c in text), F.lit(0)).cast("long")
+    obs = Observation(name)
+    path = scratch_path(spark, name)
+    (df.observe(obs, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(texts), F.lit(0)).alias("text"))
+     .write.parquet(path))
+    m = obs.get
+    size = int(m["rows"]) * (ROW_OVERHEAD + 16 * len(df.columns)) + int(m["text"])
+    return spark.read.schema(df.schema).parquet(path), size
 
 
-def sized_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT, max_rows: int | None = None) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, limit, max_rows) else df
+def measured_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT, name: str = "dimension") -> DataFrame:
+    staged, size = stage(df, name)
+    return F.broadcast(staged) if size <= limit else staged

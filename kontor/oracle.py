@@ -113,44 +113,30 @@ def with_views(sql: str) -> str:
 
 
 def _turnover_sql(start: str | None, end: str | None) -> str:
-    """Join-then-group over both posting sides, as the daily procedure does."""
-    period = ""
-    if start:
-        period = f"AND p.oper_date BETWEEN DATE '{start}' AND DATE '{end}'"
-    side = """
-        SELECT p.oper_date AS on_date, p.{acc}_account_rk AS account_rk,
-               {c_amt} AS credit_amount, {c_rub} AS credit_amount_rub,
-               {d_amt} AS debet_amount, {d_rub} AS debet_amount_rub
-        FROM ft_posting_f p
-        JOIN md_account_d a ON a.account_rk = p.{acc}_account_rk
-        LEFT JOIN md_exchange_rate_d er ON er.currency_rk = a.currency_rk
-             AND p.oper_date BETWEEN er.data_actual_date AND er.data_actual_end_date
-        WHERE p.oper_date BETWEEN a.data_actual_date AND a.data_actual_end_date
-          AND a.data_actual_date BETWEEN CAST(date_trunc('month', p.oper_date) AS DATE)
-                                     AND last_day(p.oper_date)
-          {period}"""
-    null2, null10 = "CAST(NULL AS DECIMAL(18,2))", "CAST(NULL AS DECIMAL(38,10))"
-    credit = side.format(acc="credit", c_amt="p.credit_amount",
-                         c_rub="p.credit_amount * coalesce(er.reduced_cource, 1)",
-                         d_amt=null2, d_rub=null10, period=period)
-    debit = side.format(acc="debet", c_amt=null2, c_rub=null10, d_amt="p.debet_amount",
-                        d_rub="p.debet_amount * coalesce(er.reduced_cource, 1)", period=period)
+    """Both sides of each posting as legs, each leg priced by one join, then summed."""
+    days = f"WHERE oper_date BETWEEN DATE '{start}' AND DATE '{end}'" if start else ""
     return f"""
-    turn_legs AS ({credit}
-        UNION ALL {debit})
-    SELECT on_date, account_rk,
-           CAST(sum(coalesce(credit_amount, 0)) AS DECIMAL(23,8)) AS credit_amount,
-           CAST(sum(coalesce(credit_amount_rub, 0)) AS DECIMAL(23,8)) AS credit_amount_rub,
-           CAST(sum(coalesce(debet_amount, 0)) AS DECIMAL(23,8)) AS debet_amount,
-           CAST(sum(coalesce(debet_amount_rub, 0)) AS DECIMAL(23,8)) AS debet_amount_rub
-    FROM turn_legs GROUP BY on_date, account_rk"""
+    leg AS (
+        SELECT oper_date AS day, credit_account_rk AS acct, credit_amount AS got, NULL AS paid FROM ft_posting_f {days}
+        UNION ALL
+        SELECT oper_date, debet_account_rk, NULL, debet_amount FROM ft_posting_f {days}),
+    priced AS (
+        SELECT day, acct, coalesce(got, 0) AS got, coalesce(paid, 0) AS paid, coalesce(fx.reduced_cource, 1) AS price
+        FROM leg
+        JOIN md_account_d v ON v.account_rk = acct AND day BETWEEN v.data_actual_date AND v.data_actual_end_date
+             AND date_trunc('month', v.data_actual_date) = date_trunc('month', day)
+        LEFT JOIN md_exchange_rate_d fx ON fx.currency_rk = v.currency_rk
+             AND day BETWEEN fx.data_actual_date AND fx.data_actual_end_date)
+    SELECT day AS on_date, acct AS account_rk,
+           CAST(sum(got) AS DECIMAL(23,8)) AS credit_amount, CAST(sum(got * price) AS DECIMAL(23,8)) AS credit_amount_rub,
+           CAST(sum(paid) AS DECIMAL(23,8)) AS debet_amount, CAST(sum(paid * price) AS DECIMAL(23,8)) AS debet_amount_rub
+    FROM priced GROUP BY day, acct"""
 
 
 def turnover_cte(start: str | None, end: str | None) -> str:
     """The turnover mart as a named CTE body ``dm_account_turnover_f``."""
-    inner = _turnover_sql(start, end)
-    legs, select = inner.split("    SELECT on_date, account_rk,", 1)
-    return legs.rstrip().rstrip(",") + ",\n    dm_account_turnover_f AS (SELECT on_date, account_rk," + select + ")"
+    steps, result = _turnover_sql(start, end).split("    SELECT day AS on_date", 1)
+    return steps.rstrip() + ",\n    dm_account_turnover_f AS (SELECT day AS on_date" + result + ")"
 
 
 CALL_DATE = "1998-03-03"
@@ -266,14 +252,6 @@ ORACLE.update({
                min(credit_amount) AS min_credit_amount, max(debet_amount) AS max_debet_amount,
                min(debet_amount) AS min_debet_amount
         FROM ft_posting_f GROUP BY oper_date"""),
-    "posting_minmax_guarded": with_views(f"""
-        SELECT oper_date AS oper_dates, max(credit_amount) AS max_credit_amount,
-               min(credit_amount) AS min_credit_amount, max(debet_amount) AS max_debet_amount,
-               min(debet_amount) AS min_debet_amount
-        FROM ft_posting_f
-        WHERE oper_date = DATE '{CALL_DATE}'
-          AND DATE '{CALL_DATE}' IN (SELECT oper_date FROM ft_posting_f)
-        GROUP BY oper_date"""),
     "rate_dedup": with_views("SELECT DISTINCT * FROM md_exchange_rate_d"),
     "distinct_values": "SELECT DISTINCT c_mktsegment FROM customer",
     "group_count": "SELECT event_type, count(*) AS count FROM events GROUP BY event_type",
@@ -307,7 +285,7 @@ ORACLE.update({
         FROM (SELECT o_orderkey,
                      strftime(o_orderdate, '%Y') || '-'
                      || CASE WHEN o_orderkey % 10 = 7 THEN '13' ELSE strftime(o_orderdate, '%m') END
-                     || '-' || strftime(o_orderdate, '%d') AS d_text
+                     || '-' || CAST(day(o_orderdate) AS VARCHAR) AS d_text
               FROM orders)""",
     "text_normalise": """
         SELECT c_custkey, replace(upper(regexp_replace(raw, '\\s', '', 'g')), '''', '') AS key_text,
@@ -376,22 +354,27 @@ ORACLE.update({
     "delta_fold": with_views(_FOLD.format(pk="account_rk")),
     "delta_fold_history": with_views(_FOLD.format(pk="data_actual_date, account_rk")),
     "delta_merge": with_views(_FOLD.format(pk="account_rk")),
-    "delta_incremental": with_views(_FOLD.format(pk="account_rk")),
+    "delta_incremental": with_views("""
+        SELECT account_rk, data_actual_date, event_type, amount,
+               CASE WHEN data_actual_date <= DATE '2024-01-15' THEN 1 ELSE 2 END AS run FROM deltas
+        QUALIFY row_number() OVER (PARTITION BY account_rk ORDER BY delta_id DESC) = 1"""),
     "delta_stream": with_views(_FOLD.format(pk="account_rk")),
     "delta_scan": with_views("SELECT delta_id, account_rk, data_actual_date, event_type, amount FROM deltas"),
     "replace_slice": with_views("WITH" + _turnover_sql(MONTH_START, MONTH_END).replace(
-        "FROM turn_legs GROUP BY", "FROM turn_legs WHERE on_date <> DATE '1998-03-03' GROUP BY")),
+        "FROM priced GROUP BY", "FROM priced WHERE day <> DATE '1998-03-03' GROUP BY")),
     "csv_extract": with_views("SELECT * FROM ft_balance_f"),
-    "csv_infer": with_views("SELECT * FROM ft_posting_f"),
+    "csv_infer": with_views("""SELECT *, 'date,bigint,int,double,double' AS inferred_types FROM ft_posting_f"""),
     "mart_roundtrip": with_views("WITH" + _turnover_sql(None, None)),
     "detail_load": with_views("SELECT * FROM ft_balance_f"),
     "run_log": with_views("""
-        SELECT 'ft_balance_f' AS sources, 'start_upload' AS status, 'upload into ft_balance_f' AS description
+        SELECT sources, status, description, CAST(step AS INTEGER) AS step, true AS stamped FROM (
+        SELECT 'ft_balance_f' AS sources, 'start_upload' AS status, 'upload into ft_balance_f' AS description, 1 AS step
         UNION ALL SELECT 'ft_balance_f', 'end_upload',
-                         'ft_balance_f: ' || (SELECT count(*) FROM ft_balance_f) || ' rows in touched partitions'
-        UNION ALL SELECT 'md_account_d', 'start_upload', 'upload into md_account_d'
-        UNION ALL SELECT 'md_account_d', 'end_upload', 'md_account_d: ' || (SELECT count(*) FROM md_account_d) || ' rows'
-        UNION ALL SELECT 'md_currency_d', 'error_exist_object', 'no extract for md_currency_d'"""),
+                         'ft_balance_f: ' || (SELECT count(*) FROM ft_balance_f) || ' rows in touched partitions', 2
+        UNION ALL SELECT 'md_account_d', 'start_upload', 'upload into md_account_d', 1
+        UNION ALL SELECT 'md_account_d', 'end_upload',
+                         'md_account_d: ' || (SELECT count(*) FROM md_account_d) || ' rows', 2
+        UNION ALL SELECT 'md_currency_d', 'error_exist_object', 'no extract for md_currency_d', 1)"""),
 })
 ORACLE["csv_tab_roundtrip"] = ORACLE["discipline_join"]
 
@@ -408,4 +391,13 @@ ORACLE.update({
     "detail_load_rates": with_views("SELECT * FROM md_exchange_rate_d"),
 })
 
+ORACLE.update({
+    "valid_at_buckets": ORACLE["valid_at"],
+    "date_rejects": "SELECT o_orderkey, d_text FROM (" + ORACLE["date_validate"] + ") WHERE NOT is_valid",
+    "detail_load_currency": with_views("SELECT * FROM md_currency_d"),
+    "detail_load_accounts": with_views("SELECT * FROM md_account_d"),
+    "detail_load_ledger": with_views("SELECT *, '' AS pair_account FROM md_ledger_account_s"),
+    "load_after_failure": with_views("SELECT * FROM md_account_d"),
+})
+
 ORACLE["f101_all"] = f101_all_oracle()

@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 from ..functions.dates import as_date, py_date
 from ..operators.sizing import sized_broadcast
 
+# Fixed value: the name that users of the source call the table function by.
+FUNCTION = "func_ds_ft_posting_f"
+
+
 def posting_minmax(postings: DataFrame) -> DataFrame:
     """For every posting date: max and min credit and debit amounts."""
     return postings.groupBy(F.col("oper_date").alias("oper_dates")).agg(
@@ -39,7 +43,8 @@ def posting_minmax_guarded(postings: DataFrame, on_dates) -> DataFrame:
     occurs in postings -- the source's ``IF d IN (SELECT oper_date ...)``
     guard as a left-semi join; a requested date without postings gives no row."""
     wanted = _requested(postings, on_dates)
-    present = wanted.join(postings.select("oper_date"), "oper_date", "left_semi")
+    # the posting dates collapse map-side: a few rows per task are shuffled, not the postings
+    present = wanted.join(postings.select("oper_date").distinct(), "oper_date", "left_semi")
     return posting_minmax(postings.join(sized_broadcast(present), "oper_date", "left_semi"))
 
 
@@ -50,7 +55,7 @@ def day_spine(postings: DataFrame) -> DataFrame:
 
 
 def register_posting_function(spark: SparkSession, postings_view: str,
-                              name: str = "func_ds_ft_posting_f") -> str:
+                              name: str = FUNCTION) -> str:
     """CREATE TEMPORARY FUNCTION name(d DATE) RETURNS TABLE(...) over a view.
 
     A SQL table function: ``SELECT * FROM name(DATE '2018-01-10')``.
@@ -71,7 +76,7 @@ def register_posting_function(spark: SparkSession, postings_view: str,
 
 
 def call_posting_function_over(spark: SparkSession, postings: DataFrame, days: DataFrame,
-                               view: str = "ds_ft_posting_f", name: str = "func_ds_ft_posting_f") -> DataFrame:
+                               view: str = "ds_ft_posting_f", name: str = FUNCTION) -> DataFrame:
     """The table function called once per requested day, as a LATERAL call;
     Catalyst decorrelates it into one grouped aggregation and a join."""
     postings.createOrReplaceTempView(view)
@@ -81,7 +86,7 @@ def call_posting_function_over(spark: SparkSession, postings: DataFrame, days: D
 
 
 def call_posting_function(spark: SparkSession, postings: DataFrame, on_date,
-                          view: str = "ds_ft_posting_f", name: str = "func_ds_ft_posting_f") -> DataFrame:
+                          view: str = "ds_ft_posting_f", name: str = FUNCTION) -> DataFrame:
     postings.createOrReplaceTempView(view)
     register_posting_function(spark, view, name)
     return spark.sql(f"SELECT * FROM {name}(:d)", args={"d": py_date(on_date)})

@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions.text import LOG_CHUNK_CHARS, LOG_NOTICE, chunk_piece, chunk_starts
 from ..operators.sequence import sequential_ids
 from ..operators.sizing import sized_broadcast
+from ..operators.upsert import check_batch_keys
 from ..specs import spec
 
 
@@ -29,9 +31,11 @@ def chunk_messages(messages: DataFrame, key_cols: Sequence[str], text_col: str =
     """(keys..., piece, record_id, message, message_type) per piece of each message.
 
     ``message_type`` is a constant or the name of a column of ``messages``.
+    The keys must be unique and not NULL, else an error names the key.
     """
     mtype = F.col(message_type) if isinstance(message_type, str) else F.lit(message_type)
     keys = list(key_cols)
+    check_batch_keys(messages.select(*keys), keys)  # a NULL or repeated key can not be numbered
     weights = messages.select(*keys, F.size(chunk_starts(text_col, size)).alias("n_pieces"))
     ids = sequential_ids(weights, keys, start_id, name="first_id", weight="n_pieces")
     ids = ids.filter(F.col("n_pieces") > 0).select(*keys, "first_id")
@@ -63,7 +67,7 @@ def session_identity(spark: SparkSession) -> dict:
     sc = spark.sparkContext
     ident = spark.range(1).select(F.current_user().alias("u"), F.current_database().alias("d")).first()
     return {
-        "pid": int(abs(hash(sc.applicationId)) % (2 ** 31)),
+        "pid": zlib.crc32(sc.applicationId.encode()) & 0x7FFFFFFF,  # one number per application
         "usename": ident["u"],
         "datname": ident["d"],
         "client_addr": None,

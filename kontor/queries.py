@@ -18,7 +18,7 @@ from .functions import dates as D
 from .functions import text as X
 from .operators import aggregates as AG
 from .operators.scd import join_valid_at
-from .operators.sizing import DIMENSION_ROWS, sized_broadcast
+from .operators.sizing import measured_broadcast
 from .plans import dimension_counts as DC
 from .plans import f101 as F101
 from .plans import posting_stats as PS
@@ -38,7 +38,7 @@ def _ledger(spark, d):
 
 
 def q_posting_collapse(spark, d):
-    return TB.postings(spark, d)
+    return TB.view(spark, d, "ft_posting_f")
 
 
 def q_turnover_day(spark, d):
@@ -83,17 +83,17 @@ def q_f101_all(spark, d):
 
 def q_valid_at(spark, d):
     """Every account version with the rate valid on the version's first day."""
-    acc = TB.accounts(spark, d).select("account_rk", "data_actual_date", "currency_rk")
-    fx = TB.rates(spark, d)
+    acc = TB.view(spark, d, "md_account_d").select("account_rk", "data_actual_date", "currency_rk")
+    fx = TB.view(spark, d, "md_exchange_rate_d")
     out = join_valid_at(acc.withColumnRenamed("data_actual_date", "version_date"), fx,
-                        ["currency_rk"], "version_date", how="left", max_rows=DIMENSION_ROWS)
+                        ["currency_rk"], "version_date", how="left", dimension=True)
     return out.select("account_rk", "version_date", "currency_rk", "reduced_cource")
 
 
 def q_opening_balance(spark, d):
     """Every account version with the balance of the eve of its month (left join)."""
-    acc = TB.accounts(spark, d).select("account_rk", "data_actual_date")
-    bal = TB.balances(spark, d).select("account_rk", "on_date", "balance_out")
+    acc = TB.view(spark, d, "md_account_d").select("account_rk", "data_actual_date")
+    bal = TB.view(spark, d, "ft_balance_f").select("account_rk", "on_date", "balance_out")
     j = acc.join(bal, (acc.account_rk == bal.account_rk)
                  & (bal.on_date == D.prev_month_end(acc.data_actual_date)), "left")
     return j.select(acc.account_rk, acc.data_actual_date, bal.balance_out)
@@ -101,31 +101,31 @@ def q_opening_balance(spark, d):
 
 def q_ledger_prefix_join(spark, d):
     """Account versions matched to their ledger account by number prefix."""
-    acc = TB.accounts(spark, d)
-    led = TB.ledger(spark, d).select("ledger_account", "chapter")
-    j = acc.join(sized_broadcast(led, max_rows=DIMENSION_ROWS),
-                 F.substring(acc.account_number, 1, 5) == led.ledger_account.cast("string"))
+    acc = TB.view(spark, d, "md_account_d")
+    led = TB.view(spark, d, "md_ledger_account_s").select("ledger_account", "chapter")
+    j = acc.join(measured_broadcast(led),
+                 F.substring("account_number", 1, 5) == F.col("ledger_account").cast("string"))
     return j.select("account_rk", "data_actual_date", "ledger_account", "chapter")
 
 
 def q_posting_minmax(spark, d):
-    return PS.posting_minmax(TB.postings(spark, d))
+    return PS.posting_minmax(TB.view(spark, d, "ft_posting_f"))
 
 
 def q_posting_minmax_guarded(spark, d):
     """Every calendar day of the postings' range requested; days without postings give no row."""
-    p = TB.postings(spark, d)
+    p = TB.view(spark, d, "ft_posting_f")
     return PS.posting_minmax_guarded(p, PS.day_spine(p))
 
 
 def q_posting_minmax_tvf(spark, d):
     """The SQL table function called laterally for every calendar day of the range."""
-    p = TB.postings(spark, d)
+    p = TB.view(spark, d, "ft_posting_f")
     return PS.call_posting_function_over(spark, p, PS.day_spine(p))
 
 
 def q_rate_dedup(spark, d):
-    fx = TB.rates(spark, d)
+    fx = TB.view(spark, d, "md_exchange_rate_d")
     return AG.drop_exact_duplicates(fx.unionByName(fx))
 
 
@@ -139,7 +139,7 @@ def q_group_count(spark, d):
 
 
 def q_last_delta_id(spark, d):
-    return AG.max_or_default(TB.deltas(spark, d), "delta_id", 0, "last_delta_id")
+    return AG.max_or_default(TB.view(spark, d, "deltas"), "delta_id", 0, "last_delta_id")
 
 
 def q_discipline_join(spark, d):
@@ -163,7 +163,7 @@ def q_date_bounds(spark, d):
 
 def q_month_spine(spark, d):
     """Every day of every month that has postings."""
-    m = TB.postings(spark, d).select(D.month_start("oper_date").alias("month_start")).distinct()
+    m = TB.view(spark, d, "ft_posting_f").select(D.month_start("oper_date").alias("month_start")).distinct()
     return m.select("month_start", F.explode(D.days_between("month_start", D.month_end("month_start"))).alias("day"))
 
 
@@ -176,12 +176,27 @@ def q_date_validate(spark, d):
     """yyyy-MM-dd texts, some with an impossible month; invalid ones parse to NULL."""
     o = TB.table(spark, d, "orders")
     month = F.when(F.col("o_orderkey") % 10 == 7, F.lit("13")).otherwise(F.date_format("o_orderdate", "MM"))
-    txt = F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("-"), month, F.lit("-"), F.date_format("o_orderdate", "dd"))
+    day = F.date_format("o_orderdate", "d")  # one digit where one is enough
+    txt = F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("-"), month, F.lit("-"), day)
     t = o.select("o_orderkey", txt.alias("d_text"))
     return t.select("o_orderkey", "d_text", D.parse_iso("d_text").alias("d"),
                     D.parse_iso("d_text").isNotNull().alias("is_valid"))
 
 
+def q_date_rejects(spark, d):
+    """The reject set of those texts."""
+    return D.rejected(q_date_validate(spark, d).select("o_orderkey", "d_text"), "d_text")
+
+
+def q_valid_at_buckets(spark, d):
+    """The same look-up on the path for a large version table: joined by month, not broadcast."""
+    acc = TB.view(spark, d, "md_account_d").select("account_rk", F.col("data_actual_date").alias("version_date"),
+                                                   "currency_rk")
+    out = join_valid_at(acc, TB.view(spark, d, "md_exchange_rate_d"), ["currency_rk"], "version_date", how="left",
+                        broadcast_limit=-1)
+    return out.select("account_rk", "version_date", "currency_rk", "reduced_cource")
+
+
 def q_text_normalise(spark, d):
     c = TB.table(spark, d, "customer")
     raw = F.concat_ws(", ", F.lower("c_name"), F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit("' ")))
@@ -218,6 +233,7 @@ QUERIES: dict[str, Query] = {
     "f101_preagg": q_f101_preagg,
     "f101_all": q_f101_all,
     "valid_at": q_valid_at,
+    "valid_at_buckets": q_valid_at_buckets,
     "opening_balance": q_opening_balance,
     "ledger_prefix_join": q_ledger_prefix_join,
     "posting_minmax": q_posting_minmax,
@@ -233,6 +249,7 @@ QUERIES: dict[str, Query] = {
     "month_spine": q_month_spine,
     "date_parse": q_date_parse,
     "date_validate": q_date_validate,
+    "date_rejects": q_date_rejects,
     "text_normalise": q_text_normalise,
     "log_chunk": q_log_chunk,
     "head_rows": q_head_rows,

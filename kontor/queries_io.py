@@ -9,11 +9,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .operators import deltas as DL
-from .operators.upsert import upsert
+from .operators.upsert import merge, upsert
 from .plans import detail_load as DLOAD
 from .plans import dimension_counts as DC
 from .plans import marts as MT
@@ -23,7 +24,7 @@ from .session import scratch_path
 from .sinks import files as SK
 from .sources import csv as CS
 from .sources import testbed as TB
-from .specs import PART_MONTH, spec
+from .specs import spec
 from .streaming.mirror import run_mirror_stream
 
 MIRROR_PK = ["account_rk"]
@@ -79,25 +80,31 @@ def _empty_mirror(spark):
 
 
 def q_delta_fold(spark, d):
-    return DL.apply_deltas(_empty_mirror(spark), TB.deltas(spark, d), MIRROR_PK)
+    return DL.apply_deltas(_empty_mirror(spark), TB.view(spark, d, "deltas"), MIRROR_PK)
 
 
 def q_delta_fold_history(spark, d):
-    return DL.apply_deltas(_empty_mirror(spark), TB.deltas(spark, d), HISTORY_PK)
+    return DL.apply_deltas(_empty_mirror(spark), TB.view(spark, d, "deltas"), HISTORY_PK)
 
 
 def q_delta_merge(spark, d):
-    return DL.apply_deltas_chain(_empty_mirror(spark), TB.deltas(spark, d), MIRROR_PK)
+    """One MERGE of the newer deltas, folded, into the mirror that the older ones left."""
+    deltas = TB.view(spark, d, "deltas")
+    until = F.lit(_dt.date.fromisoformat(FIRST_RUN_UNTIL))
+    mirror = DL.fold_deltas(deltas.filter(F.col("data_actual_date") <= until), MIRROR_PK).drop(DL.DELTA_ID)
+    batch = DL.fold_deltas(deltas.filter(F.col("data_actual_date") > until), MIRROR_PK).drop(DL.DELTA_ID)
+    return merge(mirror, batch, MIRROR_PK)
 
 
 def q_delta_incremental(spark, d):
-    """Two runs: the first loads the deltas up to a day and logs them; the
-    second resumes after the last *finished* delta in the log."""
-    deltas = TB.deltas(spark, d)
+    """Two runs, each stamping the rows it writes: the first loads the deltas up to a
+    day and logs them; the second resumes after the last *finished* delta in the log."""
+    deltas = TB.view(spark, d, "deltas")
     log_path, mirror_root = scratch_path(spark, "etl-log"), scratch_path(spark, "mirror")
+    stamped = T.StructType(list(MIRROR_SCHEMA.fields) + [T.StructField("run", T.IntegerType())])
     first = deltas.filter(F.col("data_actual_date") <= F.lit(_dt.date.fromisoformat(FIRST_RUN_UNTIL)))
     v1 = SK.next_version(spark, mirror_root)
-    DL.apply_deltas(_empty_mirror(spark), first, MIRROR_PK).write.parquet(v1)
+    DL.apply_deltas(spark.createDataFrame([], stamped), first.withColumn("run", F.lit(1)), MIRROR_PK).write.parquet(v1)
     log = RunLog(spark, log_path, "etl_log")
     for did in DL.delta_ids(first):
         log.add("start", did, "mirror")
@@ -105,14 +112,14 @@ def q_delta_incremental(spark, d):
     log.add("start", 99999999, "mirror")  # a load that never finished: must not count
     log.flush()
     last = DL.last_loaded(log.read(), "mirror")
-    mirror = spark.read.schema(MIRROR_SCHEMA).parquet(v1)
-    return DL.apply_deltas(mirror, deltas, MIRROR_PK, after=last)
+    mirror = spark.read.schema(stamped).parquet(SK.latest_version(spark, mirror_root))
+    return DL.apply_deltas(mirror, deltas.withColumn("run", F.lit(2)), MIRROR_PK, after=last)
 
 
 def _write_delta_folders(spark, d):
     """The deltas as numbered folders root/<delta_id>/part-*.csv."""
     root = scratch_path(spark, "deltas")
-    SK.write_numbered_folders(TB.deltas(spark, d), root, "delta_id", date_format=DELTA_DATE_FORMAT)
+    TB.write_numbered_folders(TB.view(spark, d, "deltas"), root, "delta_id", date_format=DELTA_DATE_FORMAT)
     return root
 
 
@@ -132,7 +139,7 @@ def q_delta_stream(spark, d):
 # ---- slices and round trips ---------------------------------------------------
 
 def _month_views(spark, d):
-    return TB.postings(spark, d), TB.accounts(spark, d), TB.rates(spark, d)
+    return TB.view(spark, d, "ft_posting_f"), TB.view(spark, d, "md_account_d"), TB.view(spark, d, "md_exchange_rate_d")
 
 
 def q_replace_slice(spark, d):
@@ -152,15 +159,17 @@ def q_replace_slice(spark, d):
 
 def q_csv_extract(spark, d):
     s = spec("ft_balance_f")
-    path = SK.write_extract(TB.balances(spark, d), scratch_path(spark, "extract"), date_format="dd.MM.yyyy")
+    path = TB.write_extract(TB.view(spark, d, "ft_balance_f"), scratch_path(spark, "extract"), date_format="dd.MM.yyyy")
     return CS.read_extract(spark, path, s.schema, date_format="dd.MM.yyyy")
 
 
 def q_csv_infer(spark, d):
     s = spec("ft_posting_f")
-    path = SK.write_csv(TB.postings(spark, d), scratch_path(spark, "postings-csv"))
+    path = SK.write_csv(TB.view(spark, d, "ft_posting_f"), scratch_path(spark, "postings-csv"))
     inferred = CS.read_inferred(spark, path)
-    return inferred.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in s.schema.fields])
+    types = ",".join(inferred.schema[c].dataType.simpleString() for c in s.columns)
+    return inferred.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in s.schema.fields],
+                           F.lit(types).alias("inferred_types"))
 
 
 def q_csv_tab_roundtrip(spark, d):
@@ -185,14 +194,14 @@ def q_mart_roundtrip(spark, d):
 def _detail_run(spark, d):
     root = scratch_path(spark, "detail")
     bal_spec = spec("ft_balance_f")
-    stale = TB.balances(spark, d).filter(F.col("on_date") < F.lit(_dt.date(1998, 1, 1))).withColumn(
+    stale = TB.view(spark, d, "ft_balance_f").filter(F.col("on_date") < F.lit(_dt.date(1998, 1, 1))).withColumn(
         "balance_out", (F.col("balance_out") + F.lit(1)).cast("decimal(18,2)"))
-    # the detail table as an earlier load left it (partitioned by month)
-    (stale.select(*bal_spec.columns).withColumn(PART_MONTH, F.trunc("on_date", "MM"))
-     .write.partitionBy(PART_MONTH).parquet(f"{root}/ft_balance_f"))
+    # the detail table as an earlier load left it (partitioned by day)
+    stale.select(*bal_spec.columns).hint("rebalance", "on_date").write.partitionBy("on_date").parquet(
+        f"{root}/ft_balance_f")
     extracts = {
-        "ft_balance_f": SK.write_extract(TB.balances(spark, d), scratch_path(spark, "x-bal"), "dd.MM.yyyy"),
-        "md_account_d": SK.write_extract(TB.accounts(spark, d), scratch_path(spark, "x-acc")),
+        "ft_balance_f": TB.write_extract(TB.view(spark, d, "ft_balance_f"), scratch_path(spark, "x-bal"), "dd.MM.yyyy"),
+        "md_account_d": TB.write_extract(TB.view(spark, d, "md_account_d"), scratch_path(spark, "x-acc")),
         "md_currency_d": "",
     }
     log_path = scratch_path(spark, "load-log")
@@ -202,7 +211,7 @@ def _detail_run(spark, d):
 
 def _load_one(spark, d, name, extract_df, date_format=None):
     root = scratch_path(spark, "detail")
-    x = SK.write_extract(extract_df, scratch_path(spark, f"x-{name}"), date_format)
+    x = TB.write_extract(extract_df, scratch_path(spark, f"x-{name}"), date_format)
     DLOAD.load_tables(spark, {name: x}, root, scratch_path(spark, "load-log"))
     from .jobs import read_detail
     return read_detail(spark, root, name)
@@ -210,15 +219,53 @@ def _load_one(spark, d, name, extract_df, date_format=None):
 
 def q_detail_load_postings(spark, d):
     """Posting extract with repeated keys (one row per line item): summed per key at load."""
-    return _load_one(spark, d, "ft_posting_f", TB.raw_postings(spark, d))
+    return _load_one(spark, d, "ft_posting_f", TB.view(spark, d, "raw_postings"))
 
 
 def q_detail_load_rates(spark, d):
     """Rate extract with every row twice: exact duplicates dropped at load."""
-    fx = TB.rates(spark, d)
+    fx = TB.view(spark, d, "md_exchange_rate_d")
     return _load_one(spark, d, "md_exchange_rate_d", fx.unionByName(fx))
 
 
+def q_detail_load_currency(spark, d):
+    return _load_one(spark, d, "md_currency_d", TB.view(spark, d, "md_currency_d"))
+
+
+def q_detail_load_accounts(spark, d):
+    return _load_one(spark, d, "md_account_d", TB.view(spark, d, "md_account_d"))
+
+
+def q_detail_load_ledger(spark, d):
+    """The chart of accounts: columns the test ledger does not have are blank in the extract."""
+    have = TB.view(spark, d, "md_ledger_account_s")
+    full = have.select(*[F.col(f.name) if f.name in have.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                         for f in spec("md_ledger_account_s").schema.fields])
+    loaded = _load_one(spark, d, "md_ledger_account_s", full)
+    return loaded.select(*have.columns, F.col("pair_account"))
+
+
+def q_load_after_failure(spark, d):
+    """Accounts loaded in two halves, with a load between them that fails while writing: nothing is lost."""
+    from .jobs import read_detail
+
+    root, log = scratch_path(spark, "detail"), scratch_path(spark, "load-log")
+    acc = TB.view(spark, d, "md_account_d")
+    half = F.col("account_rk") % 2 == 0
+
+    def extract(df):
+        return TB.write_extract(df, scratch_path(spark, "x-acc"))
+
+    DLOAD.load_tables(spark, {"md_account_d": extract(acc.filter(half))}, root, log)
+    # what a write that broke off leaves: a version folder without the marker of its end
+    broken = SK.next_version(spark, f"{root}/md_account_d")
+    acc.limit(0).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(broken)
+    damaged = acc.filter(half).withColumn("data_actual_end_date", F.lit("31/31/31"))
+    DLOAD.load_tables(spark, {"md_account_d": extract(damaged)}, root, log)
+    DLOAD.load_tables(spark, {"md_account_d": extract(acc.filter(~half))}, root, log)
+    return read_detail(spark, root, "md_account_d")
+
+
 def root_of(table_path: str) -> str:
     return table_path.rstrip("/").rsplit("/", 1)[0]
 
@@ -230,8 +277,13 @@ def q_detail_load(spark, d):
 
 
 def q_run_log(spark, d):
+    """The log of a load; per source its rows are stamped, in order and inside the run."""
+    before = spark.range(1).select(F.current_timestamp().alias("t")).first()["t"]
     _, log_path = _detail_run(spark, d)
-    return RunLog(spark, log_path, "load_logs").read().select("sources", "status", "description")
+    by = Window.partitionBy("sources").orderBy("action_date", F.col("status").desc())
+    return RunLog(spark, log_path, "load_logs").read().select(
+        "sources", "status", "description", F.row_number().over(by).alias("step"),
+        F.coalesce(F.col("action_date").between(F.lit(before), F.current_timestamp()), F.lit(False)).alias("stamped"))
 
 
 QUERIES_IO = {
@@ -251,5 +303,9 @@ QUERIES_IO = {
     "detail_load": q_detail_load,
     "detail_load_postings": q_detail_load_postings,
     "detail_load_rates": q_detail_load_rates,
+    "detail_load_currency": q_detail_load_currency,
+    "detail_load_accounts": q_detail_load_accounts,
+    "detail_load_ledger": q_detail_load_ledger,
+    "load_after_failure": q_load_after_failure,
     "run_log": q_run_log,
 }

@@ -26,27 +26,6 @@ DEFAULT_CONF = {
 }
 
 
-def cluster_conf(total_shuffle_bytes: int, cores: int) -> dict:
-    """Suggested settings for a large cluster (not applied by the library).
-
-    Start with enough shuffle partitions for ~256 MB each and let AQE
-    coalesce small ones and split skewed ones at run time.
-    """
-    target = 256 * 1024 * 1024
-    partitions = max(2 * cores, total_shuffle_bytes // target)
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target // 2),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.files.maxPartitionBytes": str(target),
-        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
-        # tables bucketed on account_rk also serve joins on (account_rk, month)
-        "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    }
-
-
 def build_session(master: str | None = None, app_name: str = "kontor",
                   shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)

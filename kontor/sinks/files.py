@@ -32,22 +32,6 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", header: bool = True, mod
     return path
 
 
-def write_extract(df: DataFrame, path: str, date_format: str | None = None, encoding: str = "cp866",
-                  sep: str = ";") -> str:
-    """An extract in the source-system layout: index column first, upper-case headers."""
-    from ..sources.csv import enable_legacy_charsets
-
-    enable_legacy_charsets(df.sparkSession)
-    cols = [F.monotonically_increasing_id().alias("_c0")]
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        if date_format and f.dataType.typeName() == "date":
-            c = F.date_format(c, date_format)
-        cols.append(c.alias(f.name.upper()))
-    df.select(*cols).write.mode("overwrite").options(header=True, sep=sep, encoding=encoding).csv(path)
-    return path
-
-
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Iterable[str] | None = None) -> str:
     w = df.write.mode(mode)
@@ -92,83 +76,71 @@ class SliceWrite:
     deleted: list
 
 
-def replace_slices(df: DataFrame, path: str, partition_col: str, slices: Iterable, spread: int = 4) -> SliceWrite:
+def replace_slices(df: DataFrame, path: str, partition_col: str, slices: Iterable) -> SliceWrite:
     """Replace the given partition values of a table with ``df``'s rows.
 
-    Rows are first hashed on (slice, a deterministic salt in [0, spread)):
-    each slice is written by at most ``spread`` tasks (bounded file count),
-    and a slice holding a third of the rows is still split ``spread`` ways;
-    with more slices than shuffle partitions the salt is dropped.  Which
-    requested slices received rows is observed on the write itself (a set
-    bounded by the requested slices); the others are deleted.  Rows of
-    ``df`` outside ``slices`` are an error (they would silently overwrite
-    other slices).
+    Rows are rebalanced on the slice: adaptive execution splits a large slice
+    over as many writers as its bytes ask for and merges small ones.  A row
+    outside ``slices`` fails its task, and a failed write commits nothing, so
+    no slice is touched.  Which requested slices received rows is observed on
+    the write itself (a set bounded by the requested slices); the others are
+    deleted.
     """
-    spark = df.sparkSession
     slices = list(slices)
-    inside = F.col(partition_col).isin(*slices)
+    inside = F.coalesce(F.col(partition_col).isin(*slices), F.lit(False))
+    refused = F.raise_error(F.concat(F.lit(f"row outside the requested slices of {path}: "),
+                                     F.coalesce(F.col(partition_col).cast("string"), F.lit("NULL"))))
+    checked = df.withColumn(partition_col, F.when(inside, F.col(partition_col))
+                            .otherwise(refused.cast(df.schema[partition_col].dataType)))
     obs = Observation("replace_slices")
-    metrics = [F.count(F.lit(1)).alias("_total"),
-               F.sum(F.when(~inside, 1).otherwise(0)).alias("_outside"),
-               F.collect_set(F.when(inside, F.col(partition_col))).alias("_written")]
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spread = max(1, min(spread, partitions // max(1, len(slices))))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
-    observed = df.observe(obs, *metrics).repartition(F.col(partition_col), salt)
-    (observed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(path))
+    metrics = [F.count(F.lit(1)).alias("_total"), F.collect_set(partition_col).alias("_written")]
+    (checked.hint("rebalance", partition_col).observe(obs, *metrics)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
     m = obs.get
-    if m.get("_outside"):
-        raise ValueError(f"{m['_outside']} rows outside the requested slices were written to {path}")
     written = set(m.get("_written") or [])
-    deleted = []
-    for v in slices:
-        if v not in written:
-            delete_path(spark, f"{path.rstrip('/')}/{partition_col}={_partition_value(v)}")
-            deleted.append(v)
+    deleted = [v for v in slices if v not in written]
+    for v in deleted:
+        delete_path(df.sparkSession, f"{path.rstrip('/')}/{partition_col}={_partition_value(v)}")
     return SliceWrite(int(m.get("_total") or 0), written, deleted)
 
 
-def write_numbered_folders(df: DataFrame, root: str, id_col: str = "delta_id", sep: str = ";",
-                           date_format: str | None = None) -> list[str]:
-    """Batches as ``root/<id>/part-*.csv``, the layout of numbered delta folders.
+# ---- copy-on-write versions: root/v=N ------------------------------------------
 
-    One distributed, partitioned write, then each ``<id_col>=<id>`` folder is
-    renamed to the bare number (one rename per batch: metadata on HDFS, a copy
-    on object stores).
-    """
-    spark = df.sparkSession
-    w = df.repartition(id_col).write.mode("overwrite").partitionBy(id_col).options(header=True, sep=sep)
-    if date_format:
-        w = w.option("dateFormat", date_format)
-    w.csv(root)
+def _versions(spark: SparkSession, root: str) -> dict[int, bool]:
+    """Version number -> whether its write finished (Spark leaves a marker at commit)."""
     p, fs = _fs(spark, root)
-    out = []
+    if not fs.exists(p):
+        return {}
+    out = {}
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{id_col}="):
-            target = st.getPath().getParent().suffix(f"/{name.split('=', 1)[1]}")
-            fs.rename(st.getPath(), target)
-            out.append(target.toString())
-    return sorted(out)
+        if name.startswith("v=") and name[2:].isdigit():
+            marker = st.getPath().suffix("/_SUCCESS")
+            out[int(name[2:])] = bool(fs.exists(marker))
+    return out
 
 
 def next_version(spark: SparkSession, root: str) -> str:
-    """root/v=<n+1> for copy-on-write tables: never write over what is being read."""
-    p, fs = _fs(spark, root)
-    latest = 0
-    if fs.exists(p):
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v=") and name[2:].isdigit():
-                latest = max(latest, int(name[2:]))
-    return f"{root.rstrip('/')}/v={latest + 1}"
+    """A version folder never used before, finished or not: nothing being read is written over."""
+    return f"{root.rstrip('/')}/v={max(_versions(spark, root), default=0) + 1}"
 
 
 def latest_version(spark: SparkSession, root: str) -> str | None:
-    p, fs = _fs(spark, root)
-    if not fs.exists(p):
-        return None
-    versions = [int(st.getPath().getName()[2:]) for st in fs.listStatus(p)
-                if st.getPath().getName().startswith("v=") and st.getPath().getName()[2:].isdigit()]
-    return f"{root.rstrip('/')}/v={max(versions)}" if versions else None
+    """The newest version whose write finished; a failed write does not count."""
+    done = [n for n, finished in _versions(spark, root).items() if finished]
+    return f"{root.rstrip('/')}/v={max(done)}" if done else None
+
+
+def drop_old_versions(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
+    """Delete all but the ``keep`` newest finished versions, and what failed writes
+    before the newest one left.  Readers of the version before the newest go on."""
+    found = _versions(spark, root)
+    done = sorted(n for n, finished in found.items() if finished)
+    if not done:
+        return []
+    gone = [n for n, finished in found.items()
+            if (finished and n in done[:-keep]) or (not finished and n < done[-1])]
+    paths = [f"{root.rstrip('/')}/v={n}" for n in sorted(gone)]
+    for path in paths:
+        delete_path(spark, path)
+    return paths

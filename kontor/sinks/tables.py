@@ -5,8 +5,7 @@ Form 101 joins accounts, opening balances and the turnover mart on
 with the same bucket count, the three sort-merge joins and the per-account
 turnover aggregate need no exchange at all; only the final, tiny group-by
 shuffles.  Joins that also carry the report month reuse the same buckets when
-``spark.sql.requireAllClusterKeysForCoPartition`` is false (see
-``session.cluster_conf``).
+``spark.sql.requireAllClusterKeysForCoPartition`` is false.
 """
 
 from __future__ import annotations

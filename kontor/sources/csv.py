@@ -5,11 +5,14 @@
   headers, blanks in text columns kept as ''.  Read as text, then typed
   by the declared schema (inference would turn account numbers into
   decimals and ``dd.MM.yyyy`` dates into strings).
-* ``read_declared`` / ``read_inferred`` / ``read_tab``: plain readers.
-* ``scan_delta_folders``: every numbered delta folder in ONE scan; the
-  batch number comes from each row's file path (``_metadata``), so no
-  driver loop over folders.  Bare CR, CRLF and LF line ends all read with
-  the default line reader -- never set ``lineSep``.
+* ``read_declared``: columns by header name, strict types; ``read_inferred``
+  and ``read_tab``: plain readers.
+* ``scan_delta_folders``: every numbered delta folder, one scan per distinct
+  header; the batch number comes from each row's file path (``_metadata``).
+  Bare CR, CRLF and LF line ends all read with the default line reader --
+  never set ``lineSep``.
+
+Damaged input is refused: a bad value or a differing header raises.
 """
 
 from __future__ import annotations
@@ -50,7 +53,8 @@ def read_extract(spark: SparkSession, path: str, schema: T.StructType, date_form
                  encoding: str = EXTRACT_ENCODING, sep: str = EXTRACT_SEP, index_col: bool = True) -> DataFrame:
     if encoding.lower().replace("-", "") not in ("utf8", "usascii", "iso88591", "utf16", "utf32"):
         enable_legacy_charsets(spark)
-    raw = spark.read.options(header=True, sep=sep, encoding=encoding, inferSchema=False).csv(path)
+    raw = spark.read.options(header=True, sep=sep, encoding=encoding, inferSchema=False, enforceSchema=False,
+                             mode="FAILFAST").csv(path)
     raw = raw.toDF(*[c.lower() for c in raw.columns])
     if index_col:
         raw = raw.select(*raw.columns[1:])
@@ -58,11 +62,19 @@ def read_extract(spark: SparkSession, path: str, schema: T.StructType, date_form
 
 
 def read_declared(spark: SparkSession, path: str, schema: T.StructType, sep: str = ";",
-                  header: bool = True, date_format: str | None = None) -> DataFrame:
-    r = spark.read.schema(schema).options(header=header, sep=sep)
-    if date_format:
-        r = r.option("dateFormat", date_format)
-    return r.csv(path)
+                  date_format: str | None = None) -> DataFrame:
+    """Columns by header name, in any order and case; typed by ``schema``.
+
+    A missing column, part files whose headers differ and a value that does not
+    have its column's type are errors, never NULLs in the result.
+    """
+    raw = spark.read.options(header=True, sep=sep, inferSchema=False, enforceSchema=False, mode="FAILFAST").csv(path)
+    raw = raw.toDF(*[c.strip().lower() for c in raw.columns])
+    missing = [f.name for f in schema.fields if f.name.lower() not in raw.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {missing} in header {raw.columns}")
+    lower = T.StructType([T.StructField(f.name.lower(), f.dataType) for f in schema.fields])
+    return apply_schema(raw, lower, date_format, keep_blank_text=False).toDF(*schema.fieldNames())
 
 
 def read_inferred(spark: SparkSession, path: str, sep: str = ";", header: bool = True) -> DataFrame:
@@ -79,13 +91,16 @@ def read_tab(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return r.csv(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def delta_folders(spark: SparkSession, root: str, after: int | None = None) -> list[tuple[int, str]]:
     """(batch number, path) of the numbered folders under ``root`` (``N`` or
     ``delta_id=N``), ascending, newer than ``after``.  A listing of folder
     names -- metadata, one entry per batch -- not a read of the data."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    p, fs = _hadoop(spark, root)
     if not fs.exists(p):
         return []
     out = []
@@ -99,25 +114,68 @@ def delta_folders(spark: SparkSession, root: str, after: int | None = None) -> l
     return sorted(out)
 
 
+def csv_header(spark: SparkSession, folder: str, sep: str = ";") -> tuple[str, ...] | None:
+    """Lower-case column names of the first CSV file of a folder that has any: one line is read."""
+    p, fs = _hadoop(spark, folder)
+    jvm = spark.sparkContext._jvm
+    for st in sorted(fs.listStatus(p), key=lambda x: x.getPath().getName()):
+        if not st.getPath().getName().endswith(".csv") or st.getLen() == 0:
+            continue
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(st.getPath()), "UTF-8"))
+        try:
+            line = lines.readLine()
+        finally:
+            lines.close()
+        if line and line.strip():
+            return tuple(c.strip().strip('"').lower() for c in line.lstrip("\ufeff").split(sep))
+    return None
+
+
+def delta_schema(spark: SparkSession, root: str, declared: T.StructType, sep: str = ";") -> T.StructType:
+    """All columns of the first delta, in its order: declared types where known, text otherwise."""
+    types = {f.name.lower(): f.dataType for f in declared.fields}
+    for _, folder in delta_folders(spark, root):
+        names = csv_header(spark, folder, sep)
+        if names:
+            return T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+    return declared
+
+
 def scan_delta_folders(spark: SparkSession, root: str, schema: T.StructType, sep: str = ";",
                        date_format: str | None = None, id_col: str = "delta_id",
                        after: int | None = None) -> DataFrame:
-    """All ``root/<number>/<file>.csv`` (or ``root/delta_id=<number>/...``) at once.
+    """All ``root/<number>/*.csv`` (or ``root/delta_id=<number>/...``) newer than ``after``.
 
-    With ``after``, only the folders of newer batches are read (pruned by
-    listing the folder names), so an incremental run does not rescan history.
+    Columns go by header name: folders with the same header are one scan, and a
+    file whose header differs from its folder's is an error.  Columns of
+    ``schema`` that a delta does not have are NULL there; a column it has beyond
+    ``schema`` and a value of the wrong type are errors.
     """
-    r = spark.read.schema(schema).options(header=True, sep=sep, recursiveFileLookup=True,
-                                          pathGlobFilter="*.csv")
-    if date_format:
-        r = r.option("dateFormat", date_format)
-    if after is None:
-        df = r.csv(root)
-    else:
-        paths = [path for _, path in delta_folders(spark, root, after)]
-        if not paths:
-            empty = T.StructType([T.StructField(id_col, T.IntegerType())] + list(schema.fields))
-            return spark.createDataFrame([], empty)
-        df = r.csv(paths)
-    batch = F.regexp_extract(F.col("_metadata.file_path"), DELTA_DIR_PATTERN, 1)
-    return df.select(F.when(batch == "", None).otherwise(batch).cast("int").alias(id_col), *schema.fieldNames())
+    names = schema.fieldNames()
+    by_header: dict[tuple, list[str]] = {}
+    for _, folder in delta_folders(spark, root, after):
+        header = csv_header(spark, folder, sep)
+        if header:
+            by_header.setdefault(header, []).append(folder)
+    out = None
+    for header, folders in by_header.items():
+        more = [c for c in header if c not in [n.lower() for n in names]]
+        if more:
+            raise ValueError(f"{folders[0]}: column(s) {more} are not in {names}")
+        raw = (spark.read.options(header=True, sep=sep, inferSchema=False, enforceSchema=False, mode="FAILFAST",
+                                  pathGlobFilter="*.csv").csv(folders))
+        number = F.regexp_extract(F.col("_metadata.file_path"), DELTA_DIR_PATTERN, 1).cast("int").alias(id_col)
+        raw = raw.select(number, *[F.col(f"`{c}`").alias(header[i]) for i, c in enumerate(raw.columns)])
+        typed = [f for f in schema.fields if f.name.lower() in header]
+        lower = T.StructType([T.StructField(id_col, T.IntegerType())]
+                             + [T.StructField(f.name.lower(), f.dataType) for f in typed])
+        df = apply_schema(raw.withColumn(id_col, F.col(id_col).cast("string")), lower, date_format,
+                          keep_blank_text=False).toDF(id_col, *[f.name for f in typed])
+        for f in schema.fields:
+            if f.name.lower() not in header:
+                df = df.withColumn(f.name, F.lit(None).cast(f.dataType))
+        df = df.select(id_col, *names)
+        out = df if out is None else out.unionByName(df)
+    if out is None:
+        return spark.createDataFrame([], T.StructType([T.StructField(id_col, T.IntegerType())] + list(schema.fields)))
+    return out

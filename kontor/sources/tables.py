@@ -1,10 +1,9 @@
-"""Whole-table reads, existence and non-emptiness tests, literal frames."""
+"""Existence and non-emptiness tests."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -15,18 +14,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
-
-
-def is_nonempty(df: DataFrame) -> bool:
-    """Has a first row (reads one row, not the table)."""
-    return not df.isEmpty()
-
-
 def nonempty_flags(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     """(table_name, exists, has_rows) per named Parquet path.
 
@@ -46,7 +33,3 @@ def nonempty_flags(spark: SparkSession, tables: dict[str, str]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def literal_frame(spark: SparkSession, rows, ddl: str) -> DataFrame:
-    return spark.createDataFrame(rows, ddl)

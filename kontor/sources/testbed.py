@@ -29,7 +29,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import collapse_by_key
+from ..session import scratch_path
+from ..sinks.files import _fs
 from ..specs import DOMESTIC_CURRENCY_CODES as DOMESTIC_CODES
+from .csv import enable_legacy_charsets
 
 # Fixed values of the derived test ledger (shared with kontor.oracle):
 SUPPLIER_ACCOUNT_OFFSET = 1_000_000_000_000
@@ -63,8 +66,8 @@ def raw_postings(spark, sf_dir) -> DataFrame:
     )
 
 
-def postings(spark, sf_dir) -> DataFrame:
-    return collapse_by_key(raw_postings(spark, sf_dir),
+def postings(spark, sf_dir, raw: DataFrame | None = None) -> DataFrame:
+    return collapse_by_key(raw_postings(spark, sf_dir) if raw is None else raw,
                            ["oper_date", "credit_account_rk", "debet_account_rk"],
                            ["credit_amount", "debet_amount"], cast_to="decimal(18,2)")
 
@@ -198,8 +201,28 @@ VIEWS = {
 }
 
 
+_STORED: dict[tuple, str] = {}  # (application, table folder, view) -> stored copy
+
+
 def view(spark, sf_dir, name) -> DataFrame:
-    return VIEWS[name](spark, sf_dir)
+    """A derived table, computed once per session and folder and read from the shared
+    scratch folder afterwards; each is derived from the stored ones it depends on."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _STORED:
+        if name == "raw_postings":
+            df = raw_postings(spark, sf_dir)
+        elif name == "ft_posting_f":
+            df = postings(spark, sf_dir, view(spark, sf_dir, "raw_postings"))
+        elif name in ("md_account_d", "ft_balance_f"):
+            df = VIEWS[name](spark, sf_dir, view(spark, sf_dir, "ft_posting_f"))
+        elif name == "md_exchange_rate_d":
+            df = rates(spark, sf_dir, view(spark, sf_dir, "md_account_d"))
+        else:
+            df = VIEWS[name](spark, sf_dir)
+        path = scratch_path(spark, f"ledger-{name}")
+        df.write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
 
 
 def materialize(spark, sf_dir, root: str, partitions: int | None = None) -> dict[str, str]:
@@ -227,3 +250,43 @@ def materialize(spark, sf_dir, root: str, partitions: int | None = None) -> dict
     for n in ("md_currency_d", "md_ledger_account_s"):
         store(VIEWS[n](spark, sf_dir), n)
     return out
+
+
+# ---- input files in the source system's layouts ---------------------------------
+
+def write_extract(df: DataFrame, path: str, date_format: str | None = None, encoding: str = "cp866",
+                  sep: str = ";") -> str:
+    """An extract in the source-system layout: index column first, upper-case headers."""
+    enable_legacy_charsets(df.sparkSession)
+    cols = [F.monotonically_increasing_id().alias("_c0")]
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if date_format and f.dataType.typeName() == "date":
+            c = F.date_format(c, date_format)
+        cols.append(c.alias(f.name.upper()))
+    df.select(*cols).write.mode("overwrite").options(header=True, sep=sep, encoding=encoding).csv(path)
+    return path
+
+
+def write_numbered_folders(df: DataFrame, root: str, id_col: str = "delta_id", sep: str = ";",
+                           date_format: str | None = None) -> list[str]:
+    """Batches as ``root/<id>/part-*.csv``, the layout of numbered delta folders.
+
+    One distributed, partitioned write, then each ``<id_col>=<id>`` folder is
+    renamed to the bare number (one rename per batch: metadata on HDFS, a copy
+    on object stores).
+    """
+    spark = df.sparkSession
+    w = df.repartition(id_col).write.mode("overwrite").partitionBy(id_col).options(header=True, sep=sep)
+    if date_format:
+        w = w.option("dateFormat", date_format)
+    w.csv(root)
+    p, fs = _fs(spark, root)
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(f"{id_col}="):
+            target = st.getPath().getParent().suffix(f"/{name.split('=', 1)[1]}")
+            fs.rename(st.getPath(), target)
+            out.append(target.toString())
+    return sorted(out)

@@ -10,7 +10,8 @@ high-water mark of the batch job: a restarted query resumes after the
 last committed micro-batch, and a micro-batch that failed is replayed.
 
 Each micro-batch writes a new version of the mirror (copy-on-write) and
-never overwrites the version it reads.
+never overwrites the version it reads; a version counts once its write has
+finished, so a failed micro-batch is replayed on the version before it.
 """
 
 from __future__ import annotations
@@ -22,15 +23,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.deltas import merge_newer
-from ..sinks.files import latest_version, next_version
+from ..sinks.files import drop_old_versions, latest_version, next_version
 from ..sources.csv import DELTA_DIR_PATTERN
 
 
 def delta_stream(spark: SparkSession, root: str, schema: T.StructType, sep: str = ";",
                  date_format: str | None = None, max_files_per_trigger: int | None = None,
                  id_col: str = "delta_id") -> DataFrame:
+    # a stream has one schema: a file whose header differs from it, or a bad value, fails the batch
     r = spark.readStream.schema(schema).options(header=True, sep=sep, recursiveFileLookup=True,
-                                                pathGlobFilter="*.csv")
+                                                pathGlobFilter="*.csv", enforceSchema=False, mode="FAILFAST")
     if date_format:
         r = r.option("dateFormat", date_format)
     if max_files_per_trigger:
@@ -55,7 +57,8 @@ def run_mirror_stream(spark: SparkSession, deltas_root: str, mirror_root: str, c
         mirror = (spark.read.schema(mirror_schema).parquet(current) if current
                   else spark.createDataFrame([], mirror_schema))
         merged = merge_newer(mirror, batch.select(*mirror_schema.fieldNames()), pk, id_col)
-        merged.write.mode("overwrite").parquet(next_version(spark, mirror_root))
+        merged.write.parquet(next_version(spark, mirror_root))
+        drop_old_versions(spark, mirror_root)
 
     stream = delta_stream(spark, deltas_root, schema, sep, date_format, max_files_per_trigger, id_col)
     q = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)

@@ -5,6 +5,7 @@ from decimal import Decimal as D
 from pyspark.sql import types as T
 
 from kontor.sinks import files as SK
+from kontor.sources import testbed as TB
 from kontor.sources import csv as CS
 from kontor.specs import spec
 
@@ -52,7 +53,7 @@ def test_extract_round_trip(spark, tmp):
     s = spec("ft_balance_f")
     df = spark.createDataFrame([(dt.date(2017, 12, 31), 1, 643, D("5.10")), (dt.date(2017, 12, 31), 2, 840, D("-1.00"))],
                                s.schema)
-    path = SK.write_extract(df, f"{tmp}/bal", date_format="dd.MM.yyyy")
+    path = TB.write_extract(df, f"{tmp}/bal", date_format="dd.MM.yyyy")
     back = CS.read_extract(spark, path, s.schema, date_format="dd.MM.yyyy")
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 

@@ -2,6 +2,7 @@ import datetime as dt
 import os
 
 from kontor.sinks import files as SK
+from kontor.sources import testbed as TB
 
 S = "on_date date, k bigint, v bigint"
 d = dt.date
@@ -48,7 +49,7 @@ def test_numbered_folders_round_trip(spark, tmp):
 
     from kontor.sources.csv import scan_delta_folders
     df = spark.createDataFrame([(1000, 1, "a"), (1000, 2, "b"), (1001, 1, "c")], "delta_id int, k bigint, v string")
-    folders = SK.write_numbered_folders(df, f"{tmp}/d")
+    folders = TB.write_numbered_folders(df, f"{tmp}/d")
     assert [f.rsplit("/", 1)[1] for f in folders] == ["1000", "1001"]
     schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
     back = scan_delta_folders(spark, f"{tmp}/d", schema)
