@@ -1,0 +1,211 @@
+"""Writes that fail and damaged input: nothing is lost, nothing becomes NULL silently."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kontor import jobs as J
+from kontor.functions import dates as D
+from kontor.operators.scd import join_valid_at
+from kontor.operators.sizing import measured_broadcast, stage
+from kontor.plans import runlog as RL
+from kontor.plans.detail_load import load_tables
+from kontor.sinks import files as SK
+from kontor.sources import csv as CS
+from kontor.specs import spec
+from kontor.streaming.mirror import run_mirror_stream
+
+RATES = ";DATA_ACTUAL_DATE;DATA_ACTUAL_END_DATE;CURRENCY_RK;REDUCED_COURCE;CODE_ISO_NUM\n"
+
+
+def put(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        f.write(text)
+    return path
+
+
+def test_a_failed_load_keeps_the_table(spark, tmp):
+    def load(name, rows):
+        x = put(f"{tmp}/x/{name}.csv", RATES + rows)
+        return load_tables(spark, {"md_exchange_rate_d": x}, f"{tmp}/detail", f"{tmp}/log")["md_exchange_rate_d"]
+
+    assert load("a", "0;2018-01-01;2018-01-31;1;1.5;840\n1;2018-01-01;2018-01-31;2;2.5;978\n")
+    assert load("b", "0;2018-02-01;31/31/31;1;1.6;840\n") is None
+    assert J.read_detail(spark, f"{tmp}/detail", "md_exchange_rate_d").count() == 2
+    os.makedirs(f"{tmp}/detail/md_exchange_rate_d/v=7")  # a write that broke off
+    assert J.read_detail(spark, f"{tmp}/detail", "md_exchange_rate_d").count() == 2
+    assert load("c", "0;2018-03-01;2018-03-31;1;1.7;840\n")
+    assert J.read_detail(spark, f"{tmp}/detail", "md_exchange_rate_d").count() == 3
+    log = spark.read.parquet(f"{tmp}/log").filter("status like 'error%'").collect()
+    assert len(log) == 1 and "31/31/31" in log[0]["error"]
+
+
+HEAD = "DATA_ACTUAL_DATE;DATA_ACTUAL_END_DATE;ACCOUNT_RK;ACCOUNT_NUMBER;CHAR_TYPE;CURRENCY_RK;CURRENCY_CODE;" \
+       "CLIENT_ID;BRANCH_ID;OPEN_IN_INTERNET"
+
+
+def delta(root, number, keys, day="01.01.2018", head=HEAD, client=7):
+    rows = [f"{day};31.01.2018;{k};4070{k};A;30;643;{client};1;Y" for k in keys]
+    put(f"{root}/{number}/delta.csv", "\r".join([head, *rows]))
+
+
+def test_mirror_keeps_every_column_and_counts_as_the_source_does(spark, tmp):
+    # distinct keys grow 20, 22, 25, 28, 28; (date, key) pairs 20, 31, 36, 42, 45
+    batches = {1000: (range(20), "01.01.2018"), 1001: ([*range(9), 20, 21], "02.01.2018"),
+               1002: ([0, 1, 22, 23, 24], "03.01.2018"), 1003: ([0, 1, 2, 25, 26, 27], "04.01.2018"),
+               1004: ([0, 1, 2], "05.01.2018")}
+    sizes = {"account_rk": [20, 22, 25, 28, 28], "data_actual_date,account_rk": [20, 31, 36, 42, 45]}
+    for keys, expected in sizes.items():
+        root, got = f"{tmp}/{len(keys)}", []
+        for number, (ids, day) in batches.items():
+            delta(f"{root}/deltas", number, ids, day, client=number)
+            out = J.job_mirror(spark, f"{root}/deltas", f"{root}/mirror", f"{root}/log", "md_account_d", keys)
+            got.append(spark.read.parquet(out).count())
+        assert got == expected
+        df = spark.read.parquet(out)
+        assert df.columns == [c.lower() for c in HEAD.split(";")]
+        assert df.filter("client_id = '1004'").count() == 3 and df.filter("open_in_internet = 'Y'").count() == got[-1]
+
+
+def test_a_failed_mirror_write_is_made_up_for(spark, tmp, monkeypatch):
+    delta(f"{tmp}/deltas", 1000, range(3))
+    args = (f"{tmp}/deltas", f"{tmp}/mirror", f"{tmp}/log", "md_account_d", "account_rk")
+    J.job_mirror(spark, *args)
+    delta(f"{tmp}/deltas", 1001, [3, 4])
+    fold = J.DL.apply_deltas
+    fail = F.udf(lambda x: 1 // 0, "bigint")
+    monkeypatch.setattr(J.DL, "apply_deltas", lambda *a, **k: fold(*a, **k).withColumn("account_rk", fail("account_rk")))
+    with pytest.raises(Exception):
+        J.job_mirror(spark, *args)
+    monkeypatch.undo()
+    assert spark.read.parquet(SK.latest_version(spark, f"{tmp}/mirror")).count() == 3
+    delta(f"{tmp}/deltas", 1002, [5])
+    assert spark.read.parquet(J.job_mirror(spark, *args)).count() == 6
+
+
+SMALL = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType())])
+
+
+def test_a_failed_micro_batch_is_made_up_for(spark, tmp, monkeypatch):
+    import kontor.streaming.mirror as M
+
+    put(f"{tmp}/d/1/a.csv", "k;v\n1;a\n")
+    args = (f"{tmp}/d", f"{tmp}/mirror", f"{tmp}/ckpt", SMALL, ["k"])
+    run_mirror_stream(spark, *args)
+    put(f"{tmp}/d/2/a.csv", "k;v\n2;b\n")
+    merge, fail = M.merge_newer, F.udf(lambda x: 1 // 0, "bigint")
+    monkeypatch.setattr(M, "merge_newer", lambda *a, **k: merge(*a, **k).withColumn("k", fail("k")))
+    with pytest.raises(Exception):
+        run_mirror_stream(spark, *args)
+    monkeypatch.undo()
+    latest = run_mirror_stream(spark, *args)
+    assert sorted((r.k, r.v) for r in spark.read.parquet(latest).collect()) == [(1, "a"), (2, "b")]
+
+
+def test_columns_go_by_header_name(spark, tmp):
+    put(f"{tmp}/m/part-0.csv", "b;A\n2;1\n")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    assert [tuple(r) for r in CS.read_declared(spark, f"{tmp}/m", schema).collect()] == [(1, 2)]
+    put(f"{tmp}/d/1/x.csv", "v;k\nz;1\n")
+    put(f"{tmp}/d/2/x.csv", "k;v\n2;y\n")
+    put(f"{tmp}/d/notes/x.csv", "k;v\n9;no\n")  # not a numbered folder
+    got = sorted(tuple(r) for r in CS.scan_delta_folders(spark, f"{tmp}/d", SMALL).collect())
+    assert got == [(1, 1, "z"), (2, 2, "y")]
+
+
+@pytest.mark.parametrize("text", ["k;v\nxx;a\n", "k;w\n1;a\n"])
+def test_damaged_csv_is_refused(spark, tmp, text):
+    put(f"{tmp}/1/x.csv", text)
+    with pytest.raises(Exception):
+        CS.read_declared(spark, f"{tmp}/1", SMALL).collect()
+    with pytest.raises(Exception):
+        CS.scan_delta_folders(spark, tmp, SMALL).collect()
+
+
+def test_both_paths_of_the_valid_at_join_agree_on_nasty_versions(spark):
+    d = dt.date
+    left = spark.createDataFrame([(1, d(2018, 1, 5)), (2, d(2018, 2, 1)), (None, d(2018, 1, 1)), (3, None)],
+                                 "k int, day date")
+    right = spark.createDataFrame(
+        [(1, d(2018, 1, 1), d(2018, 1, 31), "a"), (1, d(2018, 1, 9), d(2018, 1, 2), "inverted"),
+         (1, None, d(2018, 1, 31), "no start"), (1, d(2018, 1, 1), None, "no end"), (1, d(2018, 1, 5), d(2999, 12, 31), "b"),
+         (2, d(2018, 1, 1), d(2018, 1, 31), "c"), (2, d(2018, 2, 1), d(2018, 2, 1), "d"), (2, d(2018, 2, 1), d(2018, 2, 1), "d")],
+        "k int, data_actual_date date, data_actual_end_date date, v string")
+    both = [sorted(map(str, join_valid_at(left, right, ["k"], "day", how="left", broadcast_limit=limit).collect()))
+            for limit in (1 << 30, -1)]
+    assert both[0] == both[1] and len(both[0]) == 6
+
+
+def test_a_staged_dimension_is_measured_after_its_explode(spark):
+    df = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(50000))).alias("x"), F.repeat(F.lit("y"), 100).alias("t"))
+    staged, size = stage(df)
+    assert staged.count() == 50000 and size > 5_000_000
+    text = measured_broadcast(df, limit=1_000_000).join(df, "x")._jdf.queryExecution().toString()
+    assert "ResolvedHint" not in text.split("== Analyzed")[1].split("== Optimized")[0]
+
+
+def test_messages_need_unique_keys(spark):
+    for rows in ([(None, "a")], [(1, "a"), (1, "b")]):
+        with pytest.raises(ValueError):
+            RL.chunk_messages(spark.createDataFrame(rows, "k int, message string"), ["k"])
+
+
+def test_pid_is_the_same_in_every_process(spark):
+    import zlib
+
+    assert RL.session_identity(spark)["pid"] == zlib.crc32(spark.sparkContext.applicationId.encode()) & 0x7FFFFFFF
+
+
+def test_single_digit_dates_and_the_reject_set(spark):
+    df = spark.createDataFrame([("2018-1-5",), ("2018-01-05",), ("2018-13-01",), (None,)], "t string")
+    assert [r[0] for r in df.select(D.parse_iso("t")).collect()] == [dt.date(2018, 1, 5)] * 2 + [None] * 2
+    assert [r[0] for r in D.rejected(df, "t").collect()] == ["2018-13-01"]
+
+
+def postings(spark, tmp):
+    s = spec("ft_posting_f")
+    rows = [(dt.date(2018, 1, i), 1, 2, i, i) for i in (1, 2)]
+    df = spark.createDataFrame([(a, b, c, float(x), float(y)) for a, b, c, x, y in rows],
+                               "oper_date date, credit_account_rk bigint, debet_account_rk bigint, "
+                               "credit_amount double, debet_amount double")
+    df = df.select(*[F.col(f.name).cast(f.dataType) for f in s.schema.fields])
+    df.write.partitionBy("oper_date").parquet(f"{tmp}/detail/ft_posting_f")
+
+
+def test_an_empty_function_result_overwrites_nothing(spark, tmp):
+    postings(spark, tmp)
+    J.job_minmax(spark, f"{tmp}/detail", "2018-01-01", f"{tmp}/out", f"{tmp}/log")
+    with pytest.raises(ValueError):
+        J.job_minmax(spark, f"{tmp}/detail", "2018-01-09", f"{tmp}/out", f"{tmp}/log")
+    assert spark.read.option("header", True).option("sep", ";").csv(f"{tmp}/out").count() == 1
+    assert spark.read.parquet(f"{tmp}/log").filter("status = 'error'").count() == 1
+
+
+def test_scans_of_facts_are_pruned_to_their_days(spark, tmp):
+    postings(spark, tmp)
+    df = J.read_detail(spark, f"{tmp}/detail", "ft_posting_f").filter(F.col("oper_date") == F.lit(dt.date(2018, 1, 2)))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(oper_date" in plan
+    J.register_views(spark, detail_root=f"{tmp}/detail")
+    text = spark.sql("SELECT * FROM func_ds_ft_posting_f(DATE'2018-01-02')")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(oper_date" in text
+
+
+def test_a_daily_batch_rewrites_one_day(spark, tmp):
+    head = ";OPER_DATE;CREDIT_ACCOUNT_RK;DEBET_ACCOUNT_RK;CREDIT_AMOUNT;DEBET_AMOUNT\n"
+
+    def load(name, *rows):
+        x = put(f"{tmp}/x/{name}.csv", head + "".join(f"{i};{r}\n" for i, r in enumerate(rows)))
+        load_tables(spark, {"ft_posting_f": x}, f"{tmp}/detail", f"{tmp}/log")
+
+    load("a", "2018-01-01;1;2;5;5", "2018-01-02;1;2;6;6")
+    day = f"{tmp}/detail/ft_posting_f/oper_date=2018-01-01"
+    before = sorted(os.listdir(day))
+    load("b", "2018-01-02;1;2;7;7", "2018-01-02;1;3;8;8")
+    assert sorted(os.listdir(day)) == before
+    got = sorted((str(r[0]), r[2], float(r[3])) for r in J.read_detail(spark, f"{tmp}/detail", "ft_posting_f").collect())
+    assert got == [("2018-01-01", 2, 5.0), ("2018-01-02", 2, 7.0), ("2018-01-02", 3, 8.0)]
