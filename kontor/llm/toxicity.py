@@ -46,7 +46,7 @@ from .common import id_remainder, labelled_sample, stored
 
 WORD = re.compile(r"\w+")
 LADDER = (4, 5)       # leading characters
-PRIOR = 20.0          # documents
+PRIOR = 10.0          # documents
 DRIFT = 0.5           # taken off each token's log-odds
 SUPPORT = 3           # toxic documents that must have a token for it to score above zero
 LABELLED = 50_000     # labelled rows used, at most
