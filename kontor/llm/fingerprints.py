@@ -3,10 +3,11 @@
 Fingerprint
     Terms are pairs of neighbouring words (the last word stands alone); a
     term's weight is its length in bytes, so that long, telling words
-    outweigh short, common ones.  Each term's 64-bit hash votes with its
-    weight on 64 signed bits; a bit is set when the votes for it exceed half
+    outweigh short, common ones.  Each term's 128-bit hash votes with its
+    weight on 128 signed bits; a bit is set when the votes for it exceed half
     of all votes.  Two bits share one 64-bit sum (32 bits each, enough for
-    2 GiB of text), which halves the aggregation state.
+    2 GiB of text), which halves the aggregation state.  A fingerprint is a
+    struct of two 64-bit halves.
 
 Block tables
     A fingerprint is cut into ``blocks`` blocks.  Two fingerprints that
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 
 from .common import shuffle_partitions, stored, stored_by_key
 
-BITS = 64
+BITS = 128
+HALVES = ("hi", "lo")
 PAIR = (1 << 32) | 1  # two bits, 32 apart
 LOW = (1 << 32) - 1
 WORDS = r"[\x20\x09-\x0D]+"
@@ -38,58 +40,82 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
+def _halves(number: int) -> tuple[int, int]:
+    return _signed(number >> 64), _signed(number & ((1 << 64) - 1))
+
+
+def from_numbers(spark, numbers) -> DataFrame:
+    """Fingerprints ``fp`` from 128-bit numbers."""
+    return spark.createDataFrame([(_halves(n),) for n in numbers], "fp struct<hi:long,lo:long>")
+
+
+def to_number(fp) -> int:
+    return (fp["hi"] & ((1 << 64) - 1)) << 64 | fp["lo"] & ((1 << 64) - 1)
+
+
 def simhash(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     """(keys, fp): one row per distinct keys; a text's terms are added up where its row is."""
     words = docs.select(*keys, F.split(F.coalesce(F.col(text), F.lit("")), WORDS).alias("words"))
+    following = F.get("words", F.col("i") + 1)
     terms = (words.select(*keys, "words", F.posexplode("words").alias("i", "word"))
-             .select(*keys, F.xxhash64("word", F.get("words", F.col("i") + 1)).alias("h"),
-                     (F.octet_length("word")
-                      + F.coalesce(F.octet_length(F.get("words", F.col("i") + 1)), F.lit(0))).cast("long").alias("w")))
-    votes = [F.sum(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(PAIR)) * F.col("w")).alias(f"v{k}")
-             for k in range(32)]
+             .select(*keys, F.xxhash64("word", following).alias("hi"),
+                     (F.octet_length("word") + F.coalesce(F.octet_length(following), F.lit(0))).cast("long").alias("w"))
+             .withColumn("lo", F.xxhash64("hi")))
+    votes = [F.sum(F.shiftrightunsigned(h, k).bitwiseAND(F.lit(PAIR)) * F.col("w")).alias(f"{h}{k}")
+             for h in HALVES for k in range(32)]
     added = terms.groupBy(*keys).agg(F.sum("w").alias("all"), *votes)
-    bits = F.lit(0).cast("long")
-    for k in range(32):
-        for at, vote in ((k, F.col(f"v{k}").bitwiseAND(F.lit(LOW))), (k + 32, F.shiftrightunsigned(f"v{k}", 32))):
-            bits = bits.bitwiseOR(F.when(2 * vote > F.col("all"), F.lit(_signed(1 << at))).otherwise(F.lit(0)))
-    return added.select(*keys, bits.alias("fp"))
+    halves = []
+    for h in HALVES:
+        bits = F.lit(0).cast("long")
+        for k in range(32):
+            for at, vote in ((k, F.col(f"{h}{k}").bitwiseAND(F.lit(LOW))),
+                             (k + 32, F.shiftrightunsigned(f"{h}{k}", 32))):
+                bits = bits.bitwiseOR(F.when(2 * vote > F.col("all"), F.lit(_signed(1 << at))).otherwise(F.lit(0)))
+        halves.append(bits.alias(h))
+    return added.select(*keys, F.struct(*halves).alias("fp"))
+
+
+def distance(a: Column, b: Column) -> Column:
+    """Number of differing bits."""
+    return sum((F.bit_count(a[h].bitwiseXOR(b[h])) for h in HALVES), F.lit(0))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Share of equal bits."""
-    return 1 - F.bit_count(a.bitwiseXOR(b)) / F.lit(float(BITS))
+    return 1 - distance(a, b) / F.lit(float(BITS))
 
 
 def hex_digits(fp: Column) -> Column:
-    return F.lower(F.lpad(F.hex(fp), 16, "0"))
+    return F.lower(F.concat(*[F.lpad(F.hex(fp[h]), 16, "0") for h in HALVES]))
 
 
 # ---- block tables -----------------------------------------------------------
 
-def block_masks(radius: int, blocks: int) -> list[int]:
+def block_masks(radius: int, blocks: int) -> list[tuple[int, int]]:
     edge = [BITS * i // blocks for i in range(blocks + 1)]
     own = [(1 << edge[i + 1]) - (1 << edge[i]) for i in range(blocks)]
-    return [_signed(sum(own[i] for i in some)) for some in itertools.combinations(range(blocks), blocks - radius)]
+    return [_halves(sum(own[i] for i in some)) for some in itertools.combinations(range(blocks), blocks - radius)]
 
 
-def within_radius(queries: DataFrame, fps: DataFrame, radius: int = 3, blocks: int = 6) -> DataFrame:
+def within_radius(queries: DataFrame, fps: DataFrame, radius: int = 6, blocks: int = 8) -> DataFrame:
     """(query, fp, distance) for every fingerprint ``fp`` of ``fps`` within ``radius`` bits of a query's.
 
     Both sides hold fingerprints in ``fp``; equal ones are one.  With the
-    defaults a table's key has about 32 bits.
+    defaults there are 28 tables, each keyed by 32 bits.
     """
     if not 0 <= radius < blocks:
         raise ValueError("more blocks than the radius are needed")
-    masks = F.array(*[F.lit(m) for m in block_masks(radius, blocks)])
+    masks = F.array(*[F.struct(*[F.lit(m).cast("long").alias(h) for h, m in zip(HALVES, pair)])
+                      for pair in block_masks(radius, blocks)])
 
     def table(df, name):
+        key = [F.col(name)[h].bitwiseAND(F.col("mask")[h]).alias(f"key_{h}") for h in HALVES]
         return (df.select(F.col("fp").alias(name)).distinct()
-                .select(name, F.posexplode(masks).alias("t", "mask"))
-                .select(name, "t", F.col(name).bitwiseAND(F.col("mask")).alias("key")))
+                .select(name, F.posexplode(masks).alias("t", "mask")).select(name, "t", *key))
 
-    distance = F.bit_count(F.col("query").bitwiseXOR(F.col("fp")))
-    return (table(queries, "query").join(table(fps, "fp"), ["t", "key"])
-            .select("query", "fp", distance.alias("distance")).filter(F.col("distance") <= radius).distinct())
+    found = table(queries, "query").join(table(fps, "fp"), ["t", "key_hi", "key_lo"])
+    return (found.select("query", "fp", distance(F.col("query"), F.col("fp")).alias("distance"))
+            .filter(F.col("distance") <= radius).distinct())
 
 
 # ---- a document, its edited text, the next document -------------------------------
