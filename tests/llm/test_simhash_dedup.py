@@ -1,0 +1,112 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from kontor.llm import simhash_dedup as S
+
+
+def plain_fingerprint(text, k=4):
+    w = (text or "").encode().lower().split()
+    if not w:
+        return 0
+    h = [xxhash.xxh64_intdigest(b" ".join(w[i:i + k]), 42) for i in range(max(len(w) - k + 1, 1))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def plain_classes(fps, ids, bits):
+    parent = list(range(len(fps)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i in range(len(fps)):
+        for j in range(i):
+            if bin(fps[i] ^ fps[j]).count("1") <= bits:
+                parent[find(i)] = find(j)
+    smallest = {}
+    for i, d in enumerate(ids):
+        if d is not None:
+            r = find(i)
+            smallest[r] = min(smallest.get(r, d), d)
+    return [smallest.get(find(i)) for i in range(len(fps))]
+
+
+def test_fingerprints_equal_the_definition(corpus):
+    for r in S.with_fingerprints(corpus.filter("doc_id is null or doc_id <> 400")).collect():
+        assert r["fp"] & (2 ** 64 - 1) == plain_fingerprint(r["text"])
+
+
+def test_sparks_own_hash_is_the_same_xxh64(spark):
+    df = spark.createDataFrame([("the quick brown fox",), ("é" * 40,)], "t string")
+    for r in df.select("t", F.xxhash64("t").alias("h")).collect():
+        assert r["h"] & (2 ** 64 - 1) == xxhash.xxh64_intdigest(r["t"].encode(), 42)
+
+
+def test_classes_equal_brute_force(corpus):
+    rows = corpus.select("doc_id", "text").collect()
+    got = S.near_duplicates(corpus)
+    want = plain_classes([plain_fingerprint(r["text"]) for r in rows], [r["doc_id"] for r in rows], 4)
+    assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in got.collect()) == sorted(
+        (str(r["doc_id"]), str(c)) for r, c in zip(rows, want))
+
+
+@pytest.mark.parametrize("bits,distinct", [(4, 100), (4, 10 ** 6), (4, 10 ** 10), (3, 100), (1, 100)])
+@pytest.mark.parametrize("long", [S.LONG, 8])
+def test_no_link_is_lost_whatever_the_width_and_however_long_the_lists(spark, monkeypatch, bits, distinct, long):
+    rng = random.Random(bits + distinct)
+    monkeypatch.setattr(S, "LONG", long)
+    monkeypatch.setattr(S, "SHORT", min(S.SHORT, long))
+    centre = rng.getrandbits(64)
+    crowd = [centre ^ sum(1 << p for p in rng.sample(range(64), rng.randint(0, 5))) for _ in range(60)]
+    far = [rng.getrandbits(64) for _ in range(30)]
+    chain = [rng.getrandbits(64)]
+    for _ in range(10):
+        chain.append(chain[-1] ^ sum(1 << p for p in rng.sample(range(64), bits)))
+    numbers = sorted(set(crowd + far + chain + [0, 2 ** 64 - 1]))
+    signed = [n - (1 << 64) if n >> 63 else n for n in numbers]
+    df = spark.createDataFrame([(x,) for x in signed], "fp long")
+    edges = [(r["a"], r["b"]) for r in S.links(df, bits, distinct).collect()]
+    assert all(bin((a ^ b) & (2 ** 64 - 1)).count("1") <= bits for a, b in edges)
+    parent = {x: x for x in signed}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        parent[find(a)] = find(b)
+    want = plain_classes(numbers, list(range(len(numbers))), bits)
+    for i in range(len(signed)):
+        for j in range(i):
+            assert (find(signed[i]) == find(signed[j])) == (want[i] == want[j])
+
+
+def test_runs_cut_by_batches_are_put_together_again():
+    rng = random.Random(1)
+    fps = np.array([rng.getrandbits(20) for _ in range(3000)], np.int64)
+    keys = np.sort(np.array([rng.choice([1, 2, 3, 3, 3, 3]) for _ in fps], np.int64))
+    cols = [np.zeros(len(fps), np.int64), keys, fps]
+
+    def linked(step):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c[i:i + step]) for c in cols], names=["list", "key", "fp"])
+                   for i in range(0, len(fps), step)]
+        out = [b.to_pydict() for b in S._search(2)(iter(batches))]
+        return sorted((a, b) for o in out for a, b in zip(o["a"], o["b"]))
+
+    assert linked(7) == linked(3000)
+
+
+def test_one_of_each_class_stays(corpus, extra, empty):
+    kept = S.keep_one_of_each(extra)
+    classes = {r["component_id"] for r in S.near_duplicates(corpus).collect()}
+    assert kept.columns == extra.columns and kept.count() == len(classes)
+    assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(map(str, classes))
+    assert S.keep_one_of_each(empty).count() == 0 and S.near_duplicates(empty).count() == 0
