@@ -13,6 +13,8 @@ once to join.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,7 +43,13 @@ def sized_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> Data
     return F.broadcast(df) if fits_broadcast(df, limit) else df
 
 
-def stage(df: DataFrame, name: str = "staged") -> tuple[DataFrame, int]:
+class Staged(NamedTuple):
+    df: DataFrame
+    size: int   # uncompressed bytes
+    path: str   # to be deleted by jobs that are done with it
+
+
+def stage(df: DataFrame, name: str = "staged") -> Staged:
     """``df`` written to the shared scratch folder and read back, and its uncompressed bytes."""
     spark = df.sparkSession
     text = [F.octet_length(f.name) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
@@ -52,9 +60,9 @@ def stage(df: DataFrame, name: str = "staged") -> tuple[DataFrame, int]:
      .write.parquet(path))
     m = obs.get
     size = int(m["rows"]) * (ROW_OVERHEAD + 16 * len(df.columns)) + int(m["text"])
-    return spark.read.schema(df.schema).parquet(path), size
+    return Staged(spark.read.schema(df.schema).parquet(path), size, path)
 
 
 def measured_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT, name: str = "dimension") -> DataFrame:
-    staged, size = stage(df, name)
-    return F.broadcast(staged) if size <= limit else staged
+    staged = stage(df, name)
+    return F.broadcast(staged.df) if staged.size <= limit else staged.df

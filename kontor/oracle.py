@@ -400,4 +400,8 @@ ORACLE.update({
     "load_after_failure": with_views("SELECT * FROM md_account_d"),
 })
 
+ORACLE["log_identity"] = """
+    SELECT record_id, true AS own_pid, true AS own_user, true AS own_database, true AS own_application,
+           true AS no_address, true AS stamped FROM (""" + ORACLE["log_chunk"] + ")"
+
 ORACLE["f101_all"] = f101_all_oracle()

@@ -212,6 +212,20 @@ def q_log_chunk(spark, d):
                       F.length("message").alias("chunk_chars"))
 
 
+def q_log_identity(spark, d):
+    """Every piece of the message log with the session it was written by, as flags."""
+    docs = TB.table(spark, d, "documents").select("doc_id", F.col("text").alias("message"))
+    sc = spark.sparkContext
+    rows = RL.log_messages(spark, docs, ["doc_id"])
+    number = F.crc32(F.lit(sc.applicationId).cast("binary")).bitwiseAND(F.lit(0x7FFFFFFF))
+    return rows.select(
+        "record_id", (F.col("pid") == number).alias("own_pid"), (F.col("usename") == F.current_user()).alias("own_user"),
+        (F.col("datname") == F.current_database()).alias("own_database"),
+        (F.col("application_name") == F.lit(sc.appName)).alias("own_application"),
+        F.col("client_addr").isNull().alias("no_address"),
+        (F.col("date_time") <= F.current_timestamp()).alias("stamped"))
+
+
 def q_head_rows(spark, d):
     return TB.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate").orderBy("o_orderkey").limit(10)
 
@@ -252,6 +266,7 @@ QUERIES: dict[str, Query] = {
     "date_rejects": q_date_rejects,
     "text_normalise": q_text_normalise,
     "log_chunk": q_log_chunk,
+    "log_identity": q_log_identity,
     "head_rows": q_head_rows,
     "nonempty_guard": q_nonempty_guard,
 }

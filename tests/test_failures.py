@@ -142,8 +142,8 @@ def test_both_paths_of_the_valid_at_join_agree_on_nasty_versions(spark):
 
 def test_a_staged_dimension_is_measured_after_its_explode(spark):
     df = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(50000))).alias("x"), F.repeat(F.lit("y"), 100).alias("t"))
-    staged, size = stage(df)
-    assert staged.count() == 50000 and size > 5_000_000
+    staged = stage(df)
+    assert staged.df.count() == 50000 and staged.size > 5_000_000
     text = measured_broadcast(df, limit=1_000_000).join(df, "x")._jdf.queryExecution().toString()
     assert "ResolvedHint" not in text.split("== Analyzed")[1].split("== Optimized")[0]
 
