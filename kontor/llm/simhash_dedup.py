@@ -244,7 +244,8 @@ def links(fps: DataFrame, max_bits: int, distinct: int) -> DataFrame:
 # ---- classes ------------------------------------------------------------------
 
 def near_duplicate_classes(docs: DataFrame, max_bits: int = 4, doc_id: str = "doc_id", fp: str = "fp") -> DataFrame:
-    """One row per row of ``docs``: (doc_id, fp, component_id).
+    """One row per row of ``docs``: (doc_id, fp, component_id, root); ``root`` is the
+    class's smallest fingerprint, which tells classes without any id apart.
 
     ``docs`` holds ids and fingerprints and should be a stored table: it is read twice.
     """
@@ -255,12 +256,12 @@ def near_duplicate_classes(docs: DataFrame, max_bits: int = 4, doc_id: str = "do
     placed = (nodes.join(roots.withColumnsRenamed({"node": "fp"}), "fp", "left")
               .select("fp", "smallest", F.coalesce("root", "fp").alias("root")))
     first = placed.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    named = placed.join(first, "root").select("fp", "component_id")
-    return ids.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = placed.join(first, "root").select("fp", "component_id", "root")
+    return ids.join(named, "fp").select("doc_id", "fp", "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """(doc_id, fp, component_id) of texts; the fingerprints are computed once."""
+    """(doc_id, fp, component_id, root) of texts; the fingerprints are computed once."""
     fps = stored(with_fingerprints(docs.select("doc_id", "text"), words_per_shingle).select("doc_id", "fp"), "simhash")
     return near_duplicate_classes(fps, max_bits)
 
@@ -273,7 +274,7 @@ def keep_one_of_each(docs: DataFrame, words_per_shingle: int = 4, max_bits: int
     whole = stored(with_fingerprints(docs, words_per_shingle, into=fp), "simhash_docs")
     classes = near_duplicate_classes(whole, max_bits, fp=fp)
     kept = (classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("component_id").agg(F.min("fp").alias("kept_fp")))
+            .groupBy("component_id", "root").agg(F.min("fp").alias("kept_fp")))
     chosen = whole.join(kept, whole["doc_id"].eqNullSafe(kept["component_id"]) & (whole[fp] == kept["kept_fp"]),
                         "left_semi")
     return chosen.dropDuplicates(["doc_id", fp]).select(*columns)

@@ -110,3 +110,9 @@ def test_one_of_each_class_stays(corpus, extra, empty):
     assert kept.columns == extra.columns and kept.count() == len(classes)
     assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(map(str, classes))
     assert S.keep_one_of_each(empty).count() == 0 and S.near_duplicates(empty).count() == 0
+
+
+def test_classes_without_ids_keep_one_each(spark):
+    rows = [(None, "one two three four five"), (None, "one two three four five"), (None, "six seven eight nine ten")]
+    kept = S.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["text"] for r in kept) == ["one two three four five", "six seven eight nine ten"]
