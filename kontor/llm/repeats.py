@@ -112,10 +112,11 @@ def window_runs(data: np.ndarray, depth: int, digit: int):
         last = np.concatenate([edge - 1, [len(least) - 1]])
         value = least[first]
         # a digit that occurs twice within one run repeats already: mark every run with a
-        # window over two neighbouring occurrences
+        # window over two neighbouring occurrences, or, where these are just ``span`` apart
+        # and no window has both, with the last window over the one and the first over the other
         pad = np.zeros(span - 1, np.uint64)
         chosen = np.flatnonzero(_sliding(np.concatenate([pad, least, pad]), span, np.maximum) == h)
-        pair = np.flatnonzero((h[chosen[1:]] == h[chosen[:-1]]) & (np.diff(chosen) < span))
+        pair = np.flatnonzero((h[chosen[1:]] == h[chosen[:-1]]) & (np.diff(chosen) <= span))
         marks = np.zeros(len(first) + 1, np.int64)
         low = np.maximum(chosen[pair + 1] - span + 1, 0)
         high = np.minimum(chosen[pair], len(least) - 1)

@@ -63,6 +63,24 @@ def test_a_digit_twice_in_one_run_is_noticed():
     assert twice.all()
 
 
+@pytest.mark.parametrize("depth,digit", [(200, 128), (50, 20), (50, 50)])
+def test_periods_about_the_span_equal_brute_force(spark, depth, digit):
+    """One text of each period, with strings that no other text has."""
+    rng = random.Random(7)
+    span = depth - digit + 1
+
+    def line(n):
+        return "".join(chr(rng.randrange(33, 127)) for _ in range(n))
+
+    texts = [line(70) + line(period) * (2 * depth // period + 3) + line(90)
+             for period in (max(span - 1, 1), span, span + 1, 2 * span)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
+           for r in R.removal_report(docs, depth, digit).collect()}
+    want = plain(texts, depth)
+    assert [got[i] for i in range(len(texts))] == want and all(x[1] > 0 for x in want)
+
+
 def test_the_texts_left(corpus, extra, empty):
     out = R.without_repeats(extra)
     assert out.columns == extra.columns and out.count() == extra.count()
