@@ -1,30 +1,38 @@
 """Brown class-based bigram language model, trained and applied as Spark jobs.
 
 Words to units to classes
-    A word with at least 1/``HEAVY`` of all training tokens is a unit of its
-    own; there can be no more than ``HEAVY`` of them, however large the
-    corpus.  Every other word belongs to one of ``ENDINGS`` units by a hash of
-    its last two characters, known or not.  Exchange clustering assigns the
-    units, and so all words, to ``CLASSES`` classes: each unit in turn moves
-    to the class where the likelihood of the class bigrams is greatest, until
-    nothing moves or ``ROUNDS`` rounds are over.  Its input, the counts of
-    neighbouring units over all training text, is at most (HEAVY + ENDINGS +
-    1)**2 numbers.
+    A word seen ``OWN`` times in the training texts, or with at least
+    1/``HEAD`` of all their tokens, is a unit of its own, so the units grow
+    with the vocabulary.  Every other word belongs to one of ``ENDINGS`` units
+    by a hash of its last two characters, known or not.  There are as many
+    classes as the root of the number of units, ``CLASSES`` at least.
+
+Exchange clustering
+    The counts of neighbouring units over all training text stay in Spark,
+    packed once into blocks that hold all neighbours of some units.  The
+    ``HEAD`` most frequent words and the endings start from an exchange one by
+    one; the other units start in the class of their ending, split evenly
+    where there are more classes.  Then all units move in rounds: tasks find
+    each unit's best class against the class bigrams of the round, its own
+    counts taken out, and a share of the moves is made.  A round that lowers
+    the likelihood is taken back and the share halved; this goes on until a
+    round gains less than ``GAIN`` of it.  Broadcast are the class bigrams and
+    a class per unit.
 
 Model
     P(text) = product of P(class | class before) * P(word | class), the end
     of a text being a token and the state before its first word.  Transitions
     are class bigram counts backed off to class frequencies.  Emission is
     P(unit | class) * P(word | unit), the latter with ``EXTRA`` added to each
-    of the unit's known words and to one unknown word; a heavy unit has one
-    word.  Both are proper distributions over the known words and one unknown
+    of the unit's known words and to one unknown word; a unit of its own has
+    one word.  Both are proper distributions over the known words and one unknown
     word per unit.
 
 Counts
     Texts are dealt into chunks by a hash.  A chunk's distinct words with
     their counts are small against its text and are all that is shuffled:
     counts are added per word, looked up, and sent back per chunk as its
-    dictionary, which scores the chunk's texts.  Heavy words need no look-up;
+    dictionary, which scores the chunk's texts.  Head words need no look-up;
     no key gathers more than one row per chunk.
 
 Tokens are runs of characters other than space and 0x09-0x0D, A-Z
@@ -36,19 +44,24 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_remainder, shuffle_partitions, stored, stored_by_key
+from .common import _settings, id_remainder, shuffle_partitions, stored, stored_by_key
 
-HEAVY, ENDINGS = 1024, 512
-CLASSES, ROUNDS = 48, 8
+OWN = 20              # occurrences that make a word a unit of its own
+HEAD, ENDINGS = 1024, 512
+CLASSES, ROUNDS = 48, 8  # at least; of the exchange one by one, at the start
+GAIN = 1e-3           # of the likelihood's gain over independent classes: a round that adds less is the last
+BLOCK = 125_000       # neighbour counts in a block: 2 MB
+FEW = {"spark.sql.execution.arrow.maxBytesPerBatch": "16m"}  # some blocks at a time reach a worker
 EXTRA = 0.5           # added to a known word's count within its unit
 BACK_OFF = 5.0        # weight of the class frequencies against a class's bigram counts
 CHUNK_BYTES = 12 << 20
@@ -63,7 +76,7 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def ending(word: bytes) -> int:
-    """The unit of a word that is not heavy: by its last two characters."""
+    """The unit of a word without one of its own: by its last two characters."""
     return zlib.crc32(word.decode("utf-8", "replace")[-2:].encode()) % ENDINGS
 
 
@@ -128,12 +141,150 @@ def exchange(u: np.ndarray, v: np.ndarray, n: np.ndarray, units: int, classes: i
     return of
 
 
+# ---- exchange of all units, in tasks ---------------------------------------------
+
+def _pack(key: tuple, table: pa.Table) -> pa.Table:
+    """One block: units, their neighbours (followers as they are, those before as -1 - unit) and counts."""
+    unit, other = (table[c].to_numpy().astype(np.int32) for c in ("unit", "other"))
+    blob = [x.tobytes() for x in (unit, other, table["n"].to_numpy().astype(np.int64))]
+    return pa.table({c: pa.array([x], pa.binary()) for c, x in zip(("unit", "other", "n"), blob)})
+
+
+def packed(pairs: DataFrame, units: int, block: int = BLOCK) -> DataFrame:
+    """(unit, other, n): neighbour counts in both directions, all of a unit in one block."""
+    blocks = -(-2 * max(pairs.count(), 1) // block)
+    u, v = F.expr(f"code div {units}"), F.pmod("code", F.lit(units))
+    u, v = (pairs.select(x.cast("int").alias("unit"), y.alias("other"), "n") for x, y in ((u, v), (v, -1 - u)))
+    both = u.unionByName(v).withColumn("block", F.pmod("unit", F.lit(blocks)).cast("int"))
+    return stored(both.groupBy("block").applyInArrow(_pack, "unit binary, other binary, n binary"), "blocks")
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]):
+    for batch in batches:
+        for unit, other, n in zip(*batch.columns):
+            yield (np.frombuffer(unit.as_py(), np.int32), np.frombuffer(other.as_py(), np.int32),
+                   np.frombuffer(n.as_py(), np.int64))
+
+
+def _pair_sums(shared, groups: int):
+    """Counts of neighbouring groups of units: (code, n)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = shared.value
+        total = {}
+        for unit, other, n in _blocks(batches):
+            ahead = other >= 0
+            code, at = np.unique(of[unit[ahead]].astype(np.int64) * groups + of[other[ahead]], return_inverse=True)
+            for c, x in zip(code.tolist(), np.bincount(at, n[ahead], len(code)).tolist()):
+                total[c] = total.get(c, 0) + int(x)
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())],
+                                         names=["code", "n"])
+
+    return run
+
+
+def group_pairs(blocks: DataFrame, of: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(before, after, n) of the groups of units, at most groups**2 rows."""
+    shared = blocks.sparkSession.sparkContext.broadcast(of.astype(np.int32))
+    with _settings(blocks.sparkSession, FEW):
+        rows = (blocks.mapInArrow(_pair_sums(shared, groups), "code long, n long").groupBy("code")
+                .agg(F.sum("n").alias("n")).toPandas().sort_values("code"))
+    shared.unpersist()
+    code = rows["code"].to_numpy(np.int64)
+    return code // groups, code % groups, rows["n"].to_numpy(np.int64)
+
+
+def best_classes(unit, other, n, of: np.ndarray, joint: np.ndarray):
+    """(unit, best class) of the units that gain by moving, the others staying where they are."""
+    classes = len(joint)
+    own, at = np.unique(unit, return_inverse=True)
+    ahead = other >= 0
+    a, b = (np.bincount(at[m] * classes + of[o[m]], n[m], len(own) * classes).reshape(-1, classes)
+            for m, o in ((ahead, other), (~ahead, -1 - other)))
+    before, after = joint.sum(axis=1) + 1e-9, joint.sum(axis=0) + 1e-9
+    expected = np.outer(before, after) / max(joint.sum(), 1)  # of independent classes, as a weak prior
+    ratio = np.log((joint + expected / before[:, None]) / expected)
+    gain = a @ ratio.T + b @ ratio
+    # its own class is looked at without it
+    c, rows = of[own], np.arange(len(own))
+    out, into = a.sum(axis=1, keepdims=True), b.sum(axis=1, keepdims=True)
+    total = max(joint.sum(), 1)
+    rest = np.maximum(before[c][:, None] - out, 1e-9)
+    gain[rows, c] = (a * np.log((np.maximum(joint[c] - a, 0) + after / total) * total / (rest * after))).sum(axis=1)
+    rest = np.maximum(after[c][:, None] - into, 1e-9)
+    gain[rows, c] += (b * np.log((np.maximum(joint[:, c].T - b, 0) + rest / total) * total / (before * rest))).sum(axis=1)
+    best = gain.argmax(axis=1)
+    moves = gain[rows, best] > gain[rows, c] + 1e-9
+    return own[moves], best[moves]
+
+
+def _moves(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, joint = shared.value
+        for block in _blocks(batches):
+            unit, best = best_classes(*block, of, joint)
+            yield pa.RecordBatch.from_arrays([pa.array(unit, pa.int32()), pa.array(best, pa.int32())],
+                                             names=["unit", "best"])
+
+    return run
+
+
+def _information(joint: np.ndarray) -> float:
+    """The class bigrams' part of the log-likelihood, over that of independent classes."""
+    return float(_entropy(joint).sum() - _entropy(joint.sum(axis=1)).sum() - _entropy(joint.sum(axis=0)).sum()
+                 + _entropy(joint.sum()))
+
+
+def exchange_all(blocks: DataFrame, of: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
+    """(class of each unit, class bigrams) by rounds over all units, from the classes ``of``."""
+    def bigrams(of):
+        joint = np.zeros((classes, classes))
+        u, v, n = group_pairs(blocks, of, classes)
+        joint[u, v] = n
+        return joint
+
+    rng, share = np.random.default_rng(5), 0.5
+    joint = bigrams(of)
+    while joint.any() and share > 0.05:
+        shared = blocks.sparkSession.sparkContext.broadcast((of.astype(np.int32), joint))
+        with _settings(blocks.sparkSession, FEW):
+            rows = blocks.mapInArrow(_moves(shared), "unit int, best int").toPandas().sort_values("unit")
+        shared.unpersist()
+        if not len(rows):
+            break
+        some = rng.random(len(rows)) < share
+        after = of.copy()
+        after[rows["unit"].to_numpy()[some]] = rows["best"].to_numpy()[some]
+        there = bigrams(after)
+        gained = _information(there) - _information(joint)
+        if gained <= 0:
+            share /= 2
+            continue
+        of, joint = after, there
+        if gained < GAIN * _information(joint):
+            break
+    return of, joint
+
+
+def split_classes(of: np.ndarray, free: np.ndarray, classes: int) -> np.ndarray:
+    """The units ``free`` of ``CLASSES`` classes spread over more: each class split by its share of them."""
+    of, extra = of.copy(), classes - CLASSES
+    at = CLASSES
+    for c in range(CLASSES):
+        mine = free[of[free] == c]
+        parts = int(extra * len(mine) / max(len(free), 1))
+        part = np.arange(len(mine)) % (parts + 1)
+        of[mine[part > 0]] = at + part[part > 0] - 1
+        at += parts
+    return of
+
+
 # ---- training ------------------------------------------------------------------
 
 @dataclass
 class Model:
-    heavy: dict          # word -> unit
-    heavy_count: np.ndarray
+    head: dict           # word -> unit
+    head_count: np.ndarray
+    first_ending: int    # units of one word come before
     of: np.ndarray       # class of each unit
     transition: np.ndarray  # log10 P(class | class before)
     unit_part: np.ndarray   # log10 P(unit | class)
@@ -142,11 +293,6 @@ class Model:
     train_tokens: int
     train_words: int
 
-    @property
-    def first_ending(self) -> int:
-        return len(self.heavy_count)
-
-
 def _chunk_words(table: pa.Table) -> pa.Table:
     """Distinct words of one chunk: (chunk, word, ending, n in training texts)."""
     trained, seen = Counter(), set()
@@ -165,34 +311,36 @@ def _chunk_words(table: pa.Table) -> pa.Table:
                      "n": pa.array([trained[w] for w in words], pa.int64())})
 
 
-def _unit_pairs(heavy: dict):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        units = Units(heavy)
-        for batch in batches:
-            line = [units[END]]
-            for text in batch.column(0):
+def _unit_pairs(head: dict, first_ending: int):
+    """Counts of neighbouring units of one chunk, whose dictionary has the words with units of their own."""
+    def run(texts: pa.Table, found: pa.Table) -> pa.Table:
+        units = Units(head, first_ending, zip(found["word"].to_pylist(), found["unit"].to_pylist()))
+        line = array("i", [units[END]])
+        for text, held in zip(texts["text"], texts["held_out"]):
+            if not held.as_py():
                 line.extend(map(units.__getitem__, tokens(text.as_py())))
-            ids = np.array(line, np.int64)
-            code, n = np.unique(ids[:-1] * (len(heavy) + ENDINGS) + ids[1:], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(n.astype(np.int64))],
-                                             names=["code", "n"])
+        del units
+        ids = np.frombuffer(line, np.int32)
+        code = ids[:-1] * np.int64(first_ending + ENDINGS)
+        code += ids[1:]
+        code.sort()
+        edge = np.flatnonzero(np.diff(code, prepend=-1))
+        return pa.table({"code": pa.array(code[edge], pa.int64()),
+                         "n": pa.array(np.diff(edge, append=len(code)).astype(np.int64))})
 
     return run
 
 
 class Units(dict):
-    """word -> unit, remembering a bounded number of words."""
-    REMEMBERED = 400_000
+    """word -> unit of one chunk's words."""
 
-    def __init__(self, heavy: dict):
-        super().__init__(heavy)
-        self.heavy = heavy
+    def __init__(self, head: dict, first_ending: int, found):
+        super().__init__(head)
+        self.update(found)
+        self.first_ending = first_ending
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > self.REMEMBERED:
-            self.clear()
-            self.update(self.heavy)
-        u = self[word] = len(self.heavy) + ending(word)
+        u = self[word] = self.first_ending + ending(word)
         return u
 
 
@@ -206,8 +354,12 @@ def chunked(docs: DataFrame, held_out, chunk_bytes: int = CHUNK_BYTES) -> DataFr
     return stored_by_key(dealt, "chunk", min(chunks, shuffle_partitions(spark)), "chunks")
 
 
+def chunks_of(texts: DataFrame) -> int:
+    return (texts.agg(F.max("chunk")).first()[0] or 0) + 1
+
+
 def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """(model, counts): the model's bounded tables, and the (word, n) of all training words."""
+    """(model, dictionaries): the model's tables, and each chunk's training words but the head's, with unit and count."""
     spark = texts.sparkSession
     words = stored(texts.groupBy("chunk").applyInArrow(
         _chunk_words, "chunk int, word binary, ending int, n long"), "chunk_words")
@@ -215,34 +367,57 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
                     "word_counts")
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     total = total or 0
-    # at most HEAVY words can have a HEAVY-th of all tokens each; the end is always one of the units
-    common = counts.filter((F.col("n") * HEAVY >= total) | (F.col("word") == F.lit(END))).select("word", "n").collect()
-    common = sorted(((bytes(r["word"]), r["n"]) for r in common), key=lambda r: (-r[1], r[0])) or [(END, 0)]
-    heavy = {w: i for i, (w, _) in enumerate(common)}
-    units = len(heavy) + ENDINGS
-    known = spark.createDataFrame([(w,) for w in heavy], "word binary")
-    rare = (counts.join(F.broadcast(known), "word", "left_anti").groupBy("ending")
-            .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect())
-    unit_tokens = np.array([n for _, n in common] + [0] * ENDINGS, float)
-    unit_words = np.array([1.0] * len(heavy) + [0.0] * ENDINGS)
-    for r in rare:
-        unit_tokens[len(heavy) + r["ending"]], unit_words[len(heavy) + r["ending"]] = r["n"], r["words"]
-
-    pairs = (texts.filter("not held_out").select("text").mapInArrow(_unit_pairs(heavy), "code long, n long")
-             .groupBy("code").agg(F.sum("n").alias("n")).toPandas())  # at most units**2 rows
-    code, n = pairs["code"].to_numpy(np.int64), pairs["n"].to_numpy(np.int64)
-    of = exchange(code // units, code % units, n, units)
-    joint = np.zeros((CLASSES, CLASSES))
-    np.add.at(joint, (of[code // units], of[code % units]), n)
+    buckets = shuffle_partitions(spark)
+    # the most frequent words; the end is always one of them
+    own = (F.col("n") >= OWN) | (F.col("n") * HEAD >= total) | (F.col("word") == F.lit(END))
+    first = counts.filter(own).orderBy((F.col("word") == F.lit(END)).desc(), F.col("n").desc(), "word").limit(HEAD)
+    common = sorted(((bytes(r["word"]), r["n"]) for r in first.select("word", "n").collect()),
+                    key=lambda r: (-r[1], r[0])) or [(END, 0)]
+    head = {w: i for i, (w, _) in enumerate(common)}
+    known = spark.createDataFrame([(w,) for w in head], "word binary")
+    others = counts.join(F.broadcast(known), "word", "left_anti")
+    # the other words with a unit of their own are numbered part by part
+    parts = stored(others.filter(own).repartition(buckets, "word").withColumn("part", F.spark_partition_id()), "units")
+    sizes = dict(sorted(map(tuple, parts.groupBy("part").count().collect())))
+    starts = dict(zip(sizes, (len(head) + np.concatenate([[0], np.cumsum(list(sizes.values()))])).tolist()))
+    first_ending = len(head) + sum(sizes.values())
+    units = first_ending + ENDINGS
+    start = spark.createDataFrame(list(starts.items()), "part int, start long")
+    numbered = stored(parts.join(F.broadcast(start), "part")
+                      .select("word", "n", "ending", (F.col("start") - 1 + F.row_number().over(
+                          Window.partitionBy("part").orderBy("word"))).cast("int").alias("unit")), "numbered")
+    rest = others.filter(~own).select("word", "n", "ending", (F.lit(first_ending) + F.col("ending")).cast("int").alias("unit"))
+    needed = stored_by_key(words.join(F.broadcast(known), "word", "left_anti").select("chunk", "word")
+                           .join(numbered.unionByName(rest).select("word", "n", "unit"), "word"),
+                           "chunk", min(buckets, chunks_of(texts)), "dictionaries")
+
+    unit_tokens = np.zeros(units)
+    unit_words = np.zeros(units)
+    unit_tokens[: len(head)] = [n for _, n in common]
+    unit_words[:first_ending] = 1
+    start_of = np.arange(units)  # units of the exchange one by one: head words, then endings
+    start_of[first_ending:] = len(head) + np.arange(ENDINGS)
+    middle = numbered.select("unit", "n", "ending").toPandas()  # a few bytes a unit
+    unit_tokens[middle["unit"]] = middle["n"]
+    start_of[middle["unit"]] = len(head) + middle["ending"]
+    for r in rest.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
+        unit_tokens[first_ending + r["ending"]], unit_words[first_ending + r["ending"]] = r["n"], r["words"]
+
+    met = (texts.groupBy("chunk").cogroup(needed.filter(F.col("unit") < first_ending).groupBy("chunk"))
+           .applyInArrow(_unit_pairs(head, first_ending), "code long, n long"))
+    blocks = packed(stored(met.groupBy("code").agg(F.sum("n").alias("n")), "unit_pairs"), units)
+    classes = max(CLASSES, math.isqrt(units))
+    small = len(head) + ENDINGS
+    of = exchange(*group_pairs(blocks, start_of, small), small)[start_of]
+    of = split_classes(of, np.arange(len(head), first_ending), classes)
+    of, joint = exchange_all(blocks, of, classes)
     # smoothed throughout: every class and unit keeps a share, also of text never seen
-    own = np.bincount(of, unit_tokens + EXTRA, CLASSES) + 1e-9
-    frequency = own / own.sum()
+    mass = np.bincount(of, unit_tokens + EXTRA, classes) + 1e-9
+    frequency = mass / mass.sum()
     transition = (joint + BACK_OFF * frequency) / (joint.sum(axis=1, keepdims=True) + BACK_OFF)
-    unit_part = (unit_tokens + EXTRA) / own[of]
-    model = Model(heavy, unit_tokens[: len(heavy)], of, np.log10(transition), np.log10(unit_part), unit_tokens,
-                  unit_words, int(total), int(distinct))
-    needed = (words.join(F.broadcast(known), "word", "left_anti").select("chunk", "word")
-              .join(counts.select("word", "n"), "word"))
+    unit_part = (unit_tokens + EXTRA) / mass[of]
+    model = Model(head, unit_tokens[: len(head)], first_ending, of, np.log10(transition), np.log10(unit_part),
+                  unit_tokens, unit_words, int(total), int(distinct))
     return model, needed
 
 
@@ -255,16 +430,15 @@ RESULT = ("doc_id {id}, held_out boolean, n_tokens long, n_known long, train_tok
 def _score_chunk(shared, id_type: pa.DataType):
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
         m: Model = shared.value
-        heavy = len(m.heavy)
-        # the chunk's dictionary: heavy words, the rare ones found; unknown words by their ending
-        place = dict(m.heavy)
-        unit, count = list(range(heavy)), m.heavy_count.tolist()
-        for w, n in zip(found["word"].to_pylist(), found["n"].to_pylist()):
+        # the chunk's dictionary: head words, the others found; unknown words by their ending
+        place = dict(m.head)
+        unit, count = list(range(len(m.head))), m.head_count.tolist()
+        for w, n, u in zip(*(found[c].to_pylist() for c in ("word", "n", "unit"))):
             place[w] = len(unit)
-            unit.append(heavy + ending(w))
+            unit.append(u)
             count.append(n)
         for u in range(ENDINGS):
-            unit.append(heavy + u)
+            unit.append(m.first_ending + u)
             count.append(0)
         unit, count = np.array(unit), np.array(count, float)
         unknown = len(unit) - ENDINGS
@@ -276,11 +450,11 @@ def _score_chunk(shared, id_type: pa.DataType):
 
         place = Places(place)
         emit = m.unit_part[unit] + np.where(
-            unit < heavy, 0.0,
+            unit < m.first_ending, 0.0,
             np.log10((count + EXTRA) / (m.unit_tokens[unit] + EXTRA * (m.unit_words[unit] + 1))))
         base = np.log10((count + 1) / (m.train_tokens + m.train_words + 1))
         of = m.of[unit]
-        start = m.of[m.heavy[END]]
+        start = m.of[m.head[END]]
         rows = []
         for text in texts["text"]:
             at = np.fromiter(map(place.__getitem__, tokens(text.as_py())), np.int64)
