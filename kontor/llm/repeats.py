@@ -1,12 +1,12 @@
-"""Removal of repeated byte passages by a depth-limited radix sort of suffixes.
+"""Removal of repeated byte passages by minimisers and hashes of whole windows.
 
 A byte goes when some string of ``depth`` bytes covers it that also starts
 anywhere else, in the same text or in another; texts are taken apart as
 UTF-8 bytes and matches never cross them.  Ordering every suffix through
 ``depth`` bytes would show this -- the groups that stay equal are the
-repeated windows -- but would move every position of the corpus.  The sort
-goes by most significant digits instead and drops what has become unique
-before the next digit is looked at:
+repeated windows -- but would move every position of the corpus.  No
+suffix is sorted here: minimisers and window hashes stand in for the digits of
+a radix sort, and what has become unique is dropped before the next is looked at:
 
 Equal texts
     collapse first, by SHA-256: a text of at least ``depth`` bytes that
