@@ -55,3 +55,39 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN last <> page_id THEN last END AS refers_to
 FROM page LEFT JOIN kept USING (payload_digest)
 """
+
+# Flags as a list, counted per part and list; then each of the 600 steps against each list.
+ORACLE["op12_filter_audit"] = r"""
+WITH doc AS (SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS t,
+                    regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+earliest AS (SELECT t, MIN(doc_id) AS least FROM doc GROUP BY t),
+label AS (SELECT doc_id, MAX(quality) AS quality, MAX(toxic) AS toxic FROM labels GROUP BY doc_id),
+failed AS (SELECT part, quality, toxic,
+                  [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w),
+                   100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t), regexp_matches(t, '[#$%&*|]'),
+                   COALESCE(doc.doc_id > least, FALSE)] AS f
+           FROM doc JOIN earliest USING (t) LEFT JOIN label ON label.doc_id = doc.doc_id),
+alike AS (SELECT part, f, COUNT(*) AS n, COUNT(*) FILTER (quality = 1) AS good, COUNT(*) FILTER (toxic = 1) AS toxic
+          FROM failed GROUP BY part, f),
+letter AS (SELECT unnest(generate_series(1, 5)) AS i),
+orders AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM letter a, letter b, letter c, letter d, letter e
+           WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+steps AS (SELECT array_to_string([chr(CAST(64 + x AS INTEGER)) for x in o], '') AS filter_order, step,
+                 o[step] AS i, o[1:step - 1] AS before
+          FROM orders, (SELECT unnest(generate_series(1, 5)) AS step)),
+met AS (SELECT part, filter_order, step, i, f[i] AS fails, len([x for x in before if f[x]]) > 0 AS gone,
+               len([x for x in f if x]) = 1 AS once, n, good, toxic FROM alike, steps),
+counted AS (SELECT part, filter_order, step, i,
+       SUM(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END) AS kept,
+       SUM(CASE WHEN fails AND NOT gone THEN n ELSE 0 END) AS removed,
+       SUM(CASE WHEN fails AND gone THEN n ELSE 0 END) AS redundant,
+       SUM(CASE WHEN fails AND once THEN n ELSE 0 END) AS unique_fails,
+       SUM(CASE WHEN fails AND NOT gone THEN good ELSE 0 END) AS good_lost,
+       SUM(CASE WHEN fails AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+  FROM met GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(SUM(removed) OVER (PARTITION BY part, i) AS BIGINT) AS shapley
+FROM counted
+"""

@@ -6,11 +6,14 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     archives,
     class_lm,
     decontaminate,
+    filter_audit,
     fingerprints,
     mixing,
+    pieces,
     quality,
     repeats,
     simhash_dedup,
@@ -65,5 +68,20 @@ def op10_warc(spark, sf_dir):
     return archives.archive_round_trip(read(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_mixing, op4_quality, op5_class_lm, op6_document_fingerprints, op7_decontamination, op8_simhash_dedup, op9_suffix_dedup,
-                                   op10_warc)}
+def op11_alignment(spark, sf_dir):
+    a, b = (str(public_tokenizers.path(n)) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.alignment(read(spark, sf_dir, "documents"), a, b, keep_groups=False).drop("groups")
+
+
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), part="source")
+
+
+def op13_pieces(spark, sf_dir):
+    model = str(public_tokenizers.path("piece_bpe_32k.model"))
+    return pieces.encoding_report(read(spark, sf_dir, "documents"), model)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_toxicity, op3_mixing, op4_quality, op5_class_lm, op6_document_fingerprints, op7_decontamination,
+    op8_simhash_dedup, op9_suffix_dedup, op10_warc, op11_alignment, op12_filter_audit, op13_pieces)}

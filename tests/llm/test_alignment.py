@@ -1,0 +1,144 @@
+import hashlib
+import random
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from kontor.llm import alignment as AL
+
+A_PATH, B_PATH = (str(public_tokenizers.path(n)) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+LETTERS = [*" \n\t\r0aé漢🙂thein<>s/|%#-.,'\xa0　\x85\x1c", "<|endoftext|>", "<s>", "</s>", "<0x0A>", "the ", "  ", "ing", "'s"]
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(A_PATH)
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=B_PATH)
+    chars = AL.byte_alphabet()
+    a_bytes = {i: bytes(chars[c] for c in t) for t, i in a.get_vocab().items() if all(c in chars for c in t)}
+    b_bytes = {i: bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else
+               b.id_to_piece(i).replace("▁", " ").encode() for i in range(b.get_piece_size())}
+    return a, b, a_bytes, b_bytes
+
+
+def plain(texts, libraries):
+    """Whole texts by the libraries, byte offsets compared pair by pair."""
+    a, b, a_bytes, b_bytes = libraries
+    out, counts = [], Counter()
+    for text in texts:
+        x = a.encode(" " + text, add_special_tokens=False).ids if text else []
+        y = b.encode(text) if text else []
+        whole = (" " + text).encode() if text else b""
+        if b"".join(a_bytes[i] for i in x) != whole or b"".join(b_bytes[i] for i in y) != whole:
+            x = y = []
+        starts = []
+        for ids, of in ((x, a_bytes), (y, b_bytes)):
+            at, ranges = 0, []
+            for i in ids:
+                ranges.append((at, at + len(of[i])))
+                at += len(of[i])
+            starts.append(ranges)
+        links = []
+        j = 0
+        for i, (lo, hi) in enumerate(starts[0]):
+            while starts[1][j][1] <= lo:
+                j += 1
+            k = j
+            while k < len(y) and starts[1][k][0] < hi:
+                links.append((x[i], y[k]))
+                k += 1
+        common = {e for _, e in starts[0]} & {e for _, e in starts[1]}
+        sides = []
+        for ids, ranges in zip((x, y), starts):
+            side = [[]]
+            for t, (_, e) in zip(ids, ranges):
+                side[-1].append(str(t))
+                if e in common:
+                    side.append([])
+            assert side.pop() == []
+            sides.append([",".join(g) for g in side])
+        groups = ["|".join(g) for g in zip(*sides, strict=True)]
+        counts.update(links)
+        out.append((len(x), len(y), len(groups), links, ";".join(groups)))
+    most = Counter()
+    for (_, q), n in counts.items():
+        most[q] = max(most[q], n)
+    return [(na, nb, ng, len(links), sum(counts[p] == most[p[1]] for p in links), sum(counts[p] for p in links),
+             hashlib.sha256(groups.encode()).hexdigest() if na else "", groups)
+            for na, nb, ng, links, groups in out], counts
+
+
+def check(spark, docs, libraries, **kw):
+    rows = docs.select("doc_id", "text").collect()
+    wanted, counts = plain([r["text"] or "" for r in rows], libraries)
+    got = AL.alignment(docs, A_PATH, B_PATH, **kw).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(((r["doc_id"], *w) for r, w in zip(rows, wanted)), key=str)
+    return counts
+
+
+def fuzzed(n, seed=4):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(LETTERS) for _ in range(rng.randint(0, 25))) for _ in range(n)]
+
+
+def test_fuzzed_texts_equal_brute_force(spark, libraries):
+    texts = fuzzed(600) + ["▁", "a ▁b", "▁ a", None, "", " ", "\n", "a b" * 50]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    check(spark, docs, libraries)
+
+
+def test_corpus_equals_brute_force_and_counts_its_links(spark, corpus, libraries):
+    short = corpus.filter("doc_id IS NULL OR doc_id <> 400")
+    counts = check(spark, short, libraries)
+    links = AL.link_counts(AL.aligned_shards(short, A_PATH, B_PATH)).collect()
+    assert {(r["code"] >> 32, r["code"] & (1 << 32) - 1): r["n"] for r in links} == dict(counts)
+
+
+def test_a_very_long_text(spark, corpus, libraries):
+    check(spark, corpus.filter("doc_id = 400"), libraries)
+
+
+def test_small_shards_and_a_small_table_change_nothing(spark, corpus, libraries):
+    """Shards of one or two texts, and a table begun anew for each."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    schema = to_arrow_schema(StructType.fromDDL(AL.SHARDS.format(id="bigint")))
+    rows = pa.table({"doc_id": pa.array(range(300)), "text": fuzzed(300, 9)})
+    known = AL.Aligned(AL.tokenizers(A_PATH, B_PATH))
+    whole = list(AL._shard_rows(known, 0, rows, True, schema))[0]
+    parts = []
+    for i in range(0, 300, 2):
+        known.size = AL.TABLE + 1
+        parts.append(list(AL._shard_rows(known, i, rows.slice(i, 2), True, schema))[0])
+    for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups"):
+        assert pa.Table.from_batches(parts)[c].to_pylist() == whole.column(c).to_pylist()
+
+
+def test_models_that_do_not_cut_get_whole_texts(libraries):
+    both = AL.Tokenizers(A_PATH, B_PATH)
+    texts = [t for t in fuzzed(200, 3) if t]
+    cut, whole = AL.Aligned(both), AL.Aligned(AL.Tokenizers(A_PATH, B_PATH))
+    whole.both.cuts = False
+    for t in texts:
+        found = []
+        for known in (cut, whole):
+            spans = known.both.spans(t)
+            known.add([s for s in dict.fromkeys(spans) if s not in known.place])
+            found.append(";".join(known.text[known.place[s]] for s in spans))
+        assert found[0] == found[1], repr(t)
+
+
+def test_empty_table_and_clashing_columns(spark, empty, extra, corpus, libraries):
+    from pyspark.sql import functions as F
+
+    assert AL.alignment(empty, A_PATH, B_PATH).count() == 0
+    clash = extra.withColumns({n: F.lit("x") for n in ("shard", "kind", "code", "n", "groups", "first", "n_a")})
+    got = AL.alignment(clash, A_PATH, B_PATH, keep_groups=False)
+    assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "groups"]
+    assert got.filter("groups IS NOT NULL").count() == 0 and got.count() == corpus.count()

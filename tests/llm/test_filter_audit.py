@@ -1,0 +1,126 @@
+import re
+from collections import defaultdict
+from itertools import permutations
+
+import pytest
+
+from kontor.llm import filter_audit as FA
+
+
+def plain(rows, labels):
+    """Document by document, order by order."""
+    known = {}
+    for i, quality, toxic in labels:
+        if i is not None:
+            q, t = known.get(i, (None, None))
+            known[i] = (max((x for x in (q, quality) if x is not None), default=None),
+                        max((x for x in (t, toxic) if x is not None), default=None))
+    out = defaultdict(lambda: [0] * 7)
+    for i, text, part in rows:
+        text, part = text or "", part or ""
+        words = re.findall(r"[^\x20\x09-\x0d]+", text)
+        fails = {"A": len(words) < 200, "B": 100 * len(set(words)) < 50 * len(words),
+                 "C": 100 * len(re.findall("[A-Z]", text)) > 2 * len(text), "D": bool(re.search("[#$%&*|]", text)),
+                 "E": i is not None and any(j is not None and j < i and (t or "") == text for j, t, _ in rows)}
+        quality, toxic = known.get(i, (None, None))
+        for order in permutations("ABCDE"):
+            gone = False
+            for step, f in enumerate(order, 1):
+                cell = out[(part, "".join(order), step)]
+                removed = fails[f] and not gone
+                for k, hit in enumerate((not fails[f] and not gone, removed, fails[f] and gone,
+                                         fails[f] and sum(fails.values()) == 1, removed and quality == 1,
+                                         removed and toxic == 1)):
+                    cell[k] += hit
+                gone |= fails[f]
+    shapley = defaultdict(int)
+    for (part, order, step), cell in out.items():
+        shapley[(part, order[step - 1])] += cell[1]
+    return {k: (*v[:6], shapley[(k[0], k[1][k[2] - 1])]) for k, v in out.items()}
+
+
+COLUMNS = ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
+def found(df):
+    rows = df.collect()
+    out = {(r["part"], r["filter_order"], r["step"]): tuple(r[c] for c in COLUMNS) for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+@pytest.fixture()
+def labels(spark):
+    rows = [(i, i % 2, (i // 2) % 2) for i in range(0, 40, 3)] + [(500, 1, 1), (500, 0, None), (None, 1, 1), (600, 1, 0)]
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+def more(spark, corpus):
+    rows = [(700, "A B C #", "en", "src1", 1), (701, "A B C #", "en", "src2", 1), (699, "A B C #", "en", None, 1),
+            (699, "A B C #", "en", "", 1), (702, "word " * 201 + "x|y", "en", "src1", 1), (703, "a\x0bb\x0cc\x1cd e", "en", "s", 1),
+            (704, "É" * 10, "en", "src0", 1), (None, "A B C #", "en", "src0", 1)]
+    rows += [(710 + i, " ".join(f"w{j}" for j in range(199 + i)), "en", "src2", 1) for i in range(3)]
+    rows += [(720, " ".join(f"w{j % 100}" for j in range(200)), "en", "src2", 1), (721, " ".join(f"w{j % 99}" for j in range(200)), "en", "src2", 1)]
+    return corpus.unionByName(spark.createDataFrame(rows, corpus.schema))
+
+
+def test_audit_equals_brute_force(spark, corpus, labels):
+    docs = more(spark, corpus)
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
+    assert found(FA.audit(docs.repartition(5), labels)) == plain(rows, map(tuple, labels.collect()))
+
+
+def test_matrix_has_every_word_under_one_number(spark, corpus):
+    import numpy as np
+
+    matrix, dictionary = FA.term_matrix(corpus.repartition(6))
+    number = [(bytes(r["word"]).decode(), r["term"]) for r in dictionary.collect()]
+    words = dict((n, w) for w, n in number)
+    assert len(words) == len(number) == len(dict(number))
+    got = sorted(str(sorted((words[c], n) for c, n in zip(np.frombuffer(r["columns"], "<i8").tolist(),
+                                                          np.frombuffer(r["counts"], "<i4").tolist())))
+                 for r in matrix.collect())
+    wanted = []
+    for r in corpus.collect():
+        seen = defaultdict(int)
+        for w in re.findall(r"[^\x20\x09-\x0d]+", r["text"] or ""):
+            seen[w] += 1
+        wanted.append(str(sorted(seen.items())))
+    assert got == sorted(wanted)
+
+
+def test_many_shards_give_the_same(spark, corpus, labels, monkeypatch):
+    import pyarrow as pa
+
+    from kontor.llm import shards
+
+    class Context:
+        @staticmethod
+        def get():
+            return Context
+
+        @staticmethod
+        def partitionId():
+            return 3
+
+    monkeypatch.setattr(shards, "TaskContext", Context)
+    texts = ["a" * n for n in (5, 5, 300, 1, 1, 1, 0, 20)] + [None]
+    batches = pa.table({"text": texts}).to_batches(max_chunksize=4)
+    cut = list(shards.shards(iter(batches), "text", 3 * shards.ROW + 10))
+    assert sum((t["text"].to_pylist() for _, t in cut), []) == texts
+    assert [len(t) for _, t in cut] == [2, 1, 3, 2, 1] and [s for s, _ in cut] == [(3 << 32) + i for i in range(5)]
+
+
+def test_hot_text_and_repeated_rows(spark, labels):
+    rows = [(i, "same text", "s") for i in range(400)] + [(0, "same text", "s")] * 50 + [(0, "same text", "t")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = found(FA.audit(docs, labels))
+    assert got[("s", "EABCD", 1)][:2] == (51, 399) and got[("t", "EABCD", 1)][:2] == (1, 0)
+
+
+def test_empty_table_and_clashing_columns(spark, empty, extra, corpus, labels):
+    from pyspark.sql import functions as F
+
+    assert FA.audit(empty, labels).count() == 0
+    clash = extra.withColumns({n: F.lit("x") for n in ("part", "flags", "digest", "n", "step", "bit", "quality", "toxic")})
+    assert found(FA.audit(clash, labels.withColumn("part", F.lit(1)))) == found(FA.audit(corpus, labels))
