@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import fits_broadcast
+from .sizing import DEFAULT_BROADCAST_LIMIT, measured_bytes
 from .upsert import check_batch_keys, merge
 
 DELTA_ID = "delta_id"
@@ -110,8 +110,8 @@ def merge_newer(mirror: DataFrame, batch: DataFrame, pk: Sequence[str], order_co
     """
     pk = list(pk)
     b = fold_deltas(batch, pk, order_col)
-    if broadcast_batch is None:  # size-checked; beyond the limit both joins shuffle on the key
-        broadcast_batch = fits_broadcast(batch)
+    if broadcast_batch is None:  # measured; beyond the limit both joins shuffle on the key
+        broadcast_batch = measured_bytes(batch) <= DEFAULT_BROADCAST_LIMIT
     bk = b.select(*pk, F.col(order_col).alias("_bid"))
     bk = F.broadcast(bk) if broadcast_batch else bk
     kept = (mirror.join(bk, pk, "left")

@@ -1,21 +1,21 @@
-"""Broadcast only behind a check of the size.
-
-``fits_broadcast`` asks Catalyst for the optimized plan's estimate.  That is
-good enough for a plain scan of a batch, but an estimate does not see through
-an explode, a filter or Parquet's compression.  A dimension that is to be
-broadcast whatever the fact table's size is therefore *staged*: written once
-to the shared scratch folder while its rows and text bytes are counted on the
-write itself.  ``measured_broadcast`` marks the staged copy for broadcast only
-when those bytes are under the limit; beyond it the join stays a shuffle join.
-Staging also means the dimension's lineage runs once, not once to measure and
-once to join.
+"""Broadcast only what was measured.
+
+Catalyst's estimate does not see through an explode, a filter or Parquet's
+compression, so no broadcast is forced by it: rows and text bytes are counted
+(``size_metrics``) on a job that runs anyway.  A dimension that is to be
+broadcast whatever the fact table's size is *staged*: written once to the
+shared scratch folder while it is counted on the write itself.
+``measured_broadcast`` marks the staged copy for broadcast only when those
+bytes are under the limit; beyond it the join stays a shuffle join.  Staging
+also means the dimension's lineage runs once, not once to measure and once to
+join.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,22 +25,22 @@ DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 ROW_OVERHEAD = 32  # bytes of a row beside its values, in a broadcast hash table
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan, or None if unavailable."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except Exception:  # Spark Connect or a plan without statistics
-        return None
+def size_metrics(df: DataFrame) -> list[Column]:
+    """Rows and text bytes, as aggregates for an ``Observation`` (see ``size_of``)."""
+    text = [F.octet_length(F.col(f"`{f.name}`")) for f in df.schema.fields
+            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    texts = sum((F.coalesce(c, F.lit(0)) for c in text), F.lit(0)).cast("long")
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(texts), F.lit(0)).alias("text")]
 
 
-def fits_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= limit
+def size_of(metrics: dict, columns: int) -> int:
+    """Uncompressed bytes of that many rows and text bytes in a broadcast hash table."""
+    return int(metrics["rows"]) * (ROW_OVERHEAD + 16 * columns) + int(metrics["text"])
 
 
-def sized_broadcast(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, limit) else df
+def measured_bytes(df: DataFrame) -> int:
+    """One aggregate over ``df``; for frames that no other job counts."""
+    return size_of(df.agg(*size_metrics(df)).first().asDict(), len(df.columns))
 
 
 class Staged(NamedTuple):
@@ -52,14 +52,10 @@ class Staged(NamedTuple):
 def stage(df: DataFrame, name: str = "staged") -> Staged:
     """``df`` written to the shared scratch folder and read back, and its uncompressed bytes."""
     spark = df.sparkSession
-    text = [F.octet_length(f.name) for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    texts = sum((F.coalesce(c, F.lit(0)) for c in text), F.lit(0)).cast("long")
     obs = Observation(name)
     path = scratch_path(spark, name)
-    (df.observe(obs, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(texts), F.lit(0)).alias("text"))
-     .write.parquet(path))
-    m = obs.get
-    size = int(m["rows"]) * (ROW_OVERHEAD + 16 * len(df.columns)) + int(m["text"])
+    df.observe(obs, *size_metrics(df)).write.parquet(path)
+    size = size_of(obs.get, len(df.columns))
     return Staged(spark.read.schema(df.schema).parquet(path), size, path)
 
 

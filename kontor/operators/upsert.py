@@ -6,7 +6,7 @@ columns than the target, matched rows keep their other columns and new
 rows get NULL there (``INSERT ... ON CONFLICT DO UPDATE SET (batch
 columns)``).
 
-Two physical plans, chosen behind a size check of the batch:
+Two physical plans, chosen by the batch's measured (uncompressed) bytes:
 
 * ``broadcast`` (daily batches against a large table): the batch is
   broadcast and the target is only *streamed* -- an anti-join keeps the
@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizing import DEFAULT_BROADCAST_LIMIT, fits_broadcast
+from .sizing import DEFAULT_BROADCAST_LIMIT, measured_bytes, size_metrics, size_of
 
 
 class DuplicateKeyError(ValueError):
@@ -48,22 +48,27 @@ def _any_null(keys: Sequence[str]) -> Column:
     return cond
 
 
-def check_batch_keys(batch: DataFrame, pk: Sequence[str], null_keys: str = "reject") -> None:
+def check_batch_keys(batch: DataFrame, pk: Sequence[str], null_keys: str = "reject") -> int:
     """Raise on a repeated key (or on a NULL key when they are rejected).
 
     One grouped pass over the batch (partial aggregation map-side); at most
-    one offending key reaches the driver.
+    one offending key reaches the driver.  Returns the batch's uncompressed
+    bytes, counted on the same pass.
     """
     pk = list(pk)
     has_null = _any_null(pk)
-    bad = (batch.groupBy(*pk).agg(F.count(F.lit(1)).alias("_n"))
-           .filter((has_null & F.lit(null_keys == "reject")) | (~has_null & (F.col("_n") > 1)))
-           .limit(1).collect())
-    if bad:
-        row = bad[0].asDict()
+    rows, text = size_metrics(batch)
+    per_key = batch.groupBy(*pk).agg(rows.alias("_n"), text.alias("_t"))
+    wrong = (has_null & F.lit(null_keys == "reject")) | (~has_null & (F.col("_n") > 1))
+    found = per_key.select("_n", "_t", F.when(wrong, F.struct(*pk, "_n")).alias("_row")).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.coalesce(F.sum("_t"), F.lit(0)).alias("text"),
+        F.first("_row", ignorenulls=True).alias("wrong")).first()
+    if found["wrong"] is not None:
+        row = found["wrong"].asDict()
         if any(row[k] is None for k in pk):
             raise NullKeyError(f"NULL in key {pk}: {row}")
         raise DuplicateKeyError(f"key {pk} repeated in batch: {row}")
+    return size_of(found.asDict(), len(batch.columns))
 
 
 def resolve_keys(keys: str | Sequence[str], df: DataFrame) -> list[str]:
@@ -92,23 +97,24 @@ def check_columns(target: DataFrame, batch: DataFrame, pk: Sequence[str]) -> Non
         raise ValueError(f"batch column(s) {extra} not in target")
 
 
-def choose_strategy(batch: DataFrame, strategy: str = "auto",
-                    limit: int = DEFAULT_BROADCAST_LIMIT) -> str:
+def choose_strategy(batch: DataFrame, strategy: str = "auto", limit: int = DEFAULT_BROADCAST_LIMIT,
+                    size: int | None = None) -> str:
+    """By the batch's measured bytes: ``size`` where a job has counted them, else counted here."""
     if strategy != "auto":
         return strategy
-    return "broadcast" if fits_broadcast(batch, limit) else "shuffle"
+    return "broadcast" if (measured_bytes(batch) if size is None else size) <= limit else "shuffle"
 
 
 def upsert(target: DataFrame, batch: DataFrame, pk: Sequence[str], *, check: bool = True,
            null_keys: str = "reject", strategy: str = "auto",
-           broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+           broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, size: int | None = None) -> DataFrame:
     pk = list(pk)
     check_columns(target, batch, pk)
     if check:
-        check_batch_keys(batch, pk, null_keys)
+        size = check_batch_keys(batch, pk, null_keys)
     cols = target.columns
     partial = set(batch.columns) != set(cols)
-    how = choose_strategy(batch, strategy, broadcast_limit)
+    how = choose_strategy(batch, strategy, broadcast_limit, size)
 
     if not partial:
         keys = batch.select(*pk)

@@ -150,82 +150,74 @@ ORACLE: dict[str, str] = {
 }
 
 
-_MEASURES = [f"{m}_{c}" for m in ("balance_in", "turn_deb", "turn_cre", "balance_out")
-             for c in ("rub", "val", "total")]
-
-
-def _f101_sql(call: str, first: str, last: str, eve: str, preagg: bool, months: bool = False) -> str:
-    """Form 101 in SQL.  Arguments are SQL date expressions; with ``months``
-    every month of the ``months`` CTE (alias ``mo``) is reported."""
-    if preagg:
-        turn = f"""(SELECT account_rk, sum(debet_amount_rub) AS debet_amount_rub,
-                          sum(credit_amount_rub) AS credit_amount_rub
-                   FROM dm_account_turnover_f
-                   WHERE on_date BETWEEN {first} AND {last}
-                   GROUP BY account_rk) t ON t.account_rk = acc.account_rk"""
-    else:
-        turn = f"""dm_account_turnover_f t ON t.account_rk = acc.account_rk
-                   AND t.on_date BETWEEN {first} AND {last}"""
-    dom = "cur.currency_code IN ('643', '810')"
-    fx = "b.balance_out * er.reduced_cource"
-    closing = """CASE WHEN characteristic = 'A' THEN {p}_rub_in - turn_cre_{s} + turn_deb_{s}
-                      WHEN characteristic = 'P' THEN {p}_rub_in + turn_cre_{s} - turn_deb_{s} END"""
-    out_rub = closing.format(p="balance_in", s="rub").replace("balance_in_rub_in", "balance_in_rub")
-    out_val = closing.format(p="balance_in", s="val").replace("balance_in_rub_in", "balance_in_val")
-    final = ["from_date", "to_date", "chapter", "ledger_account", "characteristic"]
-    values = {m: m for m in _MEASURES[:9]}
-    values["balance_out_rub"] = out_rub
-    values["balance_out_val"] = out_val
-    values["balance_out_total"] = f"({out_rub}) + ({out_val})"
-    for m in _MEASURES:
-        final.append(f"CAST({values[m]} AS DECIMAL(23,8)) AS {m}")
-        final.append(f"CAST(NULL AS DECIMAL(23,8)) AS r_{m}")
-    source = "months mo JOIN md_ledger_account_s s ON TRUE" if months else "md_ledger_account_s s"
-    group_month = "mo.m, " if months else ""
+# One row per report: its month, the last day, the call date and the day of the opening balance.
+_ONE_REPORT = f"""
+    report AS (SELECT DATE '{MONTH_START}' AS m, DATE '{MONTH_END}' AS till, DATE '{CALL_DATE}' AS called,
+                      DATE '1998-02-28' AS eve)"""
+_EVERY_REPORT = """
+    report AS (SELECT CAST(g.m AS DATE) AS m, last_day(CAST(g.m AS DATE)) AS till, last_day(CAST(g.m AS DATE)) AS called,
+                      CAST(g.m - INTERVAL 1 DAY AS DATE) AS eve
+               FROM (SELECT date_trunc('month', min(oper_date)) AS lo, max(oper_date) AS hi FROM ft_posting_f) r,
+               LATERAL (SELECT unnest(generate_series(CAST(r.lo AS DATE), r.hi, INTERVAL 1 MONTH)) AS m) g)"""
+
+
+def _f101_sql(fan_out: bool) -> str:
+    """Form 101 per account first: what it opened with, what it turned over and on how many days, and the version
+    and price it is reported under; one line per account, then summed by kind of currency."""
+    weight = "greatest(coalesce(turned.days, 1), 1)" if fan_out else "1"
+
+    def by_kind(measure: str, empty: str) -> str:
+        one = "coalesce(sum({m}) FILTER (WHERE kind = '{k}'), {e})"
+        parts = [one.format(m=measure, k=k, e=empty.format(k=k)) + f" AS {measure}_{k}" for k in ("rub", "val")]
+        return ",\n               ".join([*parts, f"sum({measure}) AS {measure}_total"])
+
+    none_of_it = "CASE WHEN count(*) FILTER (WHERE kind <> '{k}') > 0 THEN 0 END"
+    closing = []
+    for k in ("rub", "val"):
+        closing.append(f"""balance_in_{k} + CASE characteristic WHEN 'A' THEN turn_deb_{k} - turn_cre_{k}
+                                          WHEN 'P' THEN turn_cre_{k} - turn_deb_{k} END AS balance_out_{k}""")
+    measures = [f"{m}_{k}" for m in ("balance_in", "turn_deb", "turn_cre", "balance_out") for k in ("rub", "val", "total")]
+    columns = ",\n           ".join(f"CAST({m} AS DECIMAL(23,8)) AS {m}, CAST(NULL AS DECIMAL(23,8)) AS r_{m}" for m in measures)
     return f"""
-    f101_groups AS (
-        SELECT {first} AS from_date, {last} AS to_date, s.chapter,
-               substr(acc.account_number, 1, 5) AS ledger_account, acc.char_type AS characteristic,
-               sum(CASE WHEN {dom} THEN b.balance_out ELSE 0 END) AS balance_in_rub,
-               sum(CASE WHEN NOT ({dom}) THEN {fx} ELSE 0 END) AS balance_in_val,
-               sum(CASE WHEN {dom} THEN b.balance_out ELSE {fx} END) AS balance_in_total,
-               sum(CASE WHEN {dom} THEN coalesce(t.debet_amount_rub, 0) ELSE 0 END) AS turn_deb_rub,
-               sum(CASE WHEN NOT ({dom}) THEN coalesce(t.debet_amount_rub, 0) ELSE 0 END) AS turn_deb_val,
-               sum(coalesce(t.debet_amount_rub, 0)) AS turn_deb_total,
-               sum(CASE WHEN {dom} THEN coalesce(t.credit_amount_rub, 0) ELSE 0 END) AS turn_cre_rub,
-               sum(CASE WHEN NOT ({dom}) THEN coalesce(t.credit_amount_rub, 0) ELSE 0 END) AS turn_cre_val,
-               sum(coalesce(t.credit_amount_rub, 0)) AS turn_cre_total
-        FROM {source}
-        JOIN md_account_d acc ON substr(acc.account_number, 1, 5) = CAST(s.ledger_account AS VARCHAR)
-        JOIN md_currency_d cur ON cur.currency_rk = acc.currency_rk
-        LEFT JOIN ft_balance_f b ON b.account_rk = acc.account_rk AND b.on_date = {eve}
-        LEFT JOIN md_exchange_rate_d er ON er.currency_rk = acc.currency_rk
-             AND {call} BETWEEN er.data_actual_date AND er.data_actual_end_date
-        LEFT JOIN {turn}
-        WHERE {call} BETWEEN s.start_date AND s.end_date
-          AND {call} BETWEEN acc.data_actual_date AND acc.data_actual_end_date
-          AND {call} BETWEEN cur.data_actual_date AND cur.data_actual_end_date
-        GROUP BY {group_month}s.chapter, substr(acc.account_number, 1, 5), acc.char_type)
-    SELECT {", ".join(final)}
-    FROM f101_groups"""
+    opened AS (SELECT report.m, account_rk, sum(balance_out) AS amount
+               FROM report JOIN ft_balance_f ON on_date = eve GROUP BY ALL),
+    turned AS (SELECT report.m, account_rk, count(*) AS days, sum(coalesce(debet_amount_rub, 0)) AS deb,
+                      sum(coalesce(credit_amount_rub, 0)) AS cre
+               FROM report JOIN dm_account_turnover_f ON on_date BETWEEN report.m AND till GROUP BY ALL),
+    chart AS (SELECT report.m, chapter, CAST(ledger_account AS VARCHAR) AS ledger_account
+              FROM report JOIN md_ledger_account_s ON called BETWEEN start_date AND end_date),
+    kinds AS (SELECT report.m, currency_rk, CASE WHEN currency_code IN ('643', '810') THEN 'rub' ELSE 'val' END AS kind
+              FROM report JOIN md_currency_d ON called BETWEEN data_actual_date AND data_actual_end_date),
+    prices AS (SELECT report.m, currency_rk, reduced_cource AS price
+               FROM report JOIN md_exchange_rate_d ON called BETWEEN data_actual_date AND data_actual_end_date),
+    held AS (SELECT report.m, till, account_rk, currency_rk, char_type AS characteristic,
+                    substr(account_number, 1, 5) AS ledger_account
+             FROM report JOIN md_account_d ON called BETWEEN data_actual_date AND data_actual_end_date),
+    line AS (SELECT held.m, till, chapter, ledger_account, characteristic, kind,
+                    CAST(amount * {weight} AS DECIMAL(18,2)) * CASE kind WHEN 'rub' THEN 1.00000000 ELSE price END AS balance_in,
+                    coalesce(deb, 0) AS turn_deb, coalesce(cre, 0) AS turn_cre
+             FROM held JOIN chart USING (m, ledger_account) JOIN kinds USING (m, currency_rk)
+                  LEFT JOIN prices USING (m, currency_rk) LEFT JOIN opened USING (m, account_rk)
+                  LEFT JOIN turned USING (m, account_rk)),
+    summed AS (SELECT m, till, chapter, ledger_account, characteristic,
+               {by_kind("balance_in", none_of_it)},
+               {by_kind("turn_deb", "0")},
+               {by_kind("turn_cre", "0")}
+               FROM line GROUP BY ALL),
+    closed AS (SELECT *, {closing[0]},
+               {closing[1]} FROM summed),
+    form AS (SELECT *, balance_out_rub + balance_out_val AS balance_out_total FROM closed)
+    SELECT m AS from_date, till AS to_date, chapter, ledger_account, characteristic,
+           {columns}
+    FROM form"""
 
 
 def f101_oracle(preagg: bool) -> str:
-    return with_views("WITH " + turnover_cte(MONTH_START, MONTH_END) + ","
-                      + _f101_sql(f"DATE '{CALL_DATE}'", f"DATE '{MONTH_START}'", f"DATE '{MONTH_END}'",
-                                  "DATE '1998-02-28'", preagg))
+    return with_views("WITH " + turnover_cte(MONTH_START, MONTH_END) + "," + _ONE_REPORT + "," + _f101_sql(not preagg))
 
 
 def f101_all_oracle() -> str:
-    months = """
-    months AS (SELECT CAST(g.m AS DATE) AS m
-               FROM (SELECT min(oper_date) AS lo, max(oper_date) AS hi FROM ft_posting_f) r,
-               LATERAL (SELECT unnest(generate_series(CAST(date_trunc('month', r.lo) AS DATE),
-                                                      CAST(date_trunc('month', r.hi) AS DATE),
-                                                      INTERVAL 1 MONTH)) AS m) g),"""
-    return with_views("WITH " + turnover_cte(None, None) + "," + months
-                      + _f101_sql("last_day(mo.m)", "mo.m", "last_day(mo.m)",
-                                  "CAST(mo.m - INTERVAL 1 DAY AS DATE)", False, months=True))
+    return with_views("WITH " + turnover_cte(None, None) + "," + _EVERY_REPORT + "," + _f101_sql(True))
 
 
 ORACLE["f101_report"] = f101_oracle(False)
@@ -238,11 +230,14 @@ ORACLE.update({
         FROM md_account_d a
         LEFT JOIN md_exchange_rate_d er ON er.currency_rk = a.currency_rk
              AND a.data_actual_date BETWEEN er.data_actual_date AND er.data_actual_end_date"""),
+    # one integer key for account and day, both sides computed once: no plan choice can join them otherwise
     "opening_balance": with_views("""
-        SELECT a.account_rk, a.data_actual_date, b.balance_out
-        FROM md_account_d a
-        LEFT JOIN ft_balance_f b ON b.account_rk = a.account_rk
-             AND b.on_date = CAST(a.data_actual_date - INTERVAL 1 DAY AS DATE)"""),
+        WITH version AS MATERIALIZED (
+            SELECT account_rk, data_actual_date, account_rk * 100000 + date_diff('day', DATE '1900-01-01', data_actual_date) - 1 AS k
+            FROM md_account_d),
+        opening AS MATERIALIZED (
+            SELECT account_rk * 100000 + date_diff('day', DATE '1900-01-01', on_date) AS k, balance_out FROM ft_balance_f)
+        SELECT account_rk, data_actual_date, balance_out FROM version LEFT JOIN opening USING (k)"""),
     "ledger_prefix_join": with_views("""
         SELECT a.account_rk, a.data_actual_date, s.ledger_account, s.chapter
         FROM md_account_d a
@@ -353,6 +348,7 @@ ORACLE.update({
         WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.account_rk = b.account_rk)""",
     "delta_fold": with_views(_FOLD.format(pk="account_rk")),
     "delta_fold_history": with_views(_FOLD.format(pk="data_actual_date, account_rk")),
+    "delta_merge_buckets": with_views(_FOLD.format(pk="account_rk")),
     "delta_merge": with_views(_FOLD.format(pk="account_rk")),
     "delta_incremental": with_views("""
         SELECT account_rk, data_actual_date, event_type, amount,
@@ -362,6 +358,8 @@ ORACLE.update({
     "delta_scan": with_views("SELECT delta_id, account_rk, data_actual_date, event_type, amount FROM deltas"),
     "replace_slice": with_views("WITH" + _turnover_sql(MONTH_START, MONTH_END).replace(
         "FROM priced GROUP BY", "FROM priced WHERE day <> DATE '1998-03-03' GROUP BY")),
+    "turnover_refresh": with_views("WITH" + _turnover_sql(None, None)),
+    "f101_refresh": f101_all_oracle(),
     "csv_extract": with_views("SELECT * FROM ft_balance_f"),
     "csv_infer": with_views("""SELECT *, 'date,bigint,int,double,double' AS inferred_types FROM ft_posting_f"""),
     "mart_roundtrip": with_views("WITH" + _turnover_sql(None, None)),

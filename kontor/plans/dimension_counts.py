@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.text import capitalise
 from ..operators.aggregates import count_by
-from ..operators.sizing import sized_broadcast
 
 # Fixed literal dimension: event types (lower case) and their group.
 EVENT_TYPE_ROWS = [
@@ -39,4 +38,4 @@ def counts_per(facts: DataFrame, key: str) -> DataFrame:
 
 def join_counts(dimension: DataFrame, counts: DataFrame, key: str) -> DataFrame:
     dim = dimension.select(capitalise(key).alias(key), *[c for c in dimension.columns if c != key])
-    return sized_broadcast(dim).join(counts, key, "left").na.drop(subset=["count"])
+    return dim.join(counts, key, "left").na.drop(subset=["count"])

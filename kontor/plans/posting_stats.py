@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, py_date
-from ..operators.sizing import sized_broadcast
 
 # Fixed value: the name that users of the source call the table function by.
 FUNCTION = "func_ds_ft_posting_f"
@@ -45,7 +44,7 @@ def posting_minmax_guarded(postings: DataFrame, on_dates) -> DataFrame:
     wanted = _requested(postings, on_dates)
     # the posting dates collapse map-side: a few rows per task are shuffled, not the postings
     present = wanted.join(postings.select("oper_date").distinct(), "oper_date", "left_semi")
-    return posting_minmax(postings.join(sized_broadcast(present), "oper_date", "left_semi"))
+    return posting_minmax(postings.join(present, "oper_date", "left_semi"))
 
 
 def day_spine(postings: DataFrame) -> DataFrame:

@@ -207,7 +207,8 @@ def q_text_normalise(spark, d):
 
 def q_log_chunk(spark, d):
     docs = TB.table(spark, d, "documents").select("doc_id", F.col("text").alias("message"))
-    out = RL.chunk_messages(docs, ["doc_id"], "message", start_id=1)
+    # numbered where they are read: no text is shuffled
+    out = RL.chunk_messages(docs, ["doc_id"], "message", start_id=1, order="scan")
     return out.select("doc_id", "piece", "record_id", "message", "message_type",
                       F.length("message").alias("chunk_chars"))
 

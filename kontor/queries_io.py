@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .operators import deltas as DL
+from .operators.bucket_mirror import BucketMirror
 from .operators.upsert import merge, upsert
 from .plans import detail_load as DLOAD
 from .plans import dimension_counts as DC
 from .plans import marts as MT
+from .plans import refresh as RF
 from .plans import turnover as TO
 from .plans.runlog import RunLog
 from .session import scratch_path
@@ -96,6 +98,16 @@ def q_delta_merge(spark, d):
     return merge(mirror, batch, MIRROR_PK)
 
 
+def q_delta_merge_buckets(spark, d):
+    """The same MERGE into a mirror stored by buckets: only those that the newer deltas touch are rewritten."""
+    deltas = TB.view(spark, d, "deltas")
+    until = F.lit(_dt.date.fromisoformat(FIRST_RUN_UNTIL))
+    mirror = BucketMirror(spark, scratch_path(spark, "mirror"), MIRROR_SCHEMA, MIRROR_PK, buckets=16)
+    for part in (deltas.filter(F.col("data_actual_date") <= until), deltas.filter(F.col("data_actual_date") > until)):
+        mirror.merge(DL.fold_deltas(part, MIRROR_PK).drop(DL.DELTA_ID).select(*MIRROR_SCHEMA.fieldNames()))
+    return mirror.read()
+
+
 def q_delta_incremental(spark, d):
     """Two runs, each stamping the rows it writes: the first loads the deltas up to a
     day and logs them; the second resumes after the last *finished* delta in the log."""
@@ -105,6 +117,7 @@ def q_delta_incremental(spark, d):
     first = deltas.filter(F.col("data_actual_date") <= F.lit(_dt.date.fromisoformat(FIRST_RUN_UNTIL)))
     v1 = SK.next_version(spark, mirror_root)
     DL.apply_deltas(spark.createDataFrame([], stamped), first.withColumn("run", F.lit(1)), MIRROR_PK).write.parquet(v1)
+    SK.finish_version(spark, v1)
     log = RunLog(spark, log_path, "etl_log")
     for did in DL.delta_ids(first):
         log.add("start", did, "mirror")
@@ -147,14 +160,69 @@ def q_replace_slice(spark, d):
     from .functions.dates import month_days
 
     p, a, r = _month_views(spark, d)
-    path = scratch_path(spark, "turnover")
-    days = month_days(CALL_DATE)
-    SK.replace_slices(TO.turnover_month(p, a, r, CALL_DATE), path, "on_date", days)
+    mart = RF.mart_table(spark, scratch_path(spark, "marts"), "dm_account_turnover_f")
+    mart.replace(TO.turnover_month(p, a, r, CALL_DATE), month_days(CALL_DATE))
     changed = [REMOVED_DAY, REMOVED_DAY + _dt.timedelta(days=1)]
     p2 = p.filter(F.col("oper_date") != F.lit(REMOVED_DAY))
-    SK.replace_slices(TO.account_turnover(p2, a, r, changed[0], changed[-1]), path, "on_date", changed)
-    s = spec("dm_account_turnover_f")
-    return spark.read.schema(s.schema).parquet(path).select(*s.columns)
+    mart.replace(TO.account_turnover(p2, a, r, changed[0], changed[-1]), changed)
+    return mart.read()
+
+
+def _refreshed(spark, d):
+    """Marts built from a ledger with some stale days, accounts and rates, and refreshed after a load has put them right."""
+    from .jobs import read_detail
+    from .functions.dates import month_start
+    from .operators.sizing import stage
+
+    detail, marts = scratch_path(spark, "detail"), scratch_path(spark, "marts")
+    v = {n: TB.view(spark, d, n) for n in TB.VIEWS if n != "deltas"}
+
+    def version(name, df):
+        s = spec(name)
+        have = [F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in s.schema.fields]
+        out = SK.next_version(spark, f"{detail}/{name}")
+        df.select(*have).write.parquet(out)
+        SK.finish_version(spark, out)
+
+    def load(name, df):
+        batch = stage(df.select(*spec(name).columns), f"batch-{name}")
+        DLOAD.upsert_days(spark, f"{detail}/{name}", batch, name)
+        SK.delete_path(spark, batch.path)
+
+    def refresh():
+        return RF.refresh_marts(spark, detail, marts, lambda n: read_detail(spark, detail, n))
+
+    late_day = F.dayofyear("oper_date") % 60 == 7
+    p = v["ft_posting_f"]
+    stale = p.withColumn("credit_amount", (F.col("credit_amount") + F.lit(1)).cast("decimal(18,2)"))
+    load("ft_posting_f", p.filter(~late_day).unionByName(stale.filter(late_day)))
+    b = v["ft_balance_f"]
+    late_eve = F.month("on_date") == 5
+    load("ft_balance_f", b.withColumn("balance_out", F.when(late_eve, F.col("balance_out") + 1).otherwise(
+        F.col("balance_out")).cast("decimal(18,2)")))
+    late_account = (F.col("account_rk") % 40 == 3) & (month_start("data_actual_date") == F.lit(_dt.date(1997, 7, 1)))
+    version("md_account_d", v["md_account_d"].filter(~late_account))
+    late_rate = (F.col("currency_rk") % 5 == 2) & (F.col("data_actual_date") == F.lit(_dt.date(1996, 2, 1)))
+    version("md_exchange_rate_d", v["md_exchange_rate_d"].filter(~late_rate))
+    for n in ("md_currency_d", "md_ledger_account_s"):
+        version(n, v[n])
+    refresh()
+    load("ft_posting_f", p.filter(late_day))
+    load("ft_balance_f", b.filter(late_eve))
+    version("md_account_d", v["md_account_d"])
+    version("md_exchange_rate_d", v["md_exchange_rate_d"])
+    refresh()
+    return marts
+
+
+def q_turnover_refresh(spark, d):
+    """The turnover mart after a refresh by changed days: equal to one built anew."""
+    return RF.mart_table(spark, _refreshed(spark, d), "dm_account_turnover_f").read()
+
+
+def q_f101_refresh(spark, d):
+    """Form 101 of every month after a refresh by changed days: equal to one built anew."""
+    return RF.mart_table(spark, _refreshed(spark, d), "dm_f101_round_f").read()
 
 
 def q_csv_extract(spark, d):
@@ -292,10 +360,13 @@ QUERIES_IO = {
     "delta_fold": q_delta_fold,
     "delta_fold_history": q_delta_fold_history,
     "delta_merge": q_delta_merge,
+    "delta_merge_buckets": q_delta_merge_buckets,
     "delta_incremental": q_delta_incremental,
     "delta_scan": q_delta_scan,
     "delta_stream": q_delta_stream,
     "replace_slice": q_replace_slice,
+    "turnover_refresh": q_turnover_refresh,
+    "f101_refresh": q_f101_refresh,
     "csv_extract": q_csv_extract,
     "csv_infer": q_csv_infer,
     "csv_tab_roundtrip": q_csv_tab_roundtrip,

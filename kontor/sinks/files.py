@@ -106,8 +106,18 @@ def replace_slices(df: DataFrame, path: str, partition_col: str, slices: Iterabl
 
 # ---- copy-on-write versions: root/v=N ------------------------------------------
 
+FINISHED = "_finished"  # our own marker: Spark's depends on a setting of the cluster
+
+
+def finish_version(spark: SparkSession, path: str) -> str:
+    """Marks a version whose write has returned; from now on it counts."""
+    p, fs = _fs(spark, f"{path.rstrip('/')}/{FINISHED}")
+    fs.create(p, True).close()
+    return path
+
+
 def _versions(spark: SparkSession, root: str) -> dict[int, bool]:
-    """Version number -> whether its write finished (Spark leaves a marker at commit)."""
+    """Version number -> whether its write finished: our marker, or Spark's where the version has none."""
     p, fs = _fs(spark, root)
     if not fs.exists(p):
         return {}
@@ -115,8 +125,7 @@ def _versions(spark: SparkSession, root: str) -> dict[int, bool]:
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if name.startswith("v=") and name[2:].isdigit():
-            marker = st.getPath().suffix("/_SUCCESS")
-            out[int(name[2:])] = bool(fs.exists(marker))
+            out[int(name[2:])] = any(fs.exists(st.getPath().suffix(f"/{m}")) for m in (FINISHED, "_SUCCESS"))
     return out
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.deltas import merge_newer
-from ..sinks.files import drop_old_versions, latest_version, next_version
+from ..sinks.files import drop_old_versions, finish_version, latest_version, next_version
 from ..sources.csv import DELTA_DIR_PATTERN
 
 
@@ -57,7 +57,9 @@ def run_mirror_stream(spark: SparkSession, deltas_root: str, mirror_root: str, c
         mirror = (spark.read.schema(mirror_schema).parquet(current) if current
                   else spark.createDataFrame([], mirror_schema))
         merged = merge_newer(mirror, batch.select(*mirror_schema.fieldNames()), pk, id_col)
-        merged.write.parquet(next_version(spark, mirror_root))
+        out = next_version(spark, mirror_root)
+        merged.write.parquet(out)
+        finish_version(spark, out)
         drop_old_versions(spark, mirror_root)
 
     stream = delta_stream(spark, deltas_root, schema, sep, date_format, max_files_per_trigger, id_col)

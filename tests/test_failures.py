@@ -203,9 +203,12 @@ def test_a_daily_batch_rewrites_one_day(spark, tmp):
         load_tables(spark, {"ft_posting_f": x}, f"{tmp}/detail", f"{tmp}/log")
 
     load("a", "2018-01-01;1;2;5;5", "2018-01-02;1;2;6;6")
-    day = f"{tmp}/detail/ft_posting_f/oper_date=2018-01-01"
-    before = sorted(os.listdir(day))
+    import glob
+
+    day = f"{tmp}/detail/ft_posting_f/data/*/oper_date=2018-01-01/*"
+    before = sorted(glob.glob(day))
+    assert before
     load("b", "2018-01-02;1;2;7;7", "2018-01-02;1;3;8;8")
-    assert sorted(os.listdir(day)) == before
+    assert sorted(glob.glob(day)) == before
     got = sorted((str(r[0]), r[2], float(r[3])) for r in J.read_detail(spark, f"{tmp}/detail", "ft_posting_f").collect())
     assert got == [("2018-01-01", 2, 5.0), ("2018-01-02", 2, 7.0), ("2018-01-02", 3, 8.0)]

@@ -31,7 +31,6 @@ def test_broadcast_upsert_never_shuffles_the_target(spark, tmp):
 
 
 def test_turnover_joins_versions_on_account_and_month(spark, monkeypatch):
-    monkeypatch.setattr(SCD, "fits_broadcast", lambda df, limit=0: False)
     monkeypatch.setattr(SCD, "stage", lambda df, name="": (df, 1 << 40, ""))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
