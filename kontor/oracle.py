@@ -230,6 +230,11 @@ ORACLE.update({
         FROM md_account_d a
         LEFT JOIN md_exchange_rate_d er ON er.currency_rk = a.currency_rk
              AND a.data_actual_date BETWEEN er.data_actual_date AND er.data_actual_end_date"""),
+    "valid_at_sorted": with_views("""
+        SELECT a.account_rk, a.data_actual_date AS version_date, a.currency_rk, er.reduced_cource
+        FROM md_account_d a
+        LEFT JOIN md_exchange_rate_d er ON er.currency_rk = a.currency_rk
+             AND a.data_actual_date BETWEEN er.data_actual_date AND er.data_actual_end_date"""),
     # one integer key for account and day, both sides computed once: no plan choice can join them otherwise
     "opening_balance": with_views("""
         WITH version AS MATERIALIZED (
@@ -361,6 +366,14 @@ ORACLE.update({
     "turnover_refresh": with_views("WITH" + _turnover_sql(None, None)),
     "f101_refresh": f101_all_oracle(),
     "csv_extract": with_views("SELECT * FROM ft_balance_f"),
+    "csv_good_rows": with_views("""SELECT * FROM ft_balance_f
+        WHERE account_rk % 90 <> 11 AND NOT (account_rk % 50 = 7 AND year(on_date) = 1996)"""),
+    "csv_refused": with_views("""
+        SELECT CASE WHEN bad_date THEN 'on_date' ELSE 'balance_out' END AS reason,
+               CASE WHEN bad_date THEN '32' ELSE strftime(on_date, '%d') END || strftime(on_date, '.%m.%Y') || ';'
+               || account_rk || ';' || currency_rk || ';' || CASE WHEN bad_sum THEN '~' ELSE '' END || balance_out AS line
+        FROM (SELECT *, account_rk % 90 = 11 AS bad_sum, account_rk % 50 = 7 AND year(on_date) = 1996 AS bad_date
+              FROM ft_balance_f) WHERE bad_sum OR bad_date"""),
     "csv_infer": with_views("""SELECT *, 'date,bigint,int,double,double' AS inferred_types FROM ft_posting_f"""),
     "mart_roundtrip": with_views("WITH" + _turnover_sql(None, None)),
     "detail_load": with_views("SELECT * FROM ft_balance_f"),

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .functions import dates as D
 from .functions import text as X
 from .operators import aggregates as AG
-from .operators.scd import join_valid_at
+from .operators.scd import join_valid_at, valid_at_by_sort
 from .operators.sizing import measured_broadcast
 from .plans import dimension_counts as DC
 from .plans import f101 as F101
@@ -197,6 +197,15 @@ def q_valid_at_buckets(spark, d):
     return out.select("account_rk", "version_date", "currency_rk", "reduced_cource")
 
 
+def q_valid_at_sorted(spark, d):
+    """The same look-up by one sort of versions and facts together."""
+    acc = TB.view(spark, d, "md_account_d").select("account_rk", F.col("data_actual_date").alias("version_date"),
+                                                   "currency_rk")
+    fx = TB.view(spark, d, "md_exchange_rate_d").select("currency_rk", "data_actual_date", "data_actual_end_date",
+                                                        "reduced_cource")
+    return valid_at_by_sort(acc, fx, ["currency_rk"], "version_date")
+
+
 def q_text_normalise(spark, d):
     c = TB.table(spark, d, "customer")
     raw = F.concat_ws(", ", F.lower("c_name"), F.concat(F.lit(" "), F.col("c_mktsegment"), F.lit("' ")))
@@ -249,6 +258,7 @@ QUERIES: dict[str, Query] = {
     "f101_all": q_f101_all,
     "valid_at": q_valid_at,
     "valid_at_buckets": q_valid_at_buckets,
+    "valid_at_sorted": q_valid_at_sorted,
     "opening_balance": q_opening_balance,
     "ledger_prefix_join": q_ledger_prefix_join,
     "posting_minmax": q_posting_minmax,

@@ -168,7 +168,17 @@ def q_replace_slice(spark, d):
     return mart.read()
 
 
+_REFRESHED: dict[tuple[str, str], str] = {}  # one refresh brings both marts up to date
+
+
 def _refreshed(spark, d):
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _REFRESHED:
+        _REFRESHED[key] = _refresh_run(spark, d)
+    return _REFRESHED[key]
+
+
+def _refresh_run(spark, d):
     """Marts built from a ledger with some stale days, accounts and rates, and refreshed after a load has put them right."""
     from .jobs import read_detail
     from .functions.dates import month_start
@@ -231,6 +241,31 @@ def q_csv_extract(spark, d):
     return CS.read_extract(spark, path, s.schema, date_format="dd.MM.yyyy")
 
 
+def _damaged_balances(spark, d):
+    """The balance extract with some amounts and dates that are none."""
+    b = TB.view(spark, d, "ft_balance_f").select(
+        F.date_format("on_date", "dd.MM.yyyy").alias("on_date"), "account_rk", "currency_rk",
+        F.col("balance_out").cast("string").alias("balance_out"))
+    bad_date = (F.col("account_rk") % 50 == 7) & F.col("on_date").endswith("1996")
+    b = b.withColumn("balance_out", F.when(F.col("account_rk") % 90 == 11, F.concat(F.lit("~"), F.col("balance_out")))
+                     .otherwise(F.col("balance_out")))
+    b = b.withColumn("on_date", F.when(bad_date, F.concat(F.lit("32"), F.substring("on_date", 3, 8))).otherwise(F.col("on_date")))
+    path = TB.write_extract(b, scratch_path(spark, "x-damaged"))
+    return CS.read_sorted_out(spark, path, spec("ft_balance_f").schema, date_format=DELTA_DATE_FORMAT,
+                              encoding=CS.EXTRACT_ENCODING, index_col=True, keep_blank_text=True)
+
+
+def q_csv_good_rows(spark, d):
+    """The good rows of an extract with damage in it."""
+    return _damaged_balances(spark, d).good
+
+
+def q_csv_refused(spark, d):
+    """Its refused lines: what is wrong, and the cells behind the index column."""
+    refused = _damaged_balances(spark, d).refused
+    return refused.select("reason", F.regexp_replace("line", "^[^;]*;", "").alias("line"))
+
+
 def q_csv_infer(spark, d):
     s = spec("ft_posting_f")
     path = SK.write_csv(TB.view(spark, d, "ft_posting_f"), scratch_path(spark, "postings-csv"))
@@ -368,6 +403,8 @@ QUERIES_IO = {
     "turnover_refresh": q_turnover_refresh,
     "f101_refresh": q_f101_refresh,
     "csv_extract": q_csv_extract,
+    "csv_good_rows": q_csv_good_rows,
+    "csv_refused": q_csv_refused,
     "csv_infer": q_csv_infer,
     "csv_tab_roundtrip": q_csv_tab_roundtrip,
     "mart_roundtrip": q_mart_roundtrip,

@@ -5,8 +5,10 @@
   headers, blanks in text columns kept as ''.  Read as text, then typed
   by the declared schema (inference would turn account numbers into
   decimals and ``dd.MM.yyyy`` dates into strings).
-* ``read_declared``: columns by header name, strict types; ``read_inferred``
-  and ``read_tab``: plain readers.
+* ``read_declared``: columns by header name, strict types; ``read_tab``: the
+  same for tab-separated files; ``read_inferred``: types guessed from the data.
+* ``read_sorted_out``: one pass over an extract or declared CSV that gives the
+  good rows and, beside them, the refused lines with what is wrong with them.
 * ``scan_delta_folders``: every numbered delta folder, one scan per distinct
   header; the batch number comes from each row's file path (``_metadata``).
   Bare CR, CRLF and LF line ends all read with the default line reader --
@@ -17,10 +19,14 @@ Damaged input is refused: a bad value or a differing header raises.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+
 # Fixed values of the extract format.
 EXTRACT_SEP = ";"
 EXTRACT_ENCODING = "cp866"
@@ -83,12 +89,81 @@ def read_inferred(spark: SparkSession, path: str, sep: str = ";", header: bool =
 
 
 def read_tab(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    r = spark.read.options(header=True, sep="\t")
+    """Tab-separated: by header name and strictly with a schema, else with guessed types."""
     if schema is not None:
-        r = r.schema(schema)
-    else:
-        r = r.option("inferSchema", True)
-    return r.csv(path)
+        return read_declared(spark, path, schema, sep="\t")
+    return read_inferred(spark, path, sep="\t")
+
+
+class SortedOut(NamedTuple):
+    good: DataFrame      # typed by the schema
+    refused: DataFrame   # reason (the column that failed, or 'line'), file, line (the cells, joined)
+    n_good: int
+    n_refused: int
+    path: str            # the staged rows; to be deleted by jobs that are done with them
+
+
+class TooManyRefused(ValueError):
+    pass
+
+
+def read_sorted_out(spark: SparkSession, path: str | list[str], schema: T.StructType, date_format: str | None = None,
+                    sep: str = ";", encoding: str = "utf-8", index_col: bool = False, at_most: int | None = None,
+                    keep_blank_text: bool = False) -> SortedOut:
+    """Good rows and refused lines of a CSV, in one pass over it.
+
+    Cells are read as text, by header name in any order and case.  A line with
+    too few or too many cells, or with a non-blank cell that is no value of its
+    column's type, is refused; so is, for dates with ``date_format``, a date
+    written otherwise.  Both sides are staged by one write, on which they are
+    counted; more than ``at_most`` refused lines raise ``TooManyRefused`` and
+    nothing is kept.  A header that lacks a column of ``schema`` is an error, and
+    so are part files whose headers differ.
+    """
+    if encoding.lower().replace("-", "") not in ("utf8", "usascii", "iso88591", "utf16", "utf32"):
+        enable_legacy_charsets(spark)
+    options = {"header": True, "sep": sep, "encoding": encoding, "enforceSchema": False}
+    header = spark.read.options(**options).csv(path).columns  # one line is read
+    names = [c.strip().lower() for c in header]
+    missing = [f.name for f in schema.fields if f.name.lower() not in names]
+    if missing:
+        raise ValueError(f"{path}: no column {missing} in header {header}")
+    cells = [f"`{c}`" for c in header]
+    # the header's own names: a part file with another header fails the read
+    layout = T.StructType([T.StructField(c, T.StringType()) for c in [*header, "_damaged"]])
+    raw = (spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord="_damaged").schema(layout).csv(path))
+    at = {n: cells[i] for i, n in enumerate(names) if not (index_col and i == 0)}
+    typed, wrong = [], [F.when(F.col("_damaged").isNotNull(), F.lit("line"))]
+    for f in schema.fields:
+        text = F.col(at[f.name.lower()])
+        if isinstance(f.dataType, T.StringType):
+            typed.append((F.coalesce(text, F.lit("")) if keep_blank_text else text).alias(f.name))
+            continue
+        filled = F.when(F.trim(text) != "", F.trim(text))
+        if isinstance(f.dataType, T.DateType) and date_format:
+            value = F.try_to_timestamp(filled, F.lit(date_format)).cast("date")
+        else:
+            value = filled.try_cast(f.dataType)
+        typed.append(value.alias(f.name))
+        wrong.append(F.when(filled.isNotNull() & value.isNull(), F.lit(f.name)))
+    line = F.coalesce(F.col("_damaged"), F.concat_ws(sep, *[F.coalesce(F.col(c), F.lit("")) for c in cells]))
+    reason = F.coalesce(*wrong)
+    rows = raw.select(*typed, reason.alias("_reason"),
+                      F.when(reason.isNotNull(), F.regexp_extract(F.col("_metadata.file_path"), r"[^/]+$", 0)).alias("_file"),
+                      F.when(reason.isNotNull(), line).alias("_line"))
+    staged = scratch_path(spark, "sorted-out")
+    obs = Observation("sorted-out")
+    rows.observe(obs, F.count(F.lit(1)).alias("rows"), F.count("_reason").alias("refused")).write.parquet(staged)
+    n, refused = int(obs.get["rows"]), int(obs.get["refused"])
+    if at_most is not None and refused > at_most:
+        p, fs = _hadoop(spark, staged)
+        fs.delete(p, True)
+        raise TooManyRefused(f"{path}: {refused} of {n} lines refused, more than {at_most}")
+    kept = spark.read.schema(rows.schema).parquet(staged)
+    return SortedOut(kept.filter("_reason IS NULL").select(*schema.fieldNames()),
+                     kept.filter("_reason IS NOT NULL").select(F.col("_reason").alias("reason"), F.col("_file").alias("file"),
+                                                               F.col("_line").alias("line")),
+                     n - refused, refused, staged)
 
 
 def _hadoop(spark: SparkSession, path: str):
