@@ -363,6 +363,8 @@ ORACLE.update({
     "delta_scan": with_views("SELECT delta_id, account_rk, data_actual_date, event_type, amount FROM deltas"),
     "replace_slice": with_views("WITH" + _turnover_sql(MONTH_START, MONTH_END).replace(
         "FROM priced GROUP BY", "FROM priced WHERE day <> DATE '1998-03-03' GROUP BY")),
+    "turnover_procedure": with_views("WITH" + _turnover_sql(MONTH_START, MONTH_END)),
+    "f101_procedure": f101_oracle(False),
     "turnover_refresh": with_views("WITH" + _turnover_sql(None, None)),
     "f101_refresh": f101_all_oracle(),
     "csv_extract": with_views("SELECT * FROM ft_balance_f"),

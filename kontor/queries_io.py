@@ -19,6 +19,7 @@ from .operators.upsert import merge, upsert
 from .plans import detail_load as DLOAD
 from .plans import dimension_counts as DC
 from .plans import marts as MT
+from .plans import procedures as PR
 from .plans import refresh as RF
 from .plans import turnover as TO
 from .plans.runlog import RunLog
@@ -168,6 +169,35 @@ def q_replace_slice(spark, d):
     return mart.read()
 
 
+def _procedure_tables(spark, d):
+    """Catalog tables for both marts, and the ledger as the views that SQL users have."""
+    for name in TB.VIEWS:
+        if name != "deltas":
+            TB.view(spark, d, name).createOrReplaceTempView(f"ds_{name}")
+    names = []
+    for mart in ("dm_account_turnover_f", "dm_f101_round_f"):
+        path = scratch_path(spark, mart)
+        names.append(f"{mart}_{path[-12:]}")
+        PR.create_mart(spark, names[-1], mart, path)
+    return names
+
+
+def q_turnover_procedure(spark, d):
+    """The monthly turnover by its SQL procedure, called twice: the second call replaces the first."""
+    turnover, _ = _procedure_tables(spark, d)
+    for _ in range(2):
+        PR.fill_turnover(spark, turnover, CALL_DATE)
+    return spark.table(turnover)
+
+
+def q_f101_procedure(spark, d):
+    """Form 101 by its SQL procedure, from the turnover that the other one filled."""
+    turnover, form = _procedure_tables(spark, d)
+    PR.fill_turnover(spark, turnover, CALL_DATE)
+    PR.fill_form_101(spark, form, turnover, CALL_DATE)
+    return spark.table(form)
+
+
 _REFRESHED: dict[tuple[str, str], str] = {}  # one refresh brings both marts up to date
 
 
@@ -400,6 +430,8 @@ QUERIES_IO = {
     "delta_scan": q_delta_scan,
     "delta_stream": q_delta_stream,
     "replace_slice": q_replace_slice,
+    "turnover_procedure": q_turnover_procedure,
+    "f101_procedure": q_f101_procedure,
     "turnover_refresh": q_turnover_refresh,
     "f101_refresh": q_f101_refresh,
     "csv_extract": q_csv_extract,

@@ -376,3 +376,32 @@ def test_versions_count_without_the_marker_of_the_cluster(spark, tmp):
     finally:
         spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
     assert SK.latest_version(spark, f"{tmp}/t") == out and rows(spark.read.parquet(out)) == [(D1, 1, 1)]
+
+
+# ---- procedures ----------------------------------------------------------------------
+
+def test_procedures_from_sql_replace_their_month(spark, tmp):
+    from kontor.plans import procedures as PR
+
+    accounts, rates, load, N = ledger(spark, tmp)
+    J.register_views(spark, f"{tmp}/detail")
+    PR.create_mart(spark, "t_turn", "dm_account_turnover_f", f"{tmp}/sql/turn")
+    PR.create_mart(spark, "t_form", "dm_f101_round_f", f"{tmp}/sql/form")
+    try:
+        for day in ("2018-01-31", "2018-02-28", "2018-02-28"):
+            PR.fill_turnover(spark, "t_turn", day)
+            answer = PR.fill_form_101(spark, "t_form", "t_turn", day).collect()
+        assert [tuple(r) for r in answer] == [(d(2018, 2, 1), d(2018, 2, 28), spark.table("t_form").filter(
+            "from_date = DATE'2018-02-01'").count())]
+        columns = spec("dm_account_turnover_f").columns, spec("dm_f101_round_f").columns
+        got = rows(spark.table("t_turn").select(*columns[0])), sorted(map(str, spark.table("t_form").select(*columns[1]).collect()))
+        assert got == rebuilt(spark, tmp)
+        # a day whose postings are gone is gone from the mart, too
+        postings = DL.fact_table(spark, f"{tmp}/detail", "ft_posting_f")
+        postings.replace(postings.read([d(2018, 2, 9)]).limit(0), [d(2018, 2, 9)])
+        J.register_views(spark, f"{tmp}/detail")
+        PR.fill_turnover(spark, "t_turn", "2018-02-28")
+        assert rows(spark.table("t_turn").select(*columns[0])) == rebuilt(spark, tmp)[0]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS t_turn")
+        spark.sql("DROP TABLE IF EXISTS t_form")
