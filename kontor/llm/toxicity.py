@@ -84,21 +84,26 @@ class Scores(dict):
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments (first, last, score), in linear time."""
-    run = np.concatenate([[0.0], np.cumsum(scores)])
-    found: list[tuple[int, int, float, float]] = []  # first, last, sum before, sum through
+    """All maximal scoring segments (first, last, score), in linear time.
+
+    Each segment remembers the nearest one before it with a smaller sum at its
+    start.  A search for such a segment goes from one to the next along these,
+    and what one search has passed no later one passes again.
+    """
+    run = np.concatenate([[0.0], np.cumsum(scores)]).tolist()
+    found: list[tuple[int, int, float, float, int]] = []  # first, last, sum before, sum through, nearest lower
     for i in np.flatnonzero(scores > 0).tolist():
-        first, last, left, right = i, i, run[i], run[i + 1]
-        while found:
-            j = len(found) - 1
+        first, left, right, j = i, run[i], run[i + 1], len(found) - 1
+        while True:
             while j >= 0 and found[j][2] >= left:
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][3] >= right:
                 break
-            first, left = found[j][0], found[j][2]
+            first, _, left, _, lower = found[j]
             del found[j:]
-        found.append((first, last, left, right))
-    return [(a, b, float(r - x)) for a, b, x, r in found]
+            j = lower
+        found.append((first, i, left, right, j))
+    return [(a, b, float(r - x)) for a, b, x, r, _ in found]
 
 
 def passages(text: str | None, scores: Scores) -> tuple[int, list[tuple[int, int, float]]]:

@@ -69,6 +69,38 @@ def plain_segments(s):
     return plain_segments(s[:i]) + [(i, j - 1, total)] + [(a + j, b + j, t) for a, b, t in plain_segments(s[j:])]
 
 
+def test_segments_of_long_texts_in_linear_time():
+    import time
+
+    start = time.time()
+    assert len(X.segments(np.tile([1.0, -2.0], 500_000))) == 500_000
+    assert len(X.segments(np.tile([2.0, -1.0], 500_000))) == 1
+    assert time.time() - start < 10
+
+
+def walked_segments(s):
+    """The same by looking at every segment before, one by one; sums of whole numbers, so ties are exact."""
+    run, found = np.concatenate([[0], np.cumsum(s)]).tolist(), []
+    for i in range(len(s)):
+        if s[i] > 0:
+            new = (i, i, run[i], run[i + 1])
+            while True:
+                lower = [k for k, x in enumerate(found) if x[2] < new[2]]
+                if not lower or found[lower[-1]][3] >= new[3]:
+                    break
+                new = (found[lower[-1]][0], i, found[lower[-1]][2], new[3])
+                del found[lower[-1]:]
+            found.append(new)
+    return [(a, b, r - x) for a, b, x, r in found]
+
+
+def test_segments_with_ties():
+    rng = random.Random(8)
+    for _ in range(400):
+        s = [rng.choice([-2, -1, 0, 1, 2]) for _ in range(rng.randint(0, 60))]
+        assert X.segments(np.array(s, float)) == walked_segments(s)
+
+
 def test_segments_equal_their_definition():
     rng = random.Random(3)
     for _ in range(300):
