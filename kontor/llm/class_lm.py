@@ -48,13 +48,15 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _settings, id_remainder, shuffle_partitions, stored, stored_by_key
+from . import common
+from .common import _settings, id_remainder, release, shuffle_partitions
 
 OWN = 20              # occurrences that make a word a unit of its own
 HEAD, ENDINGS = 1024, 512
@@ -62,6 +64,9 @@ CLASSES, ROUNDS = 48, 8  # at least; of the exchange one by one, at the start
 GAIN = 1e-3           # of the likelihood's gain over independent classes: a round that adds less is the last
 BLOCK = 125_000       # neighbour counts in a block: 2 MB
 FEW = {"spark.sql.execution.arrow.maxBytesPerBatch": "16m"}  # some blocks at a time reach a worker
+# copies are packed well and, but for the texts and the chunks' dictionaries, deleted once used
+stored = partial(common.stored, compression="zstd")
+stored_by_key = partial(common.stored_by_key, compression="zstd")
 EXTRA = 0.5           # added to a known word's count within its unit
 BACK_OFF = 5.0        # weight of the class frequencies against a class's bigram counts
 CHUNK_BYTES = 12 << 20
@@ -156,7 +161,9 @@ def packed(pairs: DataFrame, units: int, block: int = BLOCK) -> DataFrame:
     u, v = F.expr(f"code div {units}"), F.pmod("code", F.lit(units))
     u, v = (pairs.select(x.cast("int").alias("unit"), y.alias("other"), "n") for x, y in ((u, v), (v, -1 - u)))
     both = u.unionByName(v).withColumn("block", F.pmod("unit", F.lit(blocks)).cast("int"))
-    return stored(both.groupBy("block").applyInArrow(_pack, "unit binary, other binary, n binary"), "blocks")
+    out = stored(both.groupBy("block").applyInArrow(_pack, "unit binary, other binary, n binary"), "blocks")
+    release(pairs)
+    return out
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]):
@@ -402,6 +409,7 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     start_of[middle["unit"]] = len(head) + middle["ending"]
     for r in rest.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
         unit_tokens[first_ending + r["ending"]], unit_words[first_ending + r["ending"]] = r["n"], r["words"]
+    release(words, counts, parts, numbered)  # what they hold is in the dictionaries now
 
     met = (texts.groupBy("chunk").cogroup(needed.filter(F.col("unit") < first_ending).groupBy("chunk"))
            .applyInArrow(_unit_pairs(head, first_ending), "code long, n long"))
@@ -411,6 +419,7 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     of = exchange(*group_pairs(blocks, start_of, small), small)[start_of]
     of = split_classes(of, np.arange(len(head), first_ending), classes)
     of, joint = exchange_all(blocks, of, classes)
+    release(blocks)
     # smoothed throughout: every class and unit keeps a share, also of text never seen
     mass = np.bincount(of, unit_tokens + EXTRA, classes) + 1e-9
     frequency = mass / mass.sum()

@@ -51,7 +51,7 @@ def _settings(spark: SparkSession, conf: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared scratch folder and read back.
 
     This cuts the lineage (a lost executor costs no recomputation beyond
@@ -60,19 +60,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     with _settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        df.write.option("compression", compression).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = (path, None)
+    return out
 
 
-def stored_by_key(df: DataFrame, key: str, buckets: int, name: str) -> DataFrame:
+def stored_by_key(df: DataFrame, key: str, buckets: int, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once, bucketed on ``key``: later joins and groupings on
     the key move only the other side."""
     spark = df.sparkSession
     path, table = scratch_path(spark, name), f"kontor_{name}_{uuid.uuid4().hex[:12]}".replace("-", "_")
     with _settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
         (df.repartition(buckets, key).write.bucketBy(buckets, key).option("path", path)
-         .format("parquet").saveAsTable(table))
-    return spark.table(table)
+         .option("compression", compression).format("parquet").saveAsTable(table))
+    out = spark.table(table)
+    out.stored_at = (path, table)
+    return out
+
+
+def release(*stored_copies: DataFrame) -> None:
+    """Deletes what ``stored`` or ``stored_by_key`` wrote, once nothing reads it any more."""
+    for df in stored_copies:
+        spark, (path, table) = df.sparkSession, df.stored_at
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
