@@ -1,15 +1,19 @@
 """Brown class-based bigram language model, trained and applied as Spark jobs.
 
 Words to units to classes
-    A word seen ``OWN`` times in the training texts, or with at least
-    1/``HEAD`` of all their tokens, is a unit of its own, so the units grow
-    with the vocabulary.  Every other word belongs to one of ``ENDINGS`` units
-    by a hash of its last two characters, known or not.  There are as many
-    classes as the root of the number of units, ``CLASSES`` at least.
+    A word seen ``OWN`` times in the training texts is a unit of its own, so
+    the units grow with the vocabulary, as long as it has at least 1/``UNITS``
+    of all their tokens; words with 1/``HEAD`` of them always are.  Hence there
+    are at most ``UNITS`` of them whatever the text, and what is held per unit
+    is bounded.  Every other word belongs to one of ``ENDINGS`` units by a hash
+    of its last two characters, known or not.  There are as many classes as the
+    root of the number of units, ``CLASSES`` at least.
 
 Exchange clustering
-    The counts of neighbouring units over all training text stay in Spark,
-    packed once into blocks that hold all neighbours of some units.  The
+    The counts of neighbouring units over all training text stay in Spark.
+    A chunk's counts are dealt out by a hash of the pair, so that a frequent
+    word's pairs are added up in many tasks; the sums are packed into blocks
+    that hold all neighbours of some units.  The
     ``HEAD`` most frequent words and the endings start from an exchange one by
     one; the other units start in the class of their ending, split evenly
     where there are more classes.  Then all units move in rounds: tasks find
@@ -17,7 +21,7 @@ Exchange clustering
     counts taken out, and a share of the moves is made.  A round that lowers
     the likelihood is taken back and the share halved; this goes on until a
     round gains less than ``GAIN`` of it.  Broadcast are the class bigrams and
-    a class per unit.
+    a class per unit, 12 MB at most.
 
 Model
     P(text) = product of P(class | class before) * P(word | class), the end
@@ -29,15 +33,21 @@ Model
     word per unit.
 
 Counts
-    Texts are dealt into chunks by a hash.  A chunk's distinct words with
+    Texts are dealt into chunks by a hash of their place in the scan, so that
+    repeated rows spread like others (give it a table as it was written, whose
+    scan is the same when a task runs again).  A chunk's distinct words with
     their counts are small against its text and are all that is shuffled:
     counts are added per word, looked up, and sent back per chunk as its
     dictionary, which scores the chunk's texts.  Head words need no look-up;
     no key gathers more than one row per chunk.
 
 Tokens are runs of characters other than space and 0x09-0x0D, A-Z
-lower-cased, then one end per text.  Null and empty texts are the end alone.
-With no training text every token has the unknown word's probability.
+lower-cased, then one end per text.  Null and empty texts are the end alone;
+a text of any length is read whole.  Repeated rows and rows without an id get
+a result each and count as often as they are there.  Words with equal counts
+are taken in their own order, units with equal gains stay where they are.
+Further columns are not read.  With no training text every token has the
+unknown word's probability.
 """
 
 from __future__ import annotations
@@ -58,11 +68,13 @@ from pyspark.sql import functions as F
 from . import common
 from .common import _settings, id_remainder, release, shuffle_partitions
 
-OWN = 20              # occurrences that make a word a unit of its own
+OWN = 20              # occurrences that make a word a unit of its own,
+UNITS = 1 << 20       # if they are at least this part of all tokens
 HEAD, ENDINGS = 1024, 512
 CLASSES, ROUNDS = 48, 8  # at least; of the exchange one by one, at the start
 GAIN = 1e-3           # of the likelihood's gain over independent classes: a round that adds less is the last
-BLOCK = 125_000       # neighbour counts in a block: 2 MB
+BLOCK = 500_000       # neighbour counts in a block, some: 8 MB at most
+MERGED = 2_000_000    # neighbour counts added up in one group, some: 32 MB
 FEW = {"spark.sql.execution.arrow.maxBytesPerBatch": "16m"}  # some blocks at a time reach a worker
 # copies are packed well and, but for the texts and the chunks' dictionaries, deleted once used
 stored = partial(common.stored, compression="zstd")
@@ -85,6 +97,11 @@ def ending(word: bytes) -> int:
     return zlib.crc32(word.decode("utf-8", "replace")[-2:].encode()) % ENDINGS
 
 
+def ending_of(word):
+    """The same for a column."""
+    return F.pmod(F.crc32(F.substring(word.cast("string"), -2, 2).cast("binary")), F.lit(ENDINGS)).cast("int")
+
+
 # ---- exchange clustering --------------------------------------------------------
 
 def _entropy(x):
@@ -148,22 +165,70 @@ def exchange(u: np.ndarray, v: np.ndarray, n: np.ndarray, units: int, classes: i
 
 # ---- exchange of all units, in tasks ---------------------------------------------
 
-def _pack(key: tuple, table: pa.Table) -> pa.Table:
+def _squeezed(ids: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(ids).tobytes(), "zstd", asbytes=True)
+
+
+def _plain(blob: bytes, rows: int, kind) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, rows * np.dtype(kind).itemsize, "zstd", asbytes=True), kind)
+
+
+def _parts(of: np.ndarray, parts: int):
+    """(part, places of its rows, in their order) of the parts that have any."""
+    order = np.argsort(of, kind="stable")
+    edge = np.searchsorted(of[order], np.arange(parts + 1))
+    for p in np.flatnonzero(np.diff(edge)).tolist():
+        yield p, order[edge[p]: edge[p + 1]]
+
+
+SENT = "part int, size int, code binary, n binary"
+
+
+def _sent(code: np.ndarray, n: np.ndarray, groups: int) -> pa.Table:
+    """Counts of a chunk's pairs, a row per group; ``code`` ascends and goes as differences."""
+    mixed = (code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+    rows = [(p, len(at), _squeezed(np.diff(code[at], prepend=0)), _squeezed(n[at]))
+            for p, at in _parts((mixed % np.uint64(groups)).astype(np.int64), groups)]
+    part, size, codes, counts = zip(*rows) if rows else ((),) * 4
+    return pa.table({"part": pa.array(part, pa.int32()), "size": pa.array(size, pa.int32()),
+                     "code": pa.array(codes, pa.binary()), "n": pa.array(counts, pa.binary())})
+
+
+BOTH = "block int, size int, unit binary, other binary, n binary"
+
+
+def _summed(units: int, blocks: int):
+    """Sums of one group's pairs, both ways round, a row per block of units."""
+    def run(table: pa.Table) -> pa.Table:
+        sizes = table["size"].to_pylist()
+        code = np.concatenate([np.cumsum(_plain(x.as_py(), k, np.int64)) for x, k in zip(table["code"], sizes)])
+        n = np.concatenate([_plain(x.as_py(), k, np.int64) for x, k in zip(table["n"], sizes)])
+        order = np.argsort(code, kind="stable")
+        code = code[order]
+        edge = np.flatnonzero(np.diff(code, prepend=-1))
+        code, n = code[edge], np.add.reduceat(n[order], edge)
+        u, v = (code // units).astype(np.int32), (code % units).astype(np.int32)
+        rows = []
+        for unit, other in ((u, v), (v, -1 - u)):
+            rows += [(p, len(at), *map(_squeezed, (unit[at], other[at], n[at]))) for p, at in _parts(unit % blocks, blocks)]
+        names, kinds = ("block", "size", "unit", "other", "n"), (pa.int32(), pa.int32()) + (pa.binary(),) * 3
+        return pa.table({c: pa.array(x, k) for c, x, k in zip(names, zip(*rows), kinds)})
+
+    return run
+
+
+def _pack(table: pa.Table) -> pa.Table:
     """One block: units, their neighbours (followers as they are, those before as -1 - unit) and counts."""
-    unit, other = (table[c].to_numpy().astype(np.int32) for c in ("unit", "other"))
-    blob = [x.tobytes() for x in (unit, other, table["n"].to_numpy().astype(np.int64))]
-    return pa.table({c: pa.array([x], pa.binary()) for c, x in zip(("unit", "other", "n"), blob)})
+    sizes = table["size"].to_pylist()
+    kinds = {"unit": np.int32, "other": np.int32, "n": np.int64}
+    return pa.table({c: pa.array([np.concatenate([_plain(x.as_py(), m, k) for x, m in zip(table[c], sizes)]).tobytes()],
+                                 pa.binary()) for c, k in kinds.items()})
 
 
-def packed(pairs: DataFrame, units: int, block: int = BLOCK) -> DataFrame:
+def packed(met: DataFrame, units: int, blocks: int) -> DataFrame:
     """(unit, other, n): neighbour counts in both directions, all of a unit in one block."""
-    blocks = -(-2 * max(pairs.count(), 1) // block)
-    u, v = F.expr(f"code div {units}"), F.pmod("code", F.lit(units))
-    u, v = (pairs.select(x.cast("int").alias("unit"), y.alias("other"), "n") for x, y in ((u, v), (v, -1 - u)))
-    both = u.unionByName(v).withColumn("block", F.pmod("unit", F.lit(blocks)).cast("int"))
-    out = stored(both.groupBy("block").applyInArrow(_pack, "unit binary, other binary, n binary"), "blocks")
-    release(pairs)
-    return out
+    sums = met.groupBy("part").applyInArrow(_summed(units, blocks), BOTH)
+    return stored(sums.groupBy("block").applyInArrow(_pack, "unit binary, other binary, n binary"), "blocks")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]):
@@ -301,7 +366,7 @@ class Model:
     train_words: int
 
 def _chunk_words(table: pa.Table) -> pa.Table:
-    """Distinct words of one chunk: (chunk, word, ending, n in training texts)."""
+    """Distinct words of one chunk: (chunk, word, n in training texts)."""
     trained, seen = Counter(), set()
     for text, held in zip(table["text"], table["held_out"]):
         words = tokens(text.as_py())
@@ -314,11 +379,10 @@ def _chunk_words(table: pa.Table) -> pa.Table:
     words = list(trained)
     chunk = table["chunk"][0].as_py()
     return pa.table({"chunk": pa.array([chunk] * len(words), pa.int32()), "word": pa.array(words, pa.binary()),
-                     "ending": pa.array([ending(w) for w in words], pa.int32()),
-                     "n": pa.array([trained[w] for w in words], pa.int64())})
+                     "n": pa.array(list(trained.values()), pa.int64())})
 
 
-def _unit_pairs(head: dict, first_ending: int):
+def _unit_pairs(head: dict, first_ending: int, groups: int):
     """Counts of neighbouring units of one chunk, whose dictionary has the words with units of their own."""
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
         units = Units(head, first_ending, zip(found["word"].to_pylist(), found["unit"].to_pylist()))
@@ -332,8 +396,7 @@ def _unit_pairs(head: dict, first_ending: int):
         code += ids[1:]
         code.sort()
         edge = np.flatnonzero(np.diff(code, prepend=-1))
-        return pa.table({"code": pa.array(code[edge], pa.int64()),
-                         "n": pa.array(np.diff(edge, append=len(code)).astype(np.int64))})
+        return _sent(code[edge], np.diff(edge, append=len(code)).astype(np.int64), groups)
 
     return run
 
@@ -357,7 +420,7 @@ def chunked(docs: DataFrame, held_out, chunk_bytes: int = CHUNK_BYTES) -> DataFr
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), held_out.alias("held_out"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-size // chunk_bytes))
-    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int"))
+    dealt = rows.withColumn("chunk", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).cast("int"))
     return stored_by_key(dealt, "chunk", min(chunks, shuffle_partitions(spark)), "chunks")
 
 
@@ -369,14 +432,14 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     """(model, dictionaries): the model's tables, and each chunk's training words but the head's, with unit and count."""
     spark = texts.sparkSession
     words = stored(texts.groupBy("chunk").applyInArrow(
-        _chunk_words, "chunk int, word binary, ending int, n long"), "chunk_words")
-    counts = stored(words.filter("n > 0").groupBy("word").agg(F.sum("n").alias("n"), F.first("ending").alias("ending")),
-                    "word_counts")
+        _chunk_words, "chunk int, word binary, n long"), "chunk_words")
+    counts = stored(words.filter("n > 0").groupBy("word").agg(F.sum("n").alias("n"))
+                    .withColumn("ending", ending_of(F.col("word"))), "word_counts")
     total, distinct = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
     total = total or 0
     buckets = shuffle_partitions(spark)
     # the most frequent words; the end is always one of them
-    own = (F.col("n") >= OWN) | (F.col("n") * HEAD >= total) | (F.col("word") == F.lit(END))
+    own = ((F.col("n") >= OWN) & (F.col("n") * UNITS >= total)) | (F.col("n") * HEAD >= total) | (F.col("word") == F.lit(END))
     first = counts.filter(own).orderBy((F.col("word") == F.lit(END)).desc(), F.col("n").desc(), "word").limit(HEAD)
     common = sorted(((bytes(r["word"]), r["n"]) for r in first.select("word", "n").collect()),
                     key=lambda r: (-r[1], r[0])) or [(END, 0)]
@@ -404,16 +467,17 @@ def fit(texts: DataFrame) -> tuple[Model, DataFrame]:
     unit_words[:first_ending] = 1
     start_of = np.arange(units)  # units of the exchange one by one: head words, then endings
     start_of[first_ending:] = len(head) + np.arange(ENDINGS)
-    middle = numbered.select("unit", "n", "ending").toPandas()  # a few bytes a unit
+    middle = numbered.select("unit", "n", "ending").toPandas()  # 16 bytes for each of at most UNITS units
     unit_tokens[middle["unit"]] = middle["n"]
     start_of[middle["unit"]] = len(head) + middle["ending"]
     for r in rest.groupBy("ending").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect():
         unit_tokens[first_ending + r["ending"]], unit_words[first_ending + r["ending"]] = r["n"], r["words"]
     release(words, counts, parts, numbered)  # what they hold is in the dictionaries now
 
+    groups, parts = -(-(total + 1) // MERGED), -(-2 * (total + 1) // BLOCK)
     met = (texts.groupBy("chunk").cogroup(needed.filter(F.col("unit") < first_ending).groupBy("chunk"))
-           .applyInArrow(_unit_pairs(head, first_ending), "code long, n long"))
-    blocks = packed(stored(met.groupBy("code").agg(F.sum("n").alias("n")), "unit_pairs"), units)
+           .applyInArrow(_unit_pairs(head, first_ending, groups), SENT))
+    blocks = packed(met, units, parts)
     classes = max(CLASSES, math.isqrt(units))
     small = len(head) + ENDINGS
     of = exchange(*group_pairs(blocks, start_of, small), small)[start_of]

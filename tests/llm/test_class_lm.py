@@ -51,6 +51,43 @@ def test_the_model_is_a_distribution(corpus):
     assert np.allclose(np.bincount(m.of, 10 ** m.unit_part, L.CLASSES)[np.unique(m.of)], 1, atol=1e-6)
 
 
+def test_both_forms_of_an_ending_agree(spark):
+    words = ["", "a", "é", "aé", "日本語", "x" * 50, "\U0001F600b", "z\x00"]
+    rows = spark.createDataFrame([(w.encode(),) for w in words], "word binary")
+    got = {bytes(r["word"]): r["e"] for r in rows.select("word", L.ending_of(rows["word"]).alias("e")).collect()}
+    assert got == {w.encode(): L.ending(w.encode()) for w in words}
+
+
+@pytest.mark.parametrize("groups, blocks", [(1, 1), (7, 5)])
+def test_blocks_hold_the_sums_of_all_chunks_both_ways(spark, groups, blocks):
+    rng = np.random.default_rng(4)
+    units, sent, want = 30, [], Counter()
+    for _ in range(4):
+        code, n = np.unique(np.append(rng.integers(0, units, 300) * units + 3, rng.integers(0, units ** 2, 200)),
+                            return_counts=True)
+        for c, k in zip(code.tolist(), n.tolist()):
+            want[c // units, c % units] += k
+            want[c % units, -1 - c // units] += k
+        sent += [tuple(r.values()) for r in L._sent(code, n.astype(np.int64), groups).to_pylist()]
+    rows = L.packed(spark.createDataFrame(sent, L.SENT), units, blocks).collect()
+    got, where = Counter(), {}
+    for i, r in enumerate(rows):
+        for u, o, k in zip(*(np.frombuffer(r[c], t).tolist() for c, t in
+                             (("unit", np.int32), ("other", np.int32), ("n", np.int64)))):
+            assert (u, o) not in got and where.setdefault(u, i) == i
+            got[u, o] += k
+    assert got == want
+
+
+def test_repeated_rows_spread_over_the_chunks(spark):
+    same = spark.range(400).selectExpr("cast(null as long) doc_id", "repeat('one two ', 100) text")
+    from pyspark.sql import functions as F
+
+    texts = L.chunked(same, F.lit(False), 20_000)
+    n = [r["count"] for r in texts.groupBy("chunk").count().collect()]
+    assert sum(n) == 400 and len(n) == 16 and max(n) < 70
+
+
 def likelihood(of, u, v, n, classes):
     joint = np.zeros((classes, classes))
     np.add.at(joint, (of[u], of[v]), n)
