@@ -9,9 +9,13 @@ or another partitioning gives the same mixture.  Copies are exploded and
 dealt out by a hash of id and copy number, and ordered by it in each
 partition: a global shuffle without a sampling pass.
 
-The cumulative probabilities are one array per source, reaching so far that
-what is left is below the resolution of the uniform number; they are added
-up from logarithms and hold for any rate.
+The cumulative probabilities are one array per source.  It begins and ends so
+far from the rate that what is left is below the resolution of the uniform
+number, so it grows with the root of the rate; each probability comes from its
+logarithm by itself, and a window adds them up, a row each.  The arrays are
+broadcast in blocks of sources, as many as keep each under ``TABLE_VALUES``
+numbers; a document meets the block of its source, and no text is shuffled on
+its source.
 
 Null sources are a source of their own.  Null and empty texts have no bytes;
 the documents of a source without any text are kept once.  Repeated rows get
@@ -20,11 +24,15 @@ equal numbers of copies.  A column already called ``copy`` is replaced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 RESOLUTION = 48  # bits of the uniform number
-TABLE_VALUES = 2_000_000  # probabilities broadcast at most: 16 MB
+TABLE_VALUES = 2_000_000  # probabilities broadcast at a time: 16 MB
 
 
 def uniform(seed: str, doc_id: Column) -> Column:
@@ -49,18 +57,50 @@ def rates(docs: DataFrame, weights: dict | None = None, temper: float = 0.5, epo
             .select("source", F.when(F.col("size") > 0, wanted).alias("rate")))
 
 
-def _cumulative(rate: Column) -> Column:
-    """P(X <= k) for k = 0, 1, ... of a Poisson distribution; [1] for a rate of 0."""
-    far = F.ceil(rate + 12 * F.sqrt(rate) + 30).cast("int")
-    start = F.struct((-rate).alias("log"), F.exp(-rate).alias("sum"), F.array(F.exp(-rate)).alias("all"))
+def _reach() -> tuple[Column, Column]:
+    """The first and the last number of copies that a ``rate`` can give, at the resolution; none for a rate of 0."""
+    far = 12 * F.sqrt("rate") + 30
+    return (F.greatest(F.floor(F.col("rate") - far), F.lit(0)).cast("int"),
+            F.when(F.col("rate") > 0, F.ceil(F.col("rate") + far)).otherwise(F.lit(0)).cast("int"))
+
+
+def _log_mass(rate: Column, k: Column) -> Column:
+    """log P(X = k) of a Poisson distribution; beyond 20 by Stirling's series, whose rest is below 1e-12."""
+    series = (k * F.log(rate / k) + (k - rate) - F.log(F.lit(2 * math.pi) * k) / 2
+              - 1 / (12 * k) + 1 / (360 * k * k * k) - 1 / (1260 * k * k * k * k * k))
+    few = -rate + k * F.log(rate) - F.log(F.factorial(F.least(k, F.lit(20)).cast("int")))
+    return F.when(k <= 20, few).otherwise(series)
+
+
+def cumulative(rates: DataFrame) -> DataFrame:
+    """(source, rate, first, below): P(X <= k) for k = first, first + 1, ...; [1] for a rate of 0, null for none."""
+    low, high = _reach()
+    k = F.col("k").cast("double")
+    each = rates.select("source", "rate", F.explode(F.sequence(low, high)).alias("k")).withColumn(
+        "p", F.when(F.col("rate") > 0, F.exp(_log_mass(F.col("rate"), k))).otherwise(F.lit(1.0)))
+    so_far = Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    added = each.withColumn("c", F.sum("p").over(so_far)).groupBy("source", "rate").agg(
+        F.min("k").alias("first"), F.array_sort(F.collect_list(F.struct("k", "c"))).alias("all"))
+    return (added.select("source", "rate", "first", F.col("all.c").alias("below"))
+            .unionByName(rates.filter("rate IS NULL").select("source", "rate"), allowMissingColumns=True))
+
+
+def _blocks(rates: DataFrame) -> int:
+    """Blocks of sources, by a hash, whose arrays have at most ``TABLE_VALUES`` numbers each (or are one source's)."""
+    low, high = _reach()
+    values = rates.select("source", F.coalesce(high - low + 1, F.lit(1)).alias("values"))
+    sources, blocks = values.count(), 1
+    while blocks < 8 * sources:
+        most = (values.groupBy(_block(blocks).alias("block")).agg(F.sum("values").alias("values"))
+                .agg(F.max("values")).first()[0])
+        if most <= TABLE_VALUES:
+            break
+        blocks *= 2
+    return blocks
 
-    def add(state, k):
-        log = state["log"] + F.log(rate / k)
-        total = state["sum"] + F.exp(log)
-        return F.struct(log.alias("log"), total.alias("sum"), F.concat(state["all"], F.array(total)).alias("all"))
 
-    grown = F.aggregate(F.sequence(F.lit(1), far), start, add, lambda s: s["all"])
-    return F.when(rate > 0, grown).otherwise(F.array(F.lit(1.0)))
+def _block(blocks: int) -> Column:
+    return F.pmod(F.xxhash64("source"), F.lit(blocks))
 
 
 def replicate(docs: DataFrame, weights: dict | None = None, temper: float = 0.5, epochs: float = 1.0,
@@ -69,19 +109,19 @@ def replicate(docs: DataFrame, weights: dict | None = None, temper: float = 0.5,
     columns = [c for c in docs.columns if c != "copy"]
     docs = docs.select(*columns)
     names = iter(n for n in (f"_{i}" for i in range(len(columns) + 8)) if n not in columns)
-    of, known, below, copies, dealt = (next(names) for _ in range(5))
-    table = rates(docs, weights, temper, epochs).select(
-        F.col("source").alias(of), F.lit(True).alias(known),
-        F.when(F.col("rate").isNotNull(), _cumulative(F.col("rate"))).alias(below))
-    values = table.agg(F.sum(F.size(F.coalesce(below, F.array(F.lit(1.0)))))).first()[0] or 0
-    if values <= TABLE_VALUES:
-        table = F.broadcast(table)  # measured above
+    of, first, below, copies, dealt = (next(names) for _ in range(5))
+    wanted = stored(rates(docs, weights, temper, epochs), "rates")  # a row per source
     drawn = uniform(seed, F.col("doc_id"))
-    counted = (docs.join(table, docs["source"].eqNullSafe(table[of]))
-               .withColumn(copies, F.when(F.col(below).isNull(), F.lit(1))
-                           .otherwise(F.size(F.filter(below, lambda c: c <= drawn)))))
-    several = (counted.filter(F.col(copies) > 0)
-               .select(*columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias("copy")))
+    blocks, several = _blocks(wanted), None
+    for b in range(blocks):
+        rows, some = (x if blocks == 1 else x.filter(_block(blocks) == b) for x in (docs, wanted))
+        table = cumulative(some).select(F.col("source").alias(of), F.col("first").alias(first), F.col("below").alias(below))
+        counted = (rows.join(F.broadcast(table), rows["source"].eqNullSafe(table[of]))  # counted by _blocks
+                   .withColumn(copies, F.when(F.col(below).isNull(), F.lit(1))
+                               .otherwise(F.col(first) + F.size(F.filter(below, lambda c: c <= drawn)))))
+        part = (counted.filter(F.col(copies) > 0)
+                .select(*columns, F.explode(F.sequence(F.lit(1), F.col(copies))).alias("copy")))
+        several = part if several is None else several.unionByName(part)
     place = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("copy"))
     return (several.withColumn(dealt, place).repartition(F.col(dealt)).sortWithinPartitions(dealt)
             .select(*columns, "copy"))

@@ -1,5 +1,6 @@
 import hashlib
 import math
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -46,8 +47,35 @@ def test_named_weights_and_a_high_rate(spark):
 
 
 def test_very_large_rates_do_not_underflow(spark):
-    cdf = spark.range(1).select(mixing._cumulative(F.lit(2000.0)).alias("c")).first()["c"]
-    assert abs(cdf[-1] - 1) < 1e-9 and abs(cdf[2000] - 0.5) < 0.02
+    rates = spark.createDataFrame([("a", 2000.0), ("b", 1e6), ("c", 3e7), (None, 0.0), ("e", None)], "source string, rate double")
+    start = time.time()
+    got = {r["source"]: r for r in mixing.cumulative(rates).collect()}
+    assert time.time() - start < 15
+    for s, rate in (("a", 2000), ("b", 10 ** 6), ("c", 3 * 10 ** 7)):
+        cdf, first = got[s]["below"], got[s]["first"]
+        assert abs(cdf[-1] - 1) < 1e-8 and cdf[0] < 1e-14 and abs(cdf[rate - first] - 0.5) < 0.02
+        assert len(cdf) < 26 * math.sqrt(rate) + 62
+    assert got[None]["below"] == [1.0] and got["e"]["below"] is None
+
+
+def test_probabilities_equal_their_definition(spark):
+    rates = [0.001, 0.7, 3.0, 19.5, 20.0, 60.0, 700.0]
+    rows = mixing.cumulative(spark.createDataFrame([(str(m), m) for m in rates], "source string, rate double")).collect()
+    for r in rows:
+        below, k = 0.0, 0
+        for k, c in enumerate(r["below"], r["first"]):
+            below += math.exp(-r["rate"] + k * math.log(r["rate"]) - math.lgamma(k + 1))
+            assert abs(c - below) < 1e-11
+    assert len(rows) == len(rates)
+
+
+def test_blocks_of_sources_give_the_same_rows(corpus, monkeypatch):
+    whole = sorted(map(str, mixing.replicate(corpus).collect()))
+    monkeypatch.setattr(mixing, "TABLE_VALUES", 60)
+    out = mixing.replicate(corpus)
+    assert sorted(map(str, out.collect())) == whole
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") > 1 and "SortMergeJoin" not in plan
 
 
 def test_the_same_rows_whatever_the_partitioning(corpus):
