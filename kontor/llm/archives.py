@@ -40,9 +40,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_path, stored
+from .common import _settings, release, scratch_path, stored
 
-RECORDS = 1000          # per archive, version block included
+RECORDS = 1000          # per archive, version block included,
+ARCHIVE_BYTES = 64 << 20  # or as many as reach these bytes
+FEW = {"spark.sql.execution.arrow.maxBytesPerBatch": "16m"}  # some pages or archives at a time reach a worker
 SMALLEST = 1000         # bytes of a payload worth a revisit
 DATE = "20240101000000"
 # The field names of the two ARC versions.
@@ -114,27 +116,44 @@ def parse_arc(data: bytes) -> Iterator[dict]:
         at = start + length
 
 
-def write_arc(pages: DataFrame, path: str, records: int = RECORDS) -> str:
-    """Legacy archives of ``pages`` (page_id, url, html), versions 1 and 2 in turn."""
+def _one(archive: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([archive], pa.binary())], names=["value"])
+
+
+def _write(archives: DataFrame, path: str, end: str) -> None:
+    """A packed file for each row ``value``, which ``end`` follows."""
+    with _settings(archives.sparkSession, FEW):
+        (archives.select(F.col("value").cast("string")).write.option("lineSep", end)
+         .option("maxRecordsPerFile", 1).option("compression", "gzip").text(path))
+
+
+def write_arc(pages: DataFrame, path: str, records: int = RECORDS, archive_bytes: int = ARCHIVE_BYTES) -> str:
+    """Legacy archives of ``pages`` (page_id, url, html), versions 1 and 2 in turn.
+
+    An archive is closed at ``records`` records or once it has ``archive_bytes``
+    bytes, so it is never larger than that and one page.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, version = 0, 2
+        n, version, out, size = 0, 2, [], 0
         for batch in batches:
-            out = []
-            for page_id, url, html in zip(*(c.to_pylist() for c in batch.columns)):
-                if n % records == 0:
+            for page_id, url, html in zip(*batch.columns):
+                if not out:
                     version = 3 - version
-                    out.append(arc_version_block(version, f"part-{n // records}.arc"))
+                    out.append(arc_version_block(version, f"part-{n}.arc"))
                     n += 1
-                payload = (html or "").encode()
-                block = _http(payload, page_id)
+                payload = (html.as_py() or "").encode()
+                block = _http(payload, page_id.as_py())
                 check = hashlib.sha1(payload).hexdigest() if version == 2 else "-"
-                out.append(arc_header(version, _clean(url), DATE, "text/html", len(block), checksum=check) + block)
-                n += 1
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
-
-    lines = pages.select("page_id", "url", "html").mapInArrow(run, "value binary")
-    (lines.select(F.col("value").cast("string")).write.option("lineSep", "\n")
-     .option("maxRecordsPerFile", records).option("compression", "gzip").text(path))
+                out.append(arc_header(version, _clean(url.as_py()), DATE, "text/html", len(block), checksum=check) + block)
+                size += len(out[-1])
+                if len(out) >= records or size >= archive_bytes:
+                    yield _one(b"\n".join(out))
+                    out, size = [], 0
+        if out:
+            yield _one(b"\n".join(out))
+
+    with _settings(pages.sparkSession, FEW):
+        _write(pages.select("page_id", "url", "html").mapInArrow(run, "value binary"), path, "\n")
     return path
 
 
@@ -245,13 +264,17 @@ def revisits(archives: DataFrame, smallest: int = SMALLEST) -> DataFrame:
     kept = (seen.groupBy("digest", "length")
             .agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("page_id", "id")).alias("kept")).filter("n > 1")
             .select("digest", "length", F.col("kept.id").alias("refers_to")))
-    return (seen.join(kept, ["digest", "length"]).filter("id <> refers_to").groupBy("archive")
-            .agg(F.collect_list("offset").alias("offsets"), F.collect_list("refers_to").alias("ids")))
+    out = (seen.join(kept, ["digest", "length"]).filter("id <> refers_to").groupBy("archive")
+           .agg(F.collect_list("offset").alias("offsets"), F.collect_list("refers_to").alias("ids")))
+    out.stored_at = seen.stored_at  # to be released once the rows are read
+    return out
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, smallest: int = SMALLEST,
-            records: int = RECORDS) -> str:
-    """ARC archives under ``arc_path`` as WARC archives under ``warc_path``."""
+def convert(spark: SparkSession, arc_path: str, warc_path: str, smallest: int = SMALLEST) -> str:
+    """ARC archives under ``arc_path`` as WARC archives under ``warc_path``, one for one.
+
+    A worker holds an archive at a time, unpacked; one of more than 2 GB packed is refused.
+    """
     archives = _archives(spark, arc_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,12 +283,14 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, smallest: int =
                 refers = dict(zip(offsets.as_py() or [], ids.as_py() or []))
                 out = [warc_record(archive.as_py(), r, refers.get(r["offset"]))
                        for r in parse_arc(unpacked(content.as_py()))]
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
-
-    lines = (archives.join(revisits(archives, smallest), "archive", "left")
-             .select("archive", "content", "offsets", "ids").mapInArrow(run, "value binary"))
-    (lines.select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n")
-     .option("maxRecordsPerFile", records).option("compression", "gzip").text(warc_path))
+                if out:
+                    yield _one(b"\r\n\r\n".join(out))
+
+    with _settings(spark, FEW):
+        again = revisits(archives, smallest)
+        _write(archives.join(again, "archive", "left").select("archive", "content", "offsets", "ids")
+               .mapInArrow(run, "value binary"), warc_path, "\r\n\r\n")
+    release(again)
     return warc_path
 
 
@@ -305,8 +330,11 @@ def archive_round_trip(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     arc, warc = scratch_path(spark, "arc"), scratch_path(spark, "warc")
     convert(spark, write_arc(pages, arc), warc)
-    rows = stored(read_warc(spark, warc), "warc_rows")
-    responses = rows.filter("record_type = 'response'").select(F.col("record_id").alias("refers_to_id"),
-                                                               F.col("page_id").alias("refers_to"))
-    return rows.join(responses, "refers_to_id", "left").select("page_id", "payload_bytes", "payload_digest",
-                                                               "record_type", "refers_to")
+    with _settings(spark, FEW):
+        rows = stored(read_warc(spark, warc), "warc_rows")
+    result = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    responses, again = (rows.filter(F.col("record_type") == kind) for kind in ("response", "revisit"))
+    named = responses.select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"))
+    # only revisits are joined: all responses would share one key, null
+    return (responses.withColumn("refers_to", F.lit(None).cast("long")).select(*result)
+            .unionByName(again.join(named, "refers_to_id", "left").select(*result)))

@@ -92,3 +92,19 @@ def test_small_files_and_empty_tables(spark, pages, monkeypatch):
     from pyspark.sql import functions as F
 
     assert A.archive_round_trip(pages.withColumn("content", F.lit(1))).count() == pages.count()
+
+
+def test_large_pages_close_archives_by_bytes(spark, tmp):
+    pages = spark.range(10, numPartitions=1).selectExpr("id page_id", "concat('http://l/', id) url",
+                                                        "repeat(concat('page ', id), 800000) html")
+    A.write_arc(pages, f"{tmp}/arc", archive_bytes=9 << 20)
+    sizes = [len(gzip.open(f"{tmp}/arc/{n}").read()) for n in os.listdir(f"{tmp}/arc") if n.startswith("part-")]
+    assert len(sizes) == 5 and max(sizes) < 10 << 20
+    got = A.archive_round_trip(pages).collect()
+    assert sorted((r["page_id"], r["payload_bytes"], r["record_type"]) for r in got) == [
+        (i, 4800000, "response") for i in range(10)]
+
+
+def test_only_revisits_are_joined(pages):
+    plan = A.archive_round_trip(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and plan.count("Join") == 1 and "record_type" in plan
