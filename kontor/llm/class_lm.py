@@ -218,11 +218,13 @@ def _summed(units: int, blocks: int):
 
 
 def _pack(table: pa.Table) -> pa.Table:
-    """One block: units, their neighbours (followers as they are, those before as -1 - unit) and counts."""
+    """One block, in the order of its units: these, their neighbours (followers as they are, those
+    before as -1 - unit) and counts."""
     sizes = table["size"].to_pylist()
-    kinds = {"unit": np.int32, "other": np.int32, "n": np.int64}
-    return pa.table({c: pa.array([np.concatenate([_plain(x.as_py(), m, k) for x, m in zip(table[c], sizes)]).tobytes()],
-                                 pa.binary()) for c, k in kinds.items()})
+    columns = {c: np.concatenate([_plain(x.as_py(), m, k) for x, m in zip(table[c], sizes)])
+               for c, k in (("unit", np.int32), ("other", np.int32), ("n", np.int64))}
+    order = np.argsort(columns["unit"], kind="stable")
+    return pa.table({c: pa.array([x[order].tobytes()], pa.binary()) for c, x in columns.items()})
 
 
 def packed(met: DataFrame, units: int, blocks: int) -> DataFrame:
@@ -239,16 +241,15 @@ def _blocks(batches: Iterator[pa.RecordBatch]):
 
 
 def _pair_sums(shared, groups: int):
-    """Counts of neighbouring groups of units: (code, n)."""
+    """Counts of neighbouring groups of units: (code, n).  The groups are few: a table of them is 19 MB at most."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = shared.value
-        total = {}
+        total = np.zeros(groups * groups)
         for unit, other, n in _blocks(batches):
             ahead = other >= 0
-            code, at = np.unique(of[unit[ahead]].astype(np.int64) * groups + of[other[ahead]], return_inverse=True)
-            for c, x in zip(code.tolist(), np.bincount(at, n[ahead], len(code)).tolist()):
-                total[c] = total.get(c, 0) + int(x)
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())],
+            total += np.bincount(of[unit[ahead]].astype(np.int64) * groups + of[other[ahead]], n[ahead], len(total))
+        code = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(code, pa.int64()), pa.array(total[code].astype(np.int64))],
                                          names=["code", "n"])
 
     return run
@@ -266,9 +267,10 @@ def group_pairs(blocks: DataFrame, of: np.ndarray, groups: int) -> tuple[np.ndar
 
 
 def best_classes(unit, other, n, of: np.ndarray, joint: np.ndarray):
-    """(unit, best class) of the units that gain by moving, the others staying where they are."""
+    """(unit, best class) of the units that gain by moving, the others staying where they are; ``unit`` ascends."""
     classes = len(joint)
-    own, at = np.unique(unit, return_inverse=True)
+    edge = np.diff(unit, prepend=-1) != 0
+    own, at = unit[edge], np.cumsum(edge) - 1
     ahead = other >= 0
     a, b = (np.bincount(at[m] * classes + of[o[m]], n[m], len(own) * classes).reshape(-1, classes)
             for m, o in ((ahead, other), (~ahead, -1 - other)))
@@ -385,7 +387,7 @@ def _chunk_words(table: pa.Table) -> pa.Table:
 def _unit_pairs(head: dict, first_ending: int, groups: int):
     """Counts of neighbouring units of one chunk, whose dictionary has the words with units of their own."""
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        units = Units(head, first_ending, zip(found["word"].to_pylist(), found["unit"].to_pylist()))
+        units = Units(head, first_ending, zip(found["word"].to_numpy(), found["unit"].to_numpy().tolist()))
         line = array("i", [units[END]])
         for text, held in zip(texts["text"], texts["held_out"]):
             if not held.as_py():
@@ -505,15 +507,9 @@ def _score_chunk(shared, id_type: pa.DataType):
         m: Model = shared.value
         # the chunk's dictionary: head words, the others found; unknown words by their ending
         place = dict(m.head)
-        unit, count = list(range(len(m.head))), m.head_count.tolist()
-        for w, n, u in zip(*(found[c].to_pylist() for c in ("word", "n", "unit"))):
-            place[w] = len(unit)
-            unit.append(u)
-            count.append(n)
-        for u in range(ENDINGS):
-            unit.append(m.first_ending + u)
-            count.append(0)
-        unit, count = np.array(unit), np.array(count, float)
+        place.update(zip(found["word"].to_numpy(), range(len(m.head), len(m.head) + len(found))))
+        unit = np.concatenate([np.arange(len(m.head)), found["unit"].to_numpy(), m.first_ending + np.arange(ENDINGS)])
+        count = np.concatenate([m.head_count, found["n"].to_numpy(), np.zeros(ENDINGS)])
         unknown = len(unit) - ENDINGS
 
         class Places(dict):
@@ -528,17 +524,25 @@ def _score_chunk(shared, id_type: pa.DataType):
         base = np.log10((count + 1) / (m.train_tokens + m.train_words + 1))
         of = m.of[unit]
         start = m.of[m.head[END]]
-        rows = []
+        # all texts as one line; a text's tokens end with the next one's first place
+        line, ends = array("i"), []
         for text in texts["text"]:
-            at = np.fromiter(map(place.__getitem__, tokens(text.as_py())), np.int64)
-            c = of[at]
-            steps = m.transition[np.concatenate([[start], c[:-1]]), c]
-            rows.append((len(at), int((count[at] > 0).sum()), float(base[at].sum()), float(emit[at].sum() + steps.sum())))
-        n, k, b, s = zip(*rows) if rows else ((),) * 4
+            line.extend(map(place.__getitem__, tokens(text.as_py())))
+            ends.append(len(line))
+        at, ends = np.frombuffer(line, np.int32), np.array(ends, np.int64)
+        first = np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)]
+        c = of[at]
+        before = np.concatenate([[start], c[:-1]])[: len(c)]
+        before[first] = start
+        score = m.transition[before, c]
+        del before, c
+        score += emit[at]
+        known = (count > 0).astype(np.int64)
+        sums = [np.add.reduceat(x, first) if len(first) else x for x in (known[at], base[at], score)]
         return pa.table({"doc_id": texts["doc_id"].cast(id_type), "held_out": texts["held_out"],
-                         "n_tokens": pa.array(n, pa.int64()), "n_known": pa.array(k, pa.int64()),
-                         "train_tokens": pa.array([m.train_tokens] * len(rows), pa.int64()),
-                         "base_score": pa.array(b, pa.float64()), "score": pa.array(s, pa.float64())})
+                         "n_tokens": pa.array(ends - first, pa.int64()), "n_known": pa.array(sums[0], pa.int64()),
+                         "train_tokens": pa.array([m.train_tokens] * len(ends), pa.int64()),
+                         "base_score": pa.array(sums[1], pa.float64()), "score": pa.array(sums[2], pa.float64())})
 
     return run
 
