@@ -8,7 +8,10 @@ Learning
     characters', theirs on the four characters', theirs on the overall
     share.  A token's score is the log-odds of that share against the
     overall one, less ``DRIFT``, so that ordinary text scores below zero.
+    Every token of the sample keeps its score, whatever its sign; a word
+    not seen scores what its longest seen beginning does, else -``DRIFT``.
     Three folds of labelled rows give the odds, a fourth the calibration.
+    Scores are kept under 64-bit hashes of the tokens, 12 bytes each.
 
 Scan
     A linear scan (Ruzzo and Tompa) gives all maximal scoring segments of a
@@ -25,7 +28,13 @@ Document score
 
 Null and empty texts have no token and score what a text without any passage
 scores.  Without labelled rows, or with one label only, every text scores the
-overall share (0 without any label).
+overall share (0 without any label).  Ties: a
+segment is joined with an earlier one only where it starts above that one's
+start and ends above its end, so equal levels keep segments apart.  Repeated
+rows score alike; a labelled id that is repeated counts once per row.  Texts
+of any length are scanned whole, in linear time and in memory that follows the
+longest text.  ``with_toxicity`` keeps further columns, ``score_documents``
+ignores them.
 """
 
 from __future__ import annotations
@@ -39,6 +48,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,28 +58,40 @@ WORD = re.compile(r"\w+")
 LADDER = (4, 5)       # leading characters
 PRIOR = 10.0          # documents
 DRIFT = 0.5           # taken off each token's log-odds
-SUPPORT = 3           # toxic documents that must have a token for it to score above zero
 LABELLED = 50_000     # labelled rows used, at most
 EXPECTED = 0.05
 REMEMBERED = 400_000
+SPARK_SEED = 42       # of xxhash64 in Spark
+
+
+class Odds:
+    """Scores by the tokens' hashes, as Spark's xxhash64 gives them."""
+
+    def __init__(self, keys: np.ndarray, scores: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.scores = keys[order], scores[order].astype(np.float32)
+
+    def get(self, token: str) -> float | None:
+        key = np.uint64(xxhash.xxh64_intdigest(token.encode(), SPARK_SEED)).astype(np.int64)
+        i = self.keys.searchsorted(key)
+        return float(self.scores[i]) if i < len(self.keys) and self.keys[i] == key else None
 
 
 @dataclass
 class Model:
-    """Scores of the words and word beginnings that can matter; all others score -DRIFT."""
-    words: dict = field(default_factory=dict)
+    """Scores of words and of word beginnings (of four and five characters); all others score -DRIFT."""
+    words: dict | Odds = field(default_factory=dict)
     starts: tuple = ({}, {})
     lam: float = 1.0
     k: float = 1.0
     curve: tuple = (-30.0, 0.0)
 
     def token(self, word: str) -> float:
-        if word in self.words:
-            return self.words[word]
+        found = self.words.get(word)
         for n, known in zip(LADDER[::-1], self.starts[::-1]):
-            if word[:n] in known:
-                return known[word[:n]]
-        return -DRIFT
+            if found is None:
+                found = known.get(word[:n])
+        return -DRIFT if found is None else found
 
 
 class Scores(dict):
@@ -143,7 +165,7 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _odds(sample: DataFrame):
-    """Scores per level, and the overall share: (words, starts of 5, starts of 4, share, tokens)."""
+    """Scores per level, and the overall share: (words, starts of 5, starts of 4, share, tokens of other documents)."""
     counts = stored(sample.select("text", "label").mapInArrow(
         _document_counts, "level int, token string, toxic long, other long")
         .groupBy("level", "token").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "token_counts")
@@ -167,11 +189,11 @@ def _odds(sample: DataFrame):
             .withColumn("q5", share(2, F.col("q4"))).withColumn("s5", score(F.col("q5"))))
     words = (level(0, "word").withColumn("five", F.substring("word", 1, LADDER[1])).join(five, "five")
              .withColumn("s0", score(share(0, F.col("q5")))))
-    up4, up5, up0 = ((F.col(f"s{j}") > 0) & (F.col(f"t{i}") >= SUPPORT) for j, i in ((4, 1), (5, 2), (0, 0)))
-    # bounded: each row kept has, or shares its beginning with, a token of SUPPORT of the sampled documents
-    w = words.filter(up4 | up5 | up0).select("word", "s0", "n0").toPandas()
-    s5 = five.filter(up4 | up5).select("five", "s5").distinct().toPandas()
-    s4 = four.filter(up4).select("four", "s4").toPandas()
+    # a row per distinct token of the labelled sample: a hash and numbers, no text
+    w = words.select(F.xxhash64("word").alias("key"), "s0", "n0").toPandas()
+    s5, s4 = (Odds(*(f[c].to_numpy() for c in ("key", "score"))) for f in (
+        df.select(F.xxhash64(token).alias("key"), F.col(s).alias("score")).toPandas()
+        for df, token, s in ((five, "five", "s5"), (four, "four", "s4"))))
     return w, s5, s4, base, other
 
 
@@ -214,30 +236,34 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", labelled: int
         share = min(max((ones or 0) / n, 1e-9), 1 - 1e-9) if n else 1e-9
         return Model(curve=(math.log(share / (1 - share)), 0.0))
     w, s5, s4, base, tokens = found
-    model = Model(dict(zip(w["word"], w["s0"])), (dict(zip(s4["four"], s4["s4"])), dict(zip(s5["five"], s5["s5"]))))
+    model = Model(Odds(w["key"].to_numpy(), w["s0"].to_numpy()), (s4, s5))
     model.lam = _decay(w["s0"].to_numpy(float), w["n0"].to_numpy(float) / tokens)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def best(batches):
-        """(label, tokens, best segment's score), for the calibration fold."""
-        scores = Scores(shared.value)
-        for batch in batches:
-            rows = [passages(t.as_py(), scores) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1).cast(pa.int32()), pa.array([n for n, _ in rows], pa.int64()),
-                 pa.array([[s for *_, s in f] for _, f in rows], pa.list_(pa.float64()))],
-                names=["label", "n", "found"])
-
-    rows = (sample.filter("fold = 4").select("text", "label")
-            .mapInArrow(best, "label int, n long, found array<double>").toPandas())
+    def calibration(value):
+        """(label, tokens, ``value`` of the tokens and segments) of each text in the calibration fold."""
+        def run(batches):
+            scores = Scores(shared.value)
+            for batch in batches:
+                rows = [passages(t.as_py(), scores) for t in batch.column(0)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(1).cast(pa.int32()), pa.array([n for n, _ in rows], pa.int64()),
+                     pa.array([value(n, f) for n, f in rows], pa.float64())], names=["label", "n", "value"])
+
+        return (sample.filter("fold = 4").select("text", "label")
+                .mapInArrow(run, "label int, n long, value double").toPandas())
+
+    rows = calibration(lambda n, found: max((s for *_, s in found), default=0.0))
     plain = rows[rows["label"] == 0]
     # K: with it, the expected number of segments is right where ordinary text has any
-    heights = np.array([max(f, default=0.0) for f in plain["found"]])
+    heights = plain["value"].to_numpy(float)
     lengths = plain["n"].to_numpy(float)
     hit = heights > 0
     law = (lengths * np.exp(-model.lam * np.where(hit, heights, np.inf))).sum()
     model.k = float(min(1.0, max(hit.sum(), 1) / max(law, 1.0))) if hit.any() else float(1 / max(lengths.mean(), 1.0))
-    z = np.array([evidence(n, [(0, 0, s) for s in f], model.lam, model.k) for n, f in zip(rows["n"], rows["found"])])
+    lam, k = model.lam, model.k
+    rows = calibration(lambda n, found: evidence(n, found, lam, k))
+    z = rows["value"].to_numpy(float)
     model.curve = _logistic(np.minimum(z, 60.0), rows["label"].to_numpy(float), np.ones(len(z))) if len(z) else (
         math.log(base / (1 - base)), 1.0)
     return model
