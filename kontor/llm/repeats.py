@@ -52,7 +52,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, stored, stored_by_key
+from .common import release, shuffle_partitions, stored, stored_by_key
 
 DEPTH, DIGIT = 200, 128
 BLOCK = 1 << 22  # bytes of a text hashed at a time
@@ -339,11 +339,12 @@ def repeated_passages(docs: DataFrame, depth: int = DEPTH, digit: int = DIGIT, t
     """
     spark = docs.sparkSession
     buckets = shuffle_partitions(spark)
-    classes = (docs.select(_sha(text).alias("sha"), F.col(text).alias("text"))
+    classes = stored(docs.select(_sha(text).alias("sha"), F.col(text).alias("text"))
                .filter(F.octet_length("text") >= depth)
-               .groupBy("sha").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-               .withColumn("text_id", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")))
-    texts = stored_by_key(classes, "text_id", buckets, "texts")
+               .groupBy("sha").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")), "classes", "zstd")
+    # numbered where they are stored: no two texts share an id, however many there are
+    texts = stored_by_key(classes.withColumn("text_id", F.monotonically_increasing_id()), "text_id", buckets, "texts")
+    release(classes)
 
     runs = stored(_repeated(texts.select("text_id", "text").mapInArrow(_runs(depth, digit), RUNS), ["digit"], "first")
                   .select("digit", "text_id", "first", "last"), "runs")
