@@ -75,3 +75,23 @@ def test_empty_tables(corpus, empty, bench):
 def test_native_plan(corpus, bench):
     plan = D.report(corpus, bench)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_template_of_every_item_is_broadcast_once_and_long_words_make_more_blocks(spark, corpus):
+    """A sentence that 3,000 items share, which very many documents have, and words of 40,000 letters."""
+    template = " ".join(f"template{i}" for i in range(13))
+    items = [(i, f"{template} answer{i} of{i} item{i}") for i in range(3000)] + [
+        (5000 + i, chr(97 + i) * 40_000 + " end") for i in range(8)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = [(i, template if i % 3 else f"x {template} answer{i} y") for i in range(30)] + [
+        (100, "a" * 40_000 + " end"), (101, "b" * 40_000 + " no"), (102, None)]
+    windows = D.windows_of(bench)
+    assert D.anchored(windows).filter("anchor like 'template%'").select("name").distinct().count() == (
+        D.anchored(windows).filter("anchor like 'template%'").count())
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    want = brute(docs, items)
+    for limit in (D.BLOCK_BYTES, 4 << 20):
+        got = sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"])
+                     for r in D.report(table, bench, block_bytes=limit).collect())
+        assert got == want
+    assert {r[0]: r[3] for r in want}["1"] == 3000
