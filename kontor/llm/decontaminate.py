@@ -15,7 +15,7 @@ Scan
     against all documents.  A window is broadcast once, under a name of its
     own (its MD5), however many items have it.
 
-Hits of one document are merged as intervals.  Which items they stand for is
+Hits are stored, and those of one document merged as intervals.  Which items they stand for is
 looked up afterwards, once per document and window that met; a window that
 very many documents have is spread over ``SALTS`` tasks.
 
@@ -115,7 +115,7 @@ def report(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, block: int
            block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated (a twentieth of the words hit)."""
     windows = windows_of(benchmark, width)
-    found = hits(docs, windows, block, block_bytes)
+    found = stored(hits(docs, windows, block, block_bytes), "hits")  # read twice: the documents are scanned once a block
     key = ["doc_id", "hash"]
     n_hit = _merged(found).groupBy(*key).agg(F.sum(F.col("last") - F.col("first") + 1).alias("n_hit"))
     named = (items_met(found, windows)

@@ -95,3 +95,8 @@ def test_template_of_every_item_is_broadcast_once_and_long_words_make_more_block
                      for r in D.report(table, bench, block_bytes=limit).collect())
         assert got == want
     assert {r[0]: r[3] for r in want}["1"] == 3000
+
+
+def test_native_plan_of_the_scan(corpus, bench):
+    plan = D.hits(corpus, D.windows_of(bench))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
