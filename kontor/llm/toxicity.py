@@ -8,10 +8,10 @@ Learning
     characters', theirs on the four characters', theirs on the overall
     share.  A token's score is the log-odds of that share against the
     overall one, less ``DRIFT``, so that ordinary text scores below zero.
-    Every token of the sample keeps its score, whatever its sign; a word
-    not seen scores what its longest seen beginning does, else -``DRIFT``.
+    Only tokens that ``SUPPORT`` toxic sampled documents have, or whose
+    beginning they have, and that score above zero keep their own score (with
+    the words sharing such a beginning); all others score -``DRIFT``.
     Three folds of labelled rows give the odds, a fourth the calibration.
-    Scores are kept under 64-bit hashes of the tokens, 12 bytes each.
 
 Scan
     A linear scan (Ruzzo and Tompa) gives all maximal scoring segments of a
@@ -48,7 +48,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,39 +58,27 @@ LADDER = (4, 5)       # leading characters
 PRIOR = 10.0          # documents
 DRIFT = 0.5           # taken off each token's log-odds
 LABELLED = 50_000     # labelled rows used, at most
+SUPPORT = 3           # toxic documents that must have a token for it to score above zero
 EXPECTED = 0.05
 REMEMBERED = 400_000
-SPARK_SEED = 42       # of xxhash64 in Spark
-
-
-class Odds:
-    """Scores by the tokens' hashes, as Spark's xxhash64 gives them."""
-
-    def __init__(self, keys: np.ndarray, scores: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.scores = keys[order], scores[order].astype(np.float32)
-
-    def get(self, token: str) -> float | None:
-        key = np.uint64(xxhash.xxh64_intdigest(token.encode(), SPARK_SEED)).astype(np.int64)
-        i = self.keys.searchsorted(key)
-        return float(self.scores[i]) if i < len(self.keys) and self.keys[i] == key else None
 
 
 @dataclass
 class Model:
-    """Scores of words and of word beginnings (of four and five characters); all others score -DRIFT."""
-    words: dict | Odds = field(default_factory=dict)
+    """Scores of the words and word beginnings that can matter; all others score -DRIFT."""
+    words: dict = field(default_factory=dict)
     starts: tuple = ({}, {})
     lam: float = 1.0
     k: float = 1.0
     curve: tuple = (-30.0, 0.0)
 
     def token(self, word: str) -> float:
-        found = self.words.get(word)
+        if word in self.words:
+            return self.words[word]
         for n, known in zip(LADDER[::-1], self.starts[::-1]):
-            if found is None:
-                found = known.get(word[:n])
-        return -DRIFT if found is None else found
+            if word[:n] in known:
+                return known[word[:n]]
+        return -DRIFT
 
 
 class Scores(dict):
@@ -165,7 +152,7 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 def _odds(sample: DataFrame):
-    """Scores per level, and the overall share: (words, starts of 5, starts of 4, share, tokens of other documents)."""
+    """Scores per level, and the overall share: (words, starts of 5, starts of 4, share, tokens)."""
     counts = stored(sample.select("text", "label").mapInArrow(
         _document_counts, "level int, token string, toxic long, other long")
         .groupBy("level", "token").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "token_counts")
@@ -189,11 +176,11 @@ def _odds(sample: DataFrame):
             .withColumn("q5", share(2, F.col("q4"))).withColumn("s5", score(F.col("q5"))))
     words = (level(0, "word").withColumn("five", F.substring("word", 1, LADDER[1])).join(five, "five")
              .withColumn("s0", score(share(0, F.col("q5")))))
-    # a row per distinct token of the labelled sample: a hash and numbers, no text
-    w = words.select(F.xxhash64("word").alias("key"), "s0", "n0").toPandas()
-    s5, s4 = (Odds(*(f[c].to_numpy() for c in ("key", "score"))) for f in (
-        df.select(F.xxhash64(token).alias("key"), F.col(s).alias("score")).toPandas()
-        for df, token, s in ((five, "five", "s5"), (four, "four", "s4"))))
+    up4, up5, up0 = ((F.col(f"s{j}") > 0) & (F.col(f"t{i}") >= SUPPORT) for j, i in ((4, 1), (5, 2), (0, 0)))
+    # bounded: each row kept has, or shares its beginning with, a token of SUPPORT of the sampled documents
+    w = words.filter(up4 | up5 | up0).select("word", "s0", "n0").toPandas()
+    s5 = five.filter(up4 | up5).select("five", "s5").distinct().toPandas()
+    s4 = four.filter(up4).select("four", "s4").toPandas()
     return w, s5, s4, base, other
 
 
@@ -236,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", labelled: int
         share = min(max((ones or 0) / n, 1e-9), 1 - 1e-9) if n else 1e-9
         return Model(curve=(math.log(share / (1 - share)), 0.0))
     w, s5, s4, base, tokens = found
-    model = Model(Odds(w["key"].to_numpy(), w["s0"].to_numpy()), (s4, s5))
+    model = Model(dict(zip(w["word"], w["s0"])), (dict(zip(s4["four"], s4["s4"])), dict(zip(s5["five"], s5["s5"]))))
     model.lam = _decay(w["s0"].to_numpy(float), w["n0"].to_numpy(float) / tokens)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
