@@ -96,3 +96,17 @@ def test_f101_over_bucketed_tables_shuffles_only_the_final_groups(spark, tmp):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+
+
+def test_postings_are_summed_up_where_line_items_meet_their_orders(spark, tmp):
+    day = dt.datetime(2018, 1, 5)
+    spark.createDataFrame([(1, 7, 10.25), (1, 7, 1.5), (1, 8, 2.0), (2, 7, 4.0), (3, 9, 5.0)],
+                          "l_orderkey bigint, l_suppkey bigint, l_extendedprice double").write.parquet(f"{tmp}/lineitem.parquet")
+    spark.createDataFrame([(1, 5, day), (2, 5, day), (3, None, day)],
+                          "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp").write.parquet(f"{tmp}/orders.parquet")
+    got = {tuple(r) for r in TB.view(spark, tmp, "ft_posting_f").collect()}
+    off = TB.SUPPLIER_ACCOUNT_OFFSET
+    assert got == {(day.date(), off + 7, 5, D("15.75"), D("15.75")), (day.date(), off + 8, 5, D("2.00"), D("2.00"))}
+    assert not any(folder == tmp and name == "raw_postings" for _, folder, name in TB._STORED)  # not stored between
+    text = plan(TB.postings(spark, tmp))
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
