@@ -66,3 +66,12 @@ def test_column_order_of_target_is_kept(spark, strategy):
     b = spark.createDataFrame([("y", 11, 1), ("z", 12, 2)], "a string, b bigint, k bigint")
     assert upsert(t, b, ["k"], strategy=strategy).columns == ["a", "b", "k"]
     assert upsert(t, b.select("k", "b"), ["k"], strategy=strategy).columns == ["a", "b", "k"]
+
+
+def test_the_keys_of_a_large_batch_are_not_broadcast_for_their_small_files(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    batch = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
+    out = upsert(target, batch, ["k"], strategy="shuffle")
+    assert sorted(map(tuple, out.collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
