@@ -75,3 +75,4 @@ def test_the_keys_of_a_large_batch_are_not_broadcast_for_their_small_files(spark
     assert sorted(map(tuple, out.collect())) == [(1, "a"), (2, "c"), (3, "d")]
     text = out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    assert "strategy=merge" in out._jdf.queryExecution().optimizedPlan().toString()
